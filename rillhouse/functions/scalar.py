@@ -77,16 +77,16 @@ def age(birthday: str | Column, as_of: str | Column) -> Column:
 def is_json_object(text: str | Column) -> Column:
     """True only where the whole text is one JSON object.
 
-    A parser alone accepts text after a complete value. Reading the text once as an array element
-    and once as a member value leaves no room for that. Null, empty text, arrays, scalars and
-    objects with duplicate keys are not objects in this sense.
+    A parser alone accepts text after a complete value. So the text is read once as the content of
+    an array and once as a member value: whatever follows the first object would have to go on
+    with a comma in both, and then the array has a second element. Null, empty text, arrays,
+    scalars and objects with duplicate keys are not objects in this sense.
     """
     v = F.col(text) if isinstance(text, str) else text
-    element = F.try_parse_json(F.concat(F.lit("["), v, F.lit("]")))
+    alone = F.json_array_length(F.concat(F.lit("["), v, F.lit("]"))) == 1
     member = F.try_parse_json(F.concat(F.lit('{"_":'), v, F.lit("}")))
-    return F.coalesce(
-        F.schema_of_variant(element).like("ARRAY<OBJECT%") & member.isNotNull(), F.lit(False)
-    )
+    opens = F.startswith(F.ltrim(v, F.lit(" \t\r\n")), F.lit("{"))
+    return F.coalesce(opens & alone & member.isNotNull(), F.lit(False))
 
 
 def decode_action(value: str | Column) -> Column:

@@ -16,22 +16,25 @@ TOPIC_ACTION = "dwd_action_log"
 TOPIC_ERROR = "dwd_error_log"
 
 
-def parse_log(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``dirty`` and the fields of the log record; a dirty row has null fields."""
-    clean = is_json_object(value)
-    marked = df.withColumn("dirty", ~clean)
-    record = F.from_json(F.when(~F.col("dirty"), F.col(value)), schemas.BASE_LOG)
-    return marked.withColumn("__r", record).select(
-        *marked.columns, *[F.col(f"__r.{n}").alias(n) for n in schemas.BASE_LOG.fieldNames()]
-    )
+def mark_dirty(df: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``dirty``: the text is not one JSON object."""
+    return df.withColumn("dirty", ~is_json_object(value))
 
 
-def dirty_records(parsed: DataFrame, value: str = "value") -> DataFrame:
-    return parsed.where("dirty").select(value)
+def dirty_records(df: DataFrame, value: str = "value") -> DataFrame:
+    """The raw text of dirty rows, and the source columns beside it."""
+    return df.where(~is_json_object(value))
 
 
-def clean_records(parsed: DataFrame, value: str = "value") -> DataFrame:
-    return parsed.where("NOT dirty").drop(value, "dirty")
+def parse_log(df: DataFrame, value: str = "value") -> DataFrame:
+    """Fields of the log record in place of the text; dirty rows are left to ``dirty_records``.
+
+    The record passes through a generator of one row. Filters on its fields stay above that, so
+    they read the parsed record; pushed below, each of them would parse the text again.
+    """
+    rest = [c for c in df.columns if c != value]
+    record = F.from_json(value, schemas.BASE_LOG)
+    return df.where(is_json_object(value)).select(*rest, F.inline(F.array(record)))
 
 
 def is_entry(last_page_id: str | Column = "page.last_page_id") -> Column:
@@ -113,9 +116,9 @@ def route_log(logs: DataFrame) -> DataFrame:
     return logs.select(F.inline(parts))
 
 
-def dirty_rate(parsed: DataFrame, *by: str | Column) -> DataFrame:
+def dirty_rate(marked: DataFrame, *by: str | Column) -> DataFrame:
     """Share of dirty records, with both counts, per grouping."""
-    return parsed.groupBy(*by).agg(
+    return marked.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_ct"),
         F.sum(F.col("dirty").cast("long")).alias("dirty_ct"),
         F.avg(F.col("dirty").cast("double")).alias("dirty_rate"),

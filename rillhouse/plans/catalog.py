@@ -176,25 +176,28 @@ def lookup_product(spark: SparkSession, sf: str) -> DataFrame:
 # --- behaviour log -------------------------------------------------------------------------
 
 
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    return facade.log_lines(facade.events(spark, sf))
+
+
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return logs.parse_log(facade.log_lines(facade.events(spark, sf)))
+    return logs.parse_log(_lines(spark, sf))
 
 
 def log_dirty(spark: SparkSession, sf: str) -> DataFrame:
-    return _parsed(spark, sf).where("dirty").select("event_id")
+    return logs.dirty_records(_lines(spark, sf)).select("event_id")
 
 
 def log_split_counts(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = _parsed(spark, sf)
-    clean = logs.route_log(logs.clean_records(parsed)).groupBy("topic").agg(
+    clean = logs.route_log(_parsed(spark, sf)).groupBy("topic").agg(
         F.count(F.lit(1)).alias("n")
     )
-    dirty = logs.dirty_records(parsed).agg(F.count(F.lit(1)).alias("n"))
+    dirty = logs.dirty_records(_lines(spark, sf)).agg(F.count(F.lit(1)).alias("n"))
     return clean.unionByName(dirty.select(F.lit("dirty").alias("topic"), "n"))
 
 
 def log_pages(spark: SparkSession, sf: str) -> DataFrame:
-    pages = logs.page_log(logs.clean_records(_parsed(spark, sf)))
+    pages = logs.page_log(_parsed(spark, sf))
     return pages.select(
         "event_id",
         F.col("common.mid").alias("mid"),
@@ -207,20 +210,20 @@ def log_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def log_starts(spark: SparkSession, sf: str) -> DataFrame:
-    starts = logs.start_log(logs.clean_records(_parsed(spark, sf)))
+    starts = logs.start_log(_parsed(spark, sf))
     return starts.select("event_id", "start.entry", "start.loading_time", "common.is_new")
 
 
 def display_explode(spark: SparkSession, sf: str) -> DataFrame:
-    return logs.display_log(logs.clean_records(_parsed(spark, sf)), ("event_id",))
+    return logs.display_log(_parsed(spark, sf), ("event_id",))
 
 
 def action_explode(spark: SparkSession, sf: str) -> DataFrame:
-    return logs.action_log(logs.clean_records(_parsed(spark, sf)), ("event_id",))
+    return logs.action_log(_parsed(spark, sf), ("event_id",))
 
 
 def error_records(spark: SparkSession, sf: str) -> DataFrame:
-    errors = logs.error_log(logs.clean_records(_parsed(spark, sf)))
+    errors = logs.error_log(_parsed(spark, sf))
     return errors.select("event_id", "err.error_code", "err.msg")
 
 
@@ -241,7 +244,7 @@ def entry_predicate(spark: SparkSession, sf: str) -> DataFrame:
 
 def dirty_rate(spark: SparkSession, sf: str) -> DataFrame:
     day = F.to_date("record_ts").cast("string").alias("day")
-    return logs.dirty_rate(_parsed(spark, sf), day)
+    return logs.dirty_rate(logs.mark_dirty(_lines(spark, sf)), day)
 
 
 # --- ordered per key -----------------------------------------------------------------------
@@ -583,7 +586,7 @@ def csv_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 def routed_sink(spark: SparkSession, sf: str) -> DataFrame:
     """Messages written to one folder per topic and read back, counted."""
-    messages = logs.route_log(logs.clean_records(_parsed(spark, sf)))
+    messages = logs.route_log(_parsed(spark, sf))
     path = scratch(spark, "topics")
     writers.write_topics(messages, path)
     back = spark.read.schema("value STRING, topic STRING").text(path)

@@ -11,20 +11,18 @@ from rillhouse.operators.cdc import (
     normalize_cdc,
     route_by_rules,
 )
-from rillhouse.operators.logs import clean_records, dirty_records, parse_log, route_log
+from rillhouse.operators.logs import dirty_records, parse_log, route_log
 from rillhouse.operators.ordered import correct_new_flag
 
 
 def base_log(lines: DataFrame, tie: str) -> tuple[DataFrame, DataFrame]:
     """Raw lines to (topic, value) messages with corrected new-visitor flags, and dirty lines."""
-    parsed = parse_log(lines)
-    clean = clean_records(parsed)
-    flat = clean.select(
+    flat = parse_log(lines).select(
         "*", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new")
     )
     fixed = correct_new_flag(flat, "mid", "is_new", "ts", tie)
     logs = fixed.withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
-    return route_log(logs), dirty_records(parsed)
+    return route_log(logs), dirty_records(lines)
 
 
 def base_db(changes: DataFrame, rule_feed: DataFrame, seq: str = "seq") -> DataFrame:

@@ -135,7 +135,8 @@ def log_lines(ev: DataFrame) -> DataFrame:
         .when(F.col("event_id") % 83 == 2, F.concat(F.lit("["), good, F.lit("]")))
         .otherwise(good)
     )
-    return rows.select("event_id", "record_ts", line.alias("value"))
+    # A generator of one row: the text is made once, whatever filters come later.
+    return rows.select("event_id", "record_ts", F.explode(F.array(line)).alias("value"))
 
 
 # --- orders, payments, dimensions ----------------------------------------------------------
