@@ -71,7 +71,10 @@ def visitor_stats(
 
 
 def product_rows(df: DataFrame, event_ts: str, **measures: Column) -> DataFrame:
-    """Bring one product source to the common shape; measures not given are zero or null."""
+    """Bring one product source to the common shape; measures not given are zero or null.
+
+    Where a row has several order ids they must name the same order.
+    """
     return df.select(
         F.col("sku_id").cast("long").alias("sku_id"),
         *[measures.get(c, F.lit(0)).cast("long").alias(c) for c in PRODUCT_COUNTS],

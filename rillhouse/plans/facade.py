@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillhouse.functions.scalar import time_text
+from rillhouse.operators.shape import union_all
 from rillhouse.operators.themes import product_rows
 
 # Zone-less times of the tables are read as UTC.
@@ -226,55 +227,49 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 _OPS = ["c", "u", "d", "r"]
 
 
-def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of three tables as raw change records; the operation follows from the key."""
-
-    def lines(name: str, key: str, cells: dict[str, Column]) -> DataFrame:
-        src = table(spark, sf_dir, name)
-        op = F.element_at(F.array(*[F.lit(o) for o in _OPS]), (F.col(key) % 4 + 1).cast("int"))
-        image = F.map_from_arrays(
-            F.array(*[F.lit(c) for c in cells]), F.array(*[_text(v) for v in cells.values()])
-        )
-        value = F.to_json(
-            F.struct(
-                F.when(op.isin("u", "d"), image).alias("before"),
-                F.when(op != "d", image).alias("after"),
-                op.alias("op"),
-            )
-        )
-        return src.select(
-            F.col(key).cast("long").alias("seq"),
-            F.lit(f"mysql.shop.{name}").alias("topic"),
-            value.alias("value"),
-        )
-
-    return (
-        lines(
-            "orders",
-            "o_orderkey",
-            {
-                "id": F.col("o_orderkey"),
-                "status": F.col("o_orderstatus"),
-                "priority": F.col("o_orderpriority"),
-            },
-        )
-        .unionByName(
-            lines(
-                "customer",
-                "c_custkey",
-                {
-                    "id": F.col("c_custkey"),
-                    "name": F.col("c_name"),
-                    "segment": F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")),
-                },
-            )
-        )
-        .unionByName(
-            lines(
-                "supplier", "s_suppkey", {"supplier_id": F.col("s_suppkey"), "name": F.col("s_name")}
-            )
+def _cells(name: str) -> tuple[str, dict[str, Column]]:
+    """Key and change-record cells of a table."""
+    if name == "orders":
+        return "o_orderkey", {
+            "id": F.col("o_orderkey"),
+            "status": F.col("o_orderstatus"),
+            "priority": F.col("o_orderpriority"),
+        }
+    if name == "customer":
+        return "c_custkey", {
+            "id": F.col("c_custkey"),
+            "name": F.col("c_name"),
+            "segment": F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")),
+        }
+    return "s_suppkey", {"supplier_id": F.col("s_suppkey"), "name": F.col("s_name")}
+
+
+def change_lines_of(name: str, rows: DataFrame) -> DataFrame:
+    """Rows of a table as raw change records; the operation follows from the key."""
+    key, cells = _cells(name)
+    op = F.element_at(F.array(*[F.lit(o) for o in _OPS]), (F.col(key) % 4 + 1).cast("int"))
+    image = F.map_from_arrays(
+        F.array(*[F.lit(c) for c in cells]), F.array(*[_text(v) for v in cells.values()])
+    )
+    value = F.to_json(
+        F.struct(
+            F.when(op.isin("u", "d"), image).alias("before"),
+            F.when(op != "d", image).alias("after"),
+            op.alias("op"),
         )
     )
+    # A generator of one row: the text is made once, whatever filters come later.
+    return rows.select(
+        F.col(key).cast("long").alias("seq"),
+        F.lit(f"mysql.shop.{name}").alias("topic"),
+        F.explode(F.array(value)).alias("value"),
+    )
+
+
+def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables as one feed of raw change records."""
+    names = ("orders", "customer", "supplier")
+    return union_all([change_lines_of(n, table(spark, sf_dir, n)) for n in names])
 
 
 # Rule changes in order: a later rule replaces an earlier one, a delete removes a rule.
@@ -335,6 +330,38 @@ def customer_changes(orders: DataFrame) -> DataFrame:
 # --- product sources -----------------------------------------------------------------------
 
 
+def product_facts(lines: DataFrame, ev: DataFrame) -> list[DataFrame]:
+    """The same rows' measures with each table read once: an order line carries its own payment
+    and refund, an event its one count."""
+    kind = F.col("event_type")
+    one = lambda name: (kind == name).cast("long")
+    finished, returned = F.col("l_linestatus") == "F", F.col("l_returnflag") == "R"
+    price, order = F.col("l_extendedprice"), F.col("l_orderkey")
+    return [
+        product_rows(
+            lines.withColumn("sku_id", F.col("l_partkey")),
+            "l_shipdate",
+            order_sku_num=F.col("l_quantity"),
+            order_amount=price,
+            order_id=order,
+            payment_amount=F.when(finished, price).otherwise(0),
+            paid_order_id=F.when(finished, order),
+            refund_amount=F.when(returned, price).otherwise(0),
+            refund_order_id=F.when(returned, order),
+        ),
+        product_rows(
+            ev.withColumn("sku_id", F.col("event_id") % 1000),
+            "ts",
+            display_ct=one("view"),
+            click_ct=one("click"),
+            favor_ct=one("signup"),
+            cart_ct=one("purchase"),
+            comment_ct=one("error"),
+            good_comment_ct=((kind == "error") & (F.col("value") >= 50)).cast("long"),
+        ),
+    ]
+
+
 def product_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return product_rows_of(utc(table(spark, sf_dir, "lineitem")), events(spark, sf_dir))
 

@@ -322,6 +322,7 @@ WITH {_PAGES}, {_UV}, {_UJ}, {_visitor(_DAY, '1 DAY')} SELECT * FROM visitor_"""
     "visitor_stats_10s": f"""
 WITH {_PAGES}, {_UV}, {_UJ}, {_visitor(_TEN, '10 SECOND')} SELECT * FROM visitor_""",
     "product_stats": f"WITH {_PRODUCT_ROWS}, {_PRODUCT_STATS} SELECT * FROM stats_",
+    "product_stats_sources": f"WITH {_PRODUCT_ROWS}, {_PRODUCT_STATS} SELECT * FROM stats_",
     "product_stats_named": f"""
 WITH {_PRODUCT_ROWS}, {_PRODUCT_STATS}
 SELECT stt, edt, sku_id, p_name AS sku_name, CAST(p_size AS BIGINT) AS spu_id,
@@ -432,3 +433,31 @@ FROM orders""",
     "csv_sink": "SELECT p_partkey, p_name, p_brand, p_size FROM part",
     "routed_sink": f"SELECT * FROM ({_TOPIC_COUNTS}) WHERE n > 0",
 }
+
+# Stream twins give what the batch forms give.
+ORACLE.update(
+    {
+        f"stream_{name}": ORACLE[name]
+        for name in (
+            "interval_join_orders", "interval_join_payment", "order_wide", "payment_wide",
+            "new_visitor_fix", "user_jump", "session_count", "running_total", "running_count",
+            "key_counts", "visitor_stats", "product_stats", "dim_upsert",
+        )
+    }
+)
+ORACLE["stream_base_log"] = ORACLE["base_log_messages"]
+# Which of a day's first records arrives first is not fixed; that there is one is.
+ORACLE["stream_unique_visit"] = f"""
+WITH {_PAGES}
+SELECT DISTINCT mid, strftime(event_ts, '%Y-%m-%d') AS day FROM pages_ WHERE entry"""
+ORACLE["stream_base_db"] = f"""
+WITH {_CHANGES}
+SELECT CASE WHEN type = 'update' THEN 'olap_orders' ELSE 'dwd_order_info' END AS topic,
+       count(*) AS n, count(*) AS cells
+FROM changes_ WHERE "table" = 'orders' AND type <> 'delete' GROUP BY 1
+UNION ALL
+SELECT 'dwd_unmatched', count(*), 0 FROM changes_ WHERE "table" = 'supplier' AND type = 'update'
+HAVING count(*) > 0
+UNION ALL
+SELECT 'dim_user', count(*), count(segment)
+FROM changes_ WHERE "table" = 'customer' AND type <> 'delete'"""

@@ -73,3 +73,9 @@ def stream_session(spark: SparkSession) -> SparkSession:
     )
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return session
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getFileStatus(where).isDirectory()

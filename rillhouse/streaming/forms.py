@@ -1,15 +1,28 @@
-"""Stream forms of the operators, for inputs with an event-time column."""
+"""Stream forms of the operators, for inputs with an event-time column.
+
+Interval joins, dimension lookups, splits and the theme aggregates have no form of their own here:
+their DataFrame expressions serve streams as they are.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from rillhouse.functions.scalar import cell_start_us, micros, time_cell
+from rillhouse.operators.ordered import HOUR
 from rillhouse.operators.themes import span_text
+from rillhouse.streaming import processors
+
+cloudpickle.register_pickle_by_value(processors)
 
 MONOTONE = timedelta(0)
+PATTERN_LATENESS = timedelta(seconds=2)
 
 
 def watermarked(df: DataFrame, ts: str, lateness: timedelta = MONOTONE) -> DataFrame:
@@ -17,7 +30,9 @@ def watermarked(df: DataFrame, ts: str, lateness: timedelta = MONOTONE) -> DataF
     return df.withWatermark(ts, span_text(lateness))
 
 
-def count_with_timeout(df: DataFrame, key: str, ts: str, gap: timedelta) -> DataFrame:
+def count_with_timeout(
+    df: DataFrame, key: str, ts: str, gap: timedelta = timedelta(milliseconds=100)
+) -> DataFrame:
     """Records per key until ``gap`` passes without one; also usable on batches."""
     span = F.session_window(ts, span_text(gap))
     return (
@@ -30,3 +45,121 @@ def count_with_timeout(df: DataFrame, key: str, ts: str, gap: timedelta) -> Data
             "n",
         )
     )
+
+
+def first_per_day(
+    df: DataFrame, key: str, ts: str, where: Column | None = None, day: str = "day"
+) -> DataFrame:
+    """The first record to arrive for each key and calendar day.
+
+    A day's key is forgotten one day of event time after that record, when no record of the same
+    day can count any more.
+    """
+    rows = df if where is None else df.where(where)
+    timed = rows.withColumn(day, F.to_date(ts)).withWatermark(ts, "1 day")
+    return timed.dropDuplicatesWithinWatermark([key, day])
+
+
+def correct_new_flag(
+    df: DataFrame,
+    key: str,
+    flag: str,
+    ts: str,
+    tie: str,
+    new: str = "1",
+    old: str = "0",
+    ttl: timedelta | None = None,
+) -> DataFrame:
+    """Only the first record flagged new keeps its flag. Other records do not enter the state."""
+    is_new = F.coalesce(F.col(flag) == new, F.lit(False))
+    ttl_ms = None if ttl is None else ttl // timedelta(milliseconds=1)
+    judged = (
+        df.where(is_new)
+        .groupBy(key)
+        .transformWithState(
+            statefulProcessor=processors.NewFlag(flag, [ts, tie], new, old, ttl_ms),
+            outputStructType=df.schema,
+            outputMode="Append",
+            timeMode="None" if ttl is None else "ProcessingTime",
+        )
+    )
+    return judged.unionByName(df.where(~is_new))
+
+
+def running(
+    df: DataFrame, key: str, ts: str, tie: str, sums: Mapping[str, Column]
+) -> DataFrame:
+    """Running whole-number sums per key, one output per record."""
+    names = list(sums)
+    values = [f"__v_{n}" for n in names]
+    rows = df.drop(*names).withColumns(
+        {v: e.cast("long") for v, e in zip(values, sums.values())}
+    )
+    out = T.StructType([f for f in rows.schema.fields if f.name not in values])
+    for name in names:
+        out = out.add(name, T.LongType())
+    return rows.groupBy(key).transformWithState(
+        statefulProcessor=processors.Running([ts, tie], values, names),
+        outputStructType=out,
+        outputMode="Append",
+        timeMode="None",
+    )
+
+
+def entry_pattern(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    tie: str,
+    entry: Column,
+    horizon: timedelta,
+    keep: list[str],
+    lateness: timedelta = PATTERN_LATENESS,
+    cell: timedelta | None = None,
+) -> DataFrame:
+    """Stream form of the entry pattern; gives the columns in ``keep`` and ``how``.
+
+    State is kept per key and time cell, and each cell also sees the first ``horizon`` of the next
+    one, as in the batch form: a hot key is spread and a finished cell leaves no state.
+    """
+    cell = cell or max(16 * horizon, HOUR)
+    own = time_cell(ts, cell)
+    early = F.unix_micros(ts) - cell_start_us(own, cell) < micros(horizon)
+    rows = (
+        watermarked(df, ts, lateness)
+        .select(
+            *[F.col(c).alias(c) for c in dict.fromkeys([key, *keep, ts])],
+            F.unix_micros(ts).alias("__us"),
+            F.col(tie).cast("long").alias("__tie"),
+            F.coalesce(entry, F.lit(False)).alias("__entry"),
+            own.alias("__own"),
+            early.alias("__early"),
+        )
+        .withColumn(
+            "__cell",
+            F.explode(
+                F.when(
+                    F.col("__early"), F.array(F.col("__own"), F.col("__own") - 1)
+                ).otherwise(F.array(F.col("__own")))
+            ),
+        )
+        .withColumn("__mine", F.col("__own") == F.col("__cell"))
+        .drop("__own", "__early")
+    )
+    kept = T.StructType([df.schema[c] for c in keep])
+    state = (
+        T.StructType()
+        .add("us", T.LongType())
+        .add("tie", T.LongType())
+        .add("entry", T.BooleanType())
+        .add("mine", T.BooleanType())
+    )
+    for i, f in enumerate(kept.fields):
+        state = state.add(f"c{i}", f.dataType)
+    out = T.StructType(list(kept.fields)).add("how", T.StringType())
+    return rows.groupBy(key, "__cell").transformWithState(
+        statefulProcessor=processors.EntryPattern(list(keep), state, micros(horizon)),
+        outputStructType=out,
+        outputMode="Append",
+        timeMode="EventTime",
+    )
