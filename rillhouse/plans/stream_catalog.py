@@ -3,7 +3,8 @@
 Each query replays its tables as file streams until they are used up, writes what the stream emits
 below the shared folder and reads that back. A marker record with a far-off time is added to
 event-time streams, so that windows and patterns still open at the end are closed; it is not part
-of any result.
+of any result. It is filtered from what was written, not in the stream: a filter there would be
+moved below the watermark and the marker would have no effect.
 """
 
 from __future__ import annotations
@@ -165,19 +166,19 @@ def _jumps(s: SparkSession, sf: str) -> DataFrame:
         flat, "mid", "event_ts", "event_id", F.col("entry"), JUMP_HORIZON,
         ["event_id", "mid", "ts", "vc", "ch", "ar", "is_new"],
     )
-    return found.where(F.col("event_id") != MARKER)
+    return found
 
 
 def user_jump(spark: SparkSession, sf: str) -> DataFrame:
     out = _jumps(stream_session(spark), sf).select("event_id", "mid", "ts", "how")
-    return drain(spark, out, "user_jump")
+    return drain(spark, out, "user_jump").where(F.col("event_id") != MARKER)
 
 
 def session_count(spark: SparkSession, sf: str) -> DataFrame:
     s = stream_session(spark)
     timed = forms.watermarked(_events(s, sf), "ts", timedelta(seconds=2))
     found = forms.count_with_timeout(timed, "user_id", "ts", SESSION_GAP)
-    out = drain(spark, found.where(F.col("user_id") != MARKER), "sessions")
+    out = drain(spark, found, "sessions").where(F.col("user_id") != MARKER)
     return facade.ntz(out, "session_start", "session_end")
 
 
@@ -220,15 +221,15 @@ def visitor(spark: SparkSession, sf: str) -> DataFrame:
 
     rows = visitor_rows(follow(first, "uv_topic"), follow(jumps, "uj_topic"), pages)
     marked = _marked(s, rows, vc="marker", ts=int(END.timestamp() * 1000))
-    stats = visitor_stats(marked, DAY, dws.LATENESS).where("vc <> 'marker'")
-    return drain(spark, stats, "visitor_stats")
+    stats = visitor_stats(marked, DAY, dws.LATENESS)
+    return drain(spark, stats, "visitor_stats").where("vc <> 'marker'")
 
 
 def product(spark: SparkSession, sf: str) -> DataFrame:
     s = stream_session(spark)
     facts = facade.product_facts(_stream(s, sf, "lineitem"), _events(s, sf))
-    stats = dws.product(facts, MONTH).where(F.col("sku_id") >= 0)
-    return drain(spark, stats, "product_stats")
+    stats = dws.product(facts, MONTH)
+    return drain(spark, stats, "product_stats").where(F.col("sku_id") >= 0)
 
 
 def dim_upsert(spark: SparkSession, sf: str) -> DataFrame:
