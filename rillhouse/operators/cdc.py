@@ -41,7 +41,9 @@ def normalize_cdc(df: DataFrame, topic: str = "topic", value: str = "value") ->
         kind = F.when(op == name, F.lit(target)).otherwise(kind)
     empty = F.create_map().cast(T.MapType(T.StringType(), T.StringType()))
     rest = [c for c in df.columns if c not in (topic, value)]
-    return df.withColumn("__r", record).select(
+    # A generator of one row keeps later filters above it, so each text is parsed once.
+    parsed = df.select(*rest, topic, F.explode(F.array(record)).alias("__r"))
+    return parsed.select(
         *rest,
         F.get(part, F.lit(1)).alias("database"),
         F.get(part, F.lit(2)).alias("table"),

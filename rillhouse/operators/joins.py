@@ -7,8 +7,9 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rillhouse.functions.scalar import cell_start_us, micros, time_cell  # noqa: F401
+from rillhouse.functions.scalar import micros, time_cell
 
 _CELL = "__cell"
 
@@ -45,7 +46,8 @@ def interval_join(
     low = F.col(left_ts) + F.lit(lower)
     high = F.col(left_ts) + F.lit(upper)
     offered = left.withColumn(
-        _CELL, F.explode(F.sequence(time_cell(low, cell), time_cell(high, cell)))
+        _CELL,
+        F.explode(F.sequence(time_cell(low, cell), time_cell(high, cell), F.lit(micros(cell)))),
     )
     placed = right.withColumn(_CELL + "_r", time_cell(right_ts, cell))
 
@@ -65,34 +67,51 @@ def lookup_enrich(
     dim_key: str,
     columns: Mapping[str, str | Column],
     how: str = "left",
+    fits: bool = False,
 ) -> DataFrame:
     """Add dimension attributes to every fact row; rows without a partner get nulls.
 
     ``columns`` maps output names to dimension columns or expressions over them. An output name the
-    fact already has is replaced. No hint is given: the planner broadcasts the pruned dimension
-    when its measured size is below the session's threshold and otherwise joins by shuffle, where
-    adaptive execution splits the partitions of a hot key.
+    fact already has is replaced. Without a hint the planner broadcasts the pruned dimension when
+    its measured size is below the session's threshold and otherwise joins by shuffle, where
+    adaptive execution splits the partitions of a hot key. ``fits`` says that the caller has
+    checked the dimension's length (``at_most``) and asks for the broadcast.
     """
+    fact_key = F.col(key) if isinstance(key, str) else key
+    key_type = fact.select(fact_key).schema[0].dataType
+    dim_type = dim.schema[dim_key].dataType
+    match = F.col(dim_key)
+    if isinstance(key_type, T.IntegralType) and isinstance(dim_type, T.StringType):
+        # Stored keys are text. The dimension side is turned into numbers once, so that the facts
+        # are hashed by number; a text that is not the number's own notation matches nothing.
+        number = match.try_cast("long")
+        match = F.when(number.cast("string") == match, number)
+    elif key_type != dim_type and not (
+        isinstance(key_type, T.IntegralType) and isinstance(dim_type, T.IntegralType)
+    ):
+        match, fact_key = match.cast("string"), fact_key.cast("string")
     side = dim.select(
-        F.col(dim_key).alias("__k"),
+        match.alias("__k"),
         *[
             (F.col(expr) if isinstance(expr, str) else expr).alias(f"__v_{name}")
             for name, expr in columns.items()
         ],
     )
-    fact_key = F.col(key) if isinstance(key, str) else key
-    joined = fact.join(side, fact_key.cast("string") == F.col("__k").cast("string"), how)
+    joined = fact.join(F.broadcast(side) if fits else side, fact_key == F.col("__k"), how)
     kept = [F.col(f"`{c}`") for c in fact.columns if c not in columns]
     added = [F.col(f"__v_{name}").alias(name) for name in columns]
     return joined.select(*kept, *added)
 
 
+def at_most(df: DataFrame, max_rows: int) -> bool:
+    """Whether a table has at most ``max_rows`` rows; stops reading once there are more."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Mark a side for broadcast only after counting that it is at most ``max_rows`` long.
 
     For configuration-sized tables of narrow rows. A longer table comes back without a hint and is
-    joined by shuffle. The count stops reading once the limit is passed.
+    joined by shuffle.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if at_most(df, max_rows) else df

@@ -14,6 +14,7 @@ TOPIC_START = "dwd_start_log"
 TOPIC_DISPLAY = "dwd_display_log"
 TOPIC_ACTION = "dwd_action_log"
 TOPIC_ERROR = "dwd_error_log"
+TOPIC_DIRTY = "dwd_dirty_log"
 
 
 def mark_dirty(df: DataFrame, value: str = "value") -> DataFrame:
@@ -21,20 +22,36 @@ def mark_dirty(df: DataFrame, value: str = "value") -> DataFrame:
     return df.withColumn("dirty", ~is_json_object(value))
 
 
-def dirty_records(df: DataFrame, value: str = "value") -> DataFrame:
-    """The raw text of dirty rows, and the source columns beside it."""
-    return df.where(~is_json_object(value))
-
-
-def parse_log(df: DataFrame, value: str = "value") -> DataFrame:
-    """Fields of the log record in place of the text; dirty rows are left to ``dirty_records``.
+def parse_all(df: DataFrame, value: str = "value") -> DataFrame:
+    """Fields of the log record, with ``dirty`` and, in dirty rows only, the text.
 
     The record passes through a generator of one row. Filters on its fields stay above that, so
     they read the parsed record; pushed below, each of them would parse the text again.
     """
     rest = [c for c in df.columns if c != value]
-    record = F.from_json(value, schemas.BASE_LOG)
-    return df.where(is_json_object(value)).select(*rest, F.inline(F.array(record)))
+    clean = F.when(~F.col("dirty"), F.col(value))
+    parsed = F.struct(
+        "dirty",
+        F.when(F.col("dirty"), F.col(value)).alias(value),
+        F.from_json(clean, schemas.BASE_LOG).alias("__r"),
+    )
+    rows = mark_dirty(df, value).select(*rest, F.inline(F.array(parsed)))
+    return rows.select(*rest, "dirty", value, "__r.*")
+
+
+def dirty_records(parsed: DataFrame, value: str = "value") -> DataFrame:
+    """The raw text of dirty rows, and the source columns beside it."""
+    fields = {*schemas.BASE_LOG.fieldNames(), "dirty"}
+    return parsed.where("dirty").select(*[c for c in parsed.columns if c not in fields])
+
+
+def clean_records(parsed: DataFrame, value: str = "value") -> DataFrame:
+    return parsed.where("NOT dirty").drop(value, "dirty")
+
+
+def parse_log(df: DataFrame, value: str = "value") -> DataFrame:
+    """The clean records of a text input."""
+    return clean_records(parse_all(df, value), value)
 
 
 def is_entry(last_page_id: str | Column = "page.last_page_id") -> Column:
@@ -83,35 +100,40 @@ def split_log(logs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def route_log(logs: DataFrame) -> DataFrame:
-    """The same five outputs as (topic, value) rows, in one pass over the input.
+def route_log(logs: DataFrame, value: str = "value") -> DataFrame:
+    """All outputs as (topic, value) rows, in one pass over the input.
 
     A broker or partitioned file sink can write all of them at once; the input is neither cached
-    nor read once per output.
+    nor read once per output. Rows marked dirty, where the input has them, go to a topic of their
+    own as they came.
     """
     record = F.to_json(F.struct(*[F.col(n) for n in schemas.BASE_LOG.fieldNames()]))
     page_id = F.col("page.page_id")
-    is_page = F.col("start").isNull()
+    dirty = F.col("dirty") if "dirty" in logs.columns else F.lit(False)
+    is_start = ~dirty & F.col("start").isNotNull()
+    is_page = ~dirty & F.col("start").isNull()
 
-    def message(topic: str, value: Column) -> Column:
-        return F.struct(F.lit(topic).alias("topic"), value.alias("value"))
+    def message(topic: str, text: Column) -> Column:
+        return F.struct(F.lit(topic).alias("topic"), text.alias("value"))
 
     def messages(topic: str, items: str) -> Column:
         put = F.transform(
             F.col(items), lambda d: message(topic, F.to_json(d.withField("page_id", page_id)))
         )
-        return F.when(is_page, put)
+        return F.coalesce(F.when(is_page, put), none)
 
     none = F.array().cast("array<struct<topic:string,value:string>>")
-    whole = F.array(
-        message(TOPIC_START, F.when(~is_page, record)),
+    whole = [
+        message(TOPIC_START, F.when(is_start, record)),
         message(TOPIC_PAGE, F.when(is_page, record)),
-        message(TOPIC_ERROR, F.when(F.col("err").isNotNull(), record)),
-    )
+        message(TOPIC_ERROR, F.when(~dirty & F.col("err").isNotNull(), record)),
+    ]
+    if "dirty" in logs.columns:
+        whole.append(message(TOPIC_DIRTY, F.when(dirty, F.col(value))))
     parts = F.concat(
-        F.filter(whole, lambda m: m["value"].isNotNull()),
-        F.coalesce(messages(TOPIC_DISPLAY, "displays"), none),
-        F.coalesce(messages(TOPIC_ACTION, "actions"), none),
+        F.filter(F.array(*whole), lambda m: m["value"].isNotNull()),
+        messages(TOPIC_DISPLAY, "displays"),
+        messages(TOPIC_ACTION, "actions"),
     )
     return logs.select(F.inline(parts))
 

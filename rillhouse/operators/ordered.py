@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rillhouse.functions.scalar import cell_start_us, micros, time_cell
+from rillhouse.functions.scalar import micros, time_cell
 
 HOUR = timedelta(hours=1)
 DAY = timedelta(days=1)
@@ -89,14 +89,14 @@ def entry_pattern(
         raise ValueError("cell narrower than the horizon")
     at = F.unix_micros(ts)
     own = time_cell(ts, cell)
-    early = at - cell_start_us(own, cell) < micros(horizon)
+    early = at - own < micros(horizon)
     seen = (
         df.withColumn("__entry", F.coalesce(entry, F.lit(False)))
         .withColumn("__own", own)
         .withColumn(
             "__cell",
             F.explode(
-                F.when(early, F.array(F.col("__own"), F.col("__own") - 1)).otherwise(
+                F.when(early, F.array(F.col("__own"), F.col("__own") - micros(cell))).otherwise(
                     F.array(F.col("__own"))
                 )
             ),

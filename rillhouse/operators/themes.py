@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.functions.scalar import money, time_text
+from rillhouse.functions.scalar import micros, money, time_cell, time_text
 from rillhouse.operators.logs import is_entry
 
 VISITOR_KEYS = ["vc", "ch", "ar", "is_new"]
@@ -24,6 +24,22 @@ PRODUCT_ORDER_SETS = {
 }
 
 
+def window_key(df: DataFrame, ts: str, width: timedelta) -> Column:
+    """Tumbling window to group by: the window itself on streams, where the watermark closes it,
+    and just its start in microseconds on batches, where a plain number is a cheaper key."""
+    return F.window(ts, span_text(width)) if df.isStreaming else time_cell(ts, width)
+
+
+def window_bounds(key: str, width: timedelta, streaming: bool) -> list[Column]:
+    """``stt`` and ``edt`` of a window key as text."""
+    if streaming:
+        start, end = F.col(f"{key}.start"), F.col(f"{key}.end")
+    else:
+        start = F.timestamp_micros(key)
+        end = F.timestamp_micros(F.col(key) + F.lit(micros(width)))
+    return [time_text(start).alias("stt"), time_text(end).alias("edt")]
+
+
 def span_text(width: timedelta) -> str:
     return f"{width // timedelta(microseconds=1)} microseconds"
 
@@ -58,11 +74,10 @@ def visitor_stats(
     if timed.isStreaming and lateness is not None:
         timed = timed.withWatermark("event_ts", span_text(lateness))
     return (
-        timed.groupBy(F.window("event_ts", span_text(width)).alias("w"), *VISITOR_KEYS)
+        timed.groupBy(window_key(timed, "event_ts", width).alias("w"), *VISITOR_KEYS)
         .agg(*[F.sum(m).alias(m) for m in VISITOR_SUMS], F.min("ts").alias("ts"))
         .select(
-            time_text("w.start").alias("stt"),
-            time_text("w.end").alias("edt"),
+            *window_bounds("w", width, timed.isStreaming),
             *VISITOR_KEYS,
             *VISITOR_SUMS,
             "ts",
@@ -103,7 +118,7 @@ def product_stats(
     timed = rows.withWatermark("event_ts", span_text(lateness)) if streaming and lateness else rows
     ids = F.coalesce(*[F.col(i) for i in PRODUCT_ORDER_SETS.values()])
     per_order = timed.groupBy(
-        F.window("event_ts", span_text(width)).alias("w"), "sku_id", ids.alias("__order")
+        window_key(timed, "event_ts", width).alias("w"), "sku_id", ids.alias("__order")
     ).agg(
         *[F.sum(m).alias(m) for m in [*PRODUCT_COUNTS, *PRODUCT_AMOUNTS]],
         *[
@@ -122,8 +137,7 @@ def product_stats(
             F.min("ts").alias("ts"),
         )
         .select(
-            time_text("w.start").alias("stt"),
-            time_text("w.end").alias("edt"),
+            *window_bounds("w", width, streaming),
             "sku_id",
             *PRODUCT_COUNTS,
             *PRODUCT_AMOUNTS,

@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse import schemas
-from rillhouse.functions.scalar import age, create_date, create_hour, event_time, parse_time
-from rillhouse.operators.joins import interval_join, lookup_enrich
+from rillhouse.functions.scalar import age, event_time, parse_time
+from rillhouse.operators.joins import at_most, interval_join, lookup_enrich
 
+# Longest SKU dimension that is broadcast in its completed form; rows are a few hundred bytes.
+MAX_BROADCAST_PRODUCTS = 100_000
 # Join intervals of the two wide records (both ends exclusive).
 ORDER_LOWER, ORDER_UPPER = timedelta(seconds=-5), timedelta(seconds=5)
 PAYMENT_LOWER, PAYMENT_UPPER = timedelta(minutes=-15), timedelta(seconds=100)
@@ -22,8 +24,10 @@ def prepare_orders(orders: DataFrame) -> DataFrame:
     at = parse_time("create_time")
     out = orders.withColumn("event_ts", at).withColumn("create_ts", F.unix_millis(at))
     if "create_hour" in orders.columns:
-        out = out.withColumn("create_date", create_date(at)).withColumn(
-            "create_hour", create_hour(at)
+        # The text has a fixed form, so its parts need no formatting of the time.
+        text = F.when(at.isNotNull(), F.col("create_time"))
+        out = out.withColumn("create_date", F.substring(text, 1, 10)).withColumn(
+            "create_hour", F.substring(text, 12, 2)
         )
     return out
 
@@ -107,7 +111,7 @@ def product_dimension(dims: Mapping[str, DataFrame]) -> DataFrame:
     """SKU rows completed by their SPU, trademark and category names.
 
     Joining these on the dimension side costs three joins of small tables; the facts then need one
-    lookup where a chain would need four.
+    lookup where a chain would need four. The result is as long as the SKU table.
     """
     sku = dims["DIM_SKU_INFO"]
     named = lookup_enrich(sku, dims["DIM_SPU_INFO"], "SPU_ID", "ID", {"SPU_NAME": "SPU_NAME"})
@@ -157,5 +161,7 @@ def enrich_order_wide(
             "tm_name": "TM_NAME",
             "category3_name": "CATEGORY3_NAME",
         },
+        # The planner overestimates a joined table, so its length is checked here.
+        fits=at_most(dims["DIM_SKU_INFO"], MAX_BROADCAST_PRODUCTS),
     )
     return out.select(*wide.columns)

@@ -185,15 +185,12 @@ def _parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def log_dirty(spark: SparkSession, sf: str) -> DataFrame:
-    return logs.dirty_records(_lines(spark, sf)).select("event_id")
+    return logs.dirty_records(logs.parse_all(_lines(spark, sf))).select("event_id")
 
 
 def log_split_counts(spark: SparkSession, sf: str) -> DataFrame:
-    clean = logs.route_log(_parsed(spark, sf)).groupBy("topic").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    dirty = logs.dirty_records(_lines(spark, sf)).agg(F.count(F.lit(1)).alias("n"))
-    return clean.unionByName(dirty.select(F.lit("dirty").alias("topic"), "n"))
+    messages = logs.route_log(logs.parse_all(_lines(spark, sf)))
+    return messages.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
 def log_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -229,8 +226,15 @@ def error_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def base_log_messages(spark: SparkSession, sf: str) -> DataFrame:
     """The whole detail job on raw lines: messages per topic, new flags corrected."""
-    messages, _ = dwd.base_log(facade.log_lines(facade.events(spark, sf)), "event_id")
-    flag = F.get_json_object("value", "$.common.is_new")
+    parsed = dwd.parse_stage(spark, _lines(spark, sf), scratch(spark, "parsed"))
+    messages = dwd.base_log(parsed, "event_id")
+    return topic_summary(messages)
+
+
+def topic_summary(messages: DataFrame) -> DataFrame:
+    """Messages per topic, and how many of them say the visitor is new."""
+    text = F.when(F.col("topic") != logs.TOPIC_DIRTY, F.col("value"))
+    flag = F.get_json_object(text, "$.common.is_new")
     return messages.groupBy("topic").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum((F.coalesce(flag, F.lit("")) == "1").cast("long")).alias("new_ct"),
@@ -597,7 +601,7 @@ def csv_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 def routed_sink(spark: SparkSession, sf: str) -> DataFrame:
     """Messages written to one folder per topic and read back, counted."""
-    messages = logs.route_log(_parsed(spark, sf))
+    messages = logs.route_log(logs.parse_all(_lines(spark, sf)))
     path = scratch(spark, "topics")
     writers.write_topics(messages, path)
     back = spark.read.schema("value STRING, topic STRING").text(path)

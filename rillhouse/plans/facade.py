@@ -143,14 +143,18 @@ def log_lines(ev: DataFrame) -> DataFrame:
 # --- orders, payments, dimensions ----------------------------------------------------------
 
 
+def _with_text(df: DataFrame, ts: str) -> DataFrame:
+    """Add the time as ``text``, through a generator of one row so that it is made once."""
+    return df.select("*", F.explode(F.array(time_text(ts))).alias("text"))
+
+
 def order_info(orders: DataFrame) -> DataFrame:
-    at = time_text("o_orderdate")
-    return orders.select(
+    return _with_text(orders, "o_orderdate").select(
         F.col("o_orderkey").alias("id"),
         (F.col("o_custkey") % 30).alias("province_id"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_totalprice").alias("total_amount"),
-        at.alias("create_time"),
+        F.col("text").alias("create_time"),
         F.lit(None).cast("string").alias("create_date"),
         F.lit(None).cast("string").alias("create_hour"),
         F.col("o_custkey").alias("user_id"),
@@ -158,13 +162,13 @@ def order_info(orders: DataFrame) -> DataFrame:
 
 
 def order_detail(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
+    return _with_text(lineitem, "l_shipdate").select(
         F.col("l_linenumber").cast("long").alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
         F.col("l_extendedprice").alias("order_price"),
         F.col("l_quantity").cast("long").alias("sku_num"),
-        time_text("l_shipdate").alias("create_time"),
+        F.col("text").alias("create_time"),
         F.col("l_discount").alias("split_activity_amount"),
         F.col("l_tax").alias("split_coupon_amount"),
     )
@@ -172,8 +176,8 @@ def order_detail(lineitem: DataFrame) -> DataFrame:
 
 def payment_info(orders: DataFrame) -> DataFrame:
     """A payment for every finished order; the time text of some does not parse."""
-    at = time_text("o_orderdate")
-    return orders.where("o_orderstatus = 'F'").select(
+    at = F.col("text")
+    return _with_text(orders.where("o_orderstatus = 'F'"), "o_orderdate").select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),

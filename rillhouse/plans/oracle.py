@@ -208,7 +208,9 @@ _TOPIC_COUNTS = f"""
   UNION ALL
   SELECT 'dwd_action_log', count(*) FROM events WHERE NOT {_DIRTY} AND event_type = 'purchase'
   UNION ALL
-  SELECT 'dwd_error_log', count(*) FROM events WHERE NOT {_DIRTY} AND event_type = 'error'"""
+  SELECT 'dwd_error_log', count(*) FROM events WHERE NOT {_DIRTY} AND event_type = 'error'
+  UNION ALL
+  SELECT 'dwd_dirty_log', count(*) FROM events WHERE {_DIRTY}"""
 
 ORACLE = {
     "interval_join_orders": """
@@ -257,10 +259,7 @@ LEFT JOIN region ON r_regionkey = p_size % 7""",
 SELECT d.doc_id, lang, source, n_chars, quality, toxic
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
     "log_dirty": f"SELECT event_id FROM events WHERE {_DIRTY}",
-    "log_split_counts": f"""
-SELECT * FROM ({_TOPIC_COUNTS}) WHERE n > 0
-UNION ALL
-SELECT 'dirty', count(*) FROM events WHERE {_DIRTY}""",
+    "log_split_counts": f"SELECT * FROM ({_TOPIC_COUNTS}) WHERE n > 0",
     "log_pages": f"""
 SELECT event_id, CAST(user_id AS VARCHAR) AS mid,
        CASE WHEN event_type <> 'error' THEN event_type END AS page_id,
@@ -445,6 +444,7 @@ ORACLE.update(
         )
     }
 )
+ORACLE["stream_user_jump_timed"] = ORACLE["user_jump"]
 ORACLE["stream_base_log"] = ORACLE["base_log_messages"]
 # Which of a day's first records arrives first is not fixed; that there is one is.
 ORACLE["stream_unique_visit"] = f"""

@@ -25,7 +25,14 @@ from rillhouse.operators.wide import (
     with_fallback_time,
 )
 from rillhouse.plans import dws, facade
-from rillhouse.plans.catalog import DAY, JUMP_HORIZON, MONTH, ORDER_BOUNDS, SESSION_GAP
+from rillhouse.plans.catalog import (
+    DAY,
+    JUMP_HORIZON,
+    MONTH,
+    ORDER_BOUNDS,
+    SESSION_GAP,
+    topic_summary,
+)
 from rillhouse.session import is_folder, scratch, stream_session
 from rillhouse.sources.readers import Endpoint
 from rillhouse.streaming import forms, jobs
@@ -156,13 +163,13 @@ def unique_visit(spark: SparkSession, sf: str) -> DataFrame:
     return drain(spark, out, "unique_visit")
 
 
-def _jumps(s: SparkSession, sf: str) -> DataFrame:
+def _jumps(s: SparkSession, sf: str, form=forms.entry_pattern) -> DataFrame:
     pages = facade.page_records(_events(s, sf)).withColumn("mid", F.col("common.mid"))
     flat = pages.select(
         "event_id", "event_ts", "mid", "ts", logs.is_entry().alias("entry"),
         *[F.col(f"common.{k}").alias(k) for k in ("vc", "ch", "ar", "is_new")],
     )
-    found = forms.entry_pattern(
+    found = form(
         flat, "mid", "event_ts", "event_id", F.col("entry"), JUMP_HORIZON,
         ["event_id", "mid", "ts", "vc", "ch", "ar", "is_new"],
     )
@@ -174,6 +181,12 @@ def user_jump(spark: SparkSession, sf: str) -> DataFrame:
     return drain(spark, out, "user_jump").where(F.col("event_id") != MARKER)
 
 
+def user_jump_timed(spark: SparkSession, sf: str) -> DataFrame:
+    out = _jumps(stream_session(spark), sf, forms.entry_pattern_timed)
+    found = drain(spark, out.select("event_id", "mid", "ts", "how"), "user_jump_timed")
+    return found.where(F.col("event_id") != MARKER)
+
+
 def session_count(spark: SparkSession, sf: str) -> DataFrame:
     s = stream_session(spark)
     timed = forms.watermarked(_events(s, sf), "ts", timedelta(seconds=2))
@@ -253,11 +266,7 @@ def base_log(spark: SparkSession, sf: str) -> DataFrame:
     writer = jobs.base_log_job(lines, "event_id", target, scratch(spark, "state"))
     finish(start(writer, "base_log", once=True))
     messages = spark.read.schema("value STRING, topic STRING").text(target.at)
-    flag = F.get_json_object("value", "$.common.is_new")
-    return messages.groupBy("topic").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum((F.coalesce(flag, F.lit("")) == "1").cast("long")).alias("new_ct"),
-    )
+    return topic_summary(messages)
 
 
 def base_db(spark: SparkSession, sf: str) -> DataFrame:
@@ -301,6 +310,7 @@ QUERIES = {
     "stream_new_visitor_fix": new_visitor_fix,
     "stream_unique_visit": unique_visit,
     "stream_user_jump": user_jump,
+    "stream_user_jump_timed": user_jump_timed,
     "stream_session_count": session_count,
     "stream_running_total": running_total,
     "stream_running_count": running_count,

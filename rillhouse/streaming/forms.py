@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillhouse.functions.scalar import cell_start_us, micros, time_cell
-from rillhouse.operators.ordered import HOUR
+from rillhouse.functions.scalar import micros, time_cell
+from rillhouse.operators.ordered import DAY
 from rillhouse.operators.themes import span_text
 from rillhouse.streaming import processors
 
@@ -119,12 +119,74 @@ def entry_pattern(
 ) -> DataFrame:
     """Stream form of the entry pattern; gives the columns in ``keep`` and ``how``.
 
+    Records gather in windows of ``cell`` per key. A record in the first ``horizon`` of a window
+    also enters the window before, dated ``horizon`` earlier, so that a window holds every
+    successor its records can have; the watermark waits ``horizon`` longer for the same reason.
+    When a window closes, its records are put in order and decided by built-in array functions.
+    """
+    cell = cell or max(6 * horizon, timedelta(minutes=1))
+    if cell < horizon:
+        raise ValueError("cell narrower than the horizon")
+    early = F.unix_micros(ts) - time_cell(ts, cell) < micros(horizon)
+    own = F.struct(F.col(ts).alias("at"), F.lit(True).alias("mine"))
+    before = F.struct((F.col(ts) - F.lit(horizon)).alias("at"), F.lit(False).alias("mine"))
+    copies = F.when(early, F.array(own, before)).otherwise(F.array(own))
+    rows = (
+        df.select(
+            F.col(key).alias("__key"),
+            F.inline(copies),
+            F.struct(
+                F.unix_micros(ts).alias("us"),
+                F.col(tie).alias("tie"),
+                F.coalesce(entry, F.lit(False)).alias("entry"),
+                F.struct(*keep).alias("kept"),
+            ).alias("__e"),
+        )
+        .withColumn("__e", F.col("__e").withField("mine", F.col("mine")))
+        .withWatermark("at", span_text(lateness + horizon))
+    )
+    closed = rows.groupBy(F.window("at", span_text(cell)), "__key").agg(
+        F.array_sort(F.collect_list("__e")).alias("es")
+    )
+    step = F.transform(
+        "es", lambda e, i: F.struct(e.alias("e"), F.get("es", i + 1).alias("n"))
+    )
+
+    def near(p: Column) -> Column:
+        gap = p["n"]["us"] - p["e"]["us"]
+        return F.coalesce(gap < micros(horizon), F.lit(False))
+
+    left = F.filter(
+        step, lambda p: p["e"]["mine"] & p["e"]["entry"] & (~near(p) | p["n"]["entry"])
+    )
+    pair = F.col("p")
+    return closed.select(F.explode(left).alias("p")).select(
+        "p.e.kept.*", F.when(near(pair), "match").otherwise("timeout").alias("how")
+    )
+
+
+def entry_pattern_timed(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    tie: str,
+    entry: Column,
+    horizon: timedelta,
+    keep: list[str],
+    lateness: timedelta = PATTERN_LATENESS,
+    cell: timedelta | None = None,
+) -> DataFrame:
+    """The same by event-time timers, for results within the horizon instead of within a window.
+
+    Each record makes calls from a Python worker to the state store, which is many times slower
+    than the windowed form.
+
     State is kept per key and time cell, and each cell also sees the first ``horizon`` of the next
     one, as in the batch form: a hot key is spread and a finished cell leaves no state.
     """
-    cell = cell or max(16 * horizon, HOUR)
+    cell = cell or max(16 * horizon, DAY)
     own = time_cell(ts, cell)
-    early = F.unix_micros(ts) - cell_start_us(own, cell) < micros(horizon)
+    early = F.unix_micros(ts) - own < micros(horizon)
     rows = (
         watermarked(df, ts, lateness)
         .select(
@@ -139,7 +201,7 @@ def entry_pattern(
             "__cell",
             F.explode(
                 F.when(
-                    F.col("__early"), F.array(F.col("__own"), F.col("__own") - 1)
+                    F.col("__early"), F.array(F.col("__own"), F.col("__own") - micros(cell))
                 ).otherwise(F.array(F.col("__own")))
             ),
         )

@@ -18,7 +18,7 @@ from rillhouse.operators.cdc import (
     route_by_rules,
 )
 from rillhouse.operators.dims import DimStore
-from rillhouse.operators.logs import parse_log, route_log
+from rillhouse.operators.logs import parse_all, route_log
 from rillhouse.operators.wide import enrich_order_wide
 from rillhouse.sources.readers import Endpoint
 from rillhouse.sources.writers import (
@@ -40,7 +40,7 @@ def base_log_job(
 ) -> DataStreamWriter:
     """Raw log lines to the detail topics, new-visitor flags corrected. ``tie`` is the record's
     position in its source."""
-    flat = parse_log(lines).select(
+    flat = parse_all(lines).select(
         "*", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new")
     )
     fixed = forms.correct_new_flag(flat, "mid", "is_new", "ts", tie)
