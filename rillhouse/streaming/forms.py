@@ -33,15 +33,20 @@ def watermarked(df: DataFrame, ts: str, lateness: timedelta = MONOTONE) -> DataF
 def count_with_timeout(
     df: DataFrame, key: str, ts: str, gap: timedelta = timedelta(milliseconds=100)
 ) -> DataFrame:
-    """Records per key until ``gap`` passes without one; also usable on batches."""
-    span = F.session_window(ts, span_text(gap))
+    """Records per key until ``gap`` passes without one; also usable on batches.
+
+    The built-in window still joins a record that comes exactly at its end, so it is taken one
+    microsecond, the resolution of time, short of ``gap``.
+    """
+    tick = timedelta(microseconds=1)
+    span = F.session_window(ts, span_text(gap - tick))
     return (
         df.groupBy(key, span.alias("s"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             key,
             F.col("s.start").alias("session_start"),
-            F.col("s.end").alias("session_end"),
+            (F.col("s.end") + F.lit(tick)).alias("session_end"),
             "n",
         )
     )
@@ -70,7 +75,11 @@ def correct_new_flag(
     old: str = "0",
     ttl: timedelta | None = None,
 ) -> DataFrame:
-    """Only the first record flagged new keeps its flag. Other records do not enter the state."""
+    """Only the first record flagged new keeps its flag. Other records do not enter the state.
+
+    A ``ttl`` is counted in processing time. Such a stream always has another batch to run, so it
+    needs a periodic trigger and is not for draining a bounded input.
+    """
     is_new = F.coalesce(F.col(flag) == new, F.lit(False))
     ttl_ms = None if ttl is None else ttl // timedelta(milliseconds=1)
     judged = (
