@@ -125,34 +125,36 @@ def running(
     """Running sums per key, one output row per record, the record itself included.
 
     Totals per (key, cell) are summed on the map side first; their prefix sums, one row per cell,
-    are what crosses cell borders. The join back and the window share the exchange on (key, cell).
+    are what crosses cell borders. Each enters its cell as a row before all others, so records
+    and carried sums share one exchange on (key, cell) and no join is needed.
     """
-    rows = df.withColumn("__cell", time_cell(ts, cell))
-    for name, value in sums.items():
-        rows = rows.withColumn(f"__v_{name}", value)
-    earlier = W.partitionBy("__k").orderBy("__c").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(F.col(key).alias("__k"), F.col("__cell").alias("__c"))
-        .agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in sums])
-        .select(
-            "__k",
-            "__c",
-            *[
-                F.coalesce(F.sum(f"__t_{n}").over(earlier), F.lit(0)).alias(f"__o_{n}")
-                for n in sums
-            ],
-        )
+    values = {name: f"__v_{name}" for name in sums}
+    rows = df.drop(*sums).withColumns({values[n]: e for n, e in sums.items()}).withColumns(
+        {"__cell": time_cell(ts, cell), "__record": F.lit(True)}
+    )
+    earlier = W.partitionBy(key).orderBy("__cell").rowsBetween(W.unboundedPreceding, -1)
+    carried = (
+        rows.groupBy(key, "__cell")
+        .agg(*[F.sum(v).alias(v) for v in values.values()])
+        .withColumn("__first", F.row_number().over(W.partitionBy(key).orderBy("__cell")) == 1)
+        .withColumns({v: F.sum(v).over(earlier) for v in values.values()})
+        .where("NOT __first")
+        .withColumn("__record", F.lit(False))
     )
-    same = F.col(key).eqNullSafe(F.col("__k")) & F.col("__cell").eqNullSafe(F.col("__c"))
+    absent = [f for f in rows.schema.fields if f.name not in carried.columns]
+    carried = carried.select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent]
+    ).drop("__first")
     here = (
-        W.partitionBy(key, "__cell").orderBy(ts, tie).rowsBetween(W.unboundedPreceding, 0)
+        W.partitionBy(key, "__cell")
+        .orderBy("__record", ts, tie)
+        .rowsBetween(W.unboundedPreceding, 0)
+    )
+    running_sums = {n: F.coalesce(F.sum(v).over(here), F.lit(0)) for n, v in values.items()}
+    out = [*[c for c in df.columns if c not in sums], *sums]
+    return (
+        rows.unionByName(carried).withColumns(running_sums).where("__record").select(*out)
     )
-    joined = rows.join(offsets, same, "inner")
-    out = [F.col(c) for c in df.columns if c not in sums]
-    for name in sums:
-        local = F.coalesce(F.sum(f"__v_{name}").over(here), F.lit(0))
-        out.append((local + F.col(f"__o_{name}")).alias(name))
-    return joined.select(*out)
 
 
 def sessions(

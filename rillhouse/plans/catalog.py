@@ -567,9 +567,8 @@ def json_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def camel_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return shape.camel_columns(
-        facade.table(spark, sf, "nation").withColumnsRenamed({"n_nationkey": "nation_key_id"})
-    )
+    orders = facade.table(spark, sf, "orders").withColumnsRenamed({"o_orderkey": "order_key_id"})
+    return shape.camel_columns(orders)
 
 
 def counter(spark: SparkSession, sf: str) -> DataFrame:

@@ -422,8 +422,10 @@ SELECT '{"event_id":' || event_id || ',"event_type":"' || event_type || '"' ||
        CASE WHEN event_type = 'purchase' THEN ',"buyer":' || user_id ELSE '' END || '}' AS value
 FROM events""",
     "camel_columns": """
-SELECT n_nationkey AS "nationKeyId", n_name AS "nName", n_regionkey AS "nRegionkey"
-FROM nation""",
+SELECT o_orderkey AS "orderKeyId", o_custkey AS "oCustkey", o_orderstatus AS "oOrderstatus",
+       o_totalprice AS "oTotalprice", o_orderdate AS "oOrderdate",
+       o_orderpriority AS "oOrderpriority"
+FROM orders""",
     "counter": "SELECT range AS value FROM range((SELECT count(*) FROM customer))",
     "order_table": """
 SELECT CAST(o_orderkey AS VARCHAR) AS "transactionId", o_orderdate AS "orderTime",
