@@ -16,6 +16,11 @@ from rillhouse import schemas
 from rillhouse.operators.shape import camel_columns
 
 
+# Most records one micro-batch takes from a broker; the rest follows in the next batches. Bounds
+# what a stateful step can see of one key at a time.
+MAX_OFFSETS_PER_TRIGGER = "10000000"
+
+
 @dataclass(frozen=True)
 class Endpoint:
     """Where text records come from or go to.
@@ -36,6 +41,7 @@ def source_options(endpoint: Endpoint, *topics: str) -> tuple[str, dict[str, str
             "kafka.bootstrap.servers": endpoint.at,
             "subscribe": ",".join(topics),
             "startingOffsets": "earliest",
+            "maxOffsetsPerTrigger": MAX_OFFSETS_PER_TRIGGER,
         }
     elif endpoint.kind == "files":
         names = topics[0] if len(topics) == 1 else "{" + ",".join(topics) + "}"

@@ -132,6 +132,7 @@ def entry_pattern(
     also enters the window before, dated ``horizon`` earlier, so that a window holds every
     successor its records can have; the watermark waits ``horizon`` longer for the same reason.
     When a window closes, its records are put in order and decided by built-in array functions.
+    What gathers is one key's traffic of one window, a minute by default.
     """
     cell = cell or max(6 * horizon, timedelta(minutes=1))
     if cell < horizon:

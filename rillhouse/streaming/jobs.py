@@ -6,8 +6,10 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from rillhouse import schemas
 from rillhouse.operators.cdc import (
     SINK_DIM,
     SINK_KAFKA,
@@ -18,8 +20,23 @@ from rillhouse.operators.cdc import (
     route_by_rules,
 )
 from rillhouse.operators.dims import DimStore
-from rillhouse.operators.logs import parse_all, route_log
-from rillhouse.operators.wide import enrich_order_wide
+from rillhouse.operators.logs import is_entry, parse_all, route_log
+from rillhouse.operators.themes import visitor_rows, visitor_stats
+from rillhouse.operators.wide import (
+    enrich_order_wide,
+    merge_order_detail,
+    merge_payment_order,
+    prepare_orders,
+    with_fallback_time,
+)
+from rillhouse.plans.dwm import (
+    JUMP_HORIZON,
+    TOPIC_ORDER_WIDE,
+    TOPIC_PAYMENT_WIDE,
+    TOPIC_UNIQUE_VISIT,
+    TOPIC_USER_JUMP,
+)
+from rillhouse.plans.ods import base_db_lines
 from rillhouse.sources.readers import Endpoint
 from rillhouse.sources.writers import (
     messages,
@@ -97,6 +114,86 @@ def base_db_job(
     return for_each_batch(changes, work, checkpoint)
 
 
+def records(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records of a topic that an earlier layer wrote, with the source's record time."""
+    rows = lines if "record_ts" in lines.columns else lines.withColumn(
+        "record_ts", F.current_timestamp()
+    )
+    return rows.select("record_ts", F.from_json("value", schema).alias("__r")).select(
+        "record_ts", "__r.*"
+    )
+
+
+def page_records(lines: DataFrame) -> DataFrame:
+    """Log records of a page topic with their device and event time."""
+    return records(lines, schemas.BASE_LOG).drop("record_ts").select(
+        "*", F.col("common.mid").alias("mid"), F.timestamp_millis("ts").alias("event_ts")
+    )
+
+
+def _log_messages(logs: DataFrame, topic: str) -> DataFrame:
+    return messages(logs.select(*schemas.BASE_LOG.fieldNames()), topic)
+
+
+def ods_db_job(changes: DataFrame, target: Endpoint, checkpoint: str) -> DataStreamWriter:
+    """Raw change records to normalised envelopes."""
+    return topic_stream(base_db_lines(changes), target, checkpoint)
+
+
+def unique_visit_job(pages: DataFrame, target: Endpoint, checkpoint: str) -> DataStreamWriter:
+    """Page topic to the first visit of each device per day."""
+    first = forms.first_per_day(page_records(pages), "mid", "event_ts", is_entry())
+    return topic_stream(_log_messages(first, TOPIC_UNIQUE_VISIT), target, checkpoint)
+
+
+def user_jump_job(pages: DataFrame, target: Endpoint, checkpoint: str) -> DataStreamWriter:
+    """Page topic to the visits that were left at once."""
+    found = forms.entry_pattern(
+        page_records(pages), "mid", "event_ts", "ts", is_entry(), JUMP_HORIZON,
+        schemas.BASE_LOG.fieldNames(),
+    )
+    return topic_stream(_log_messages(found, TOPIC_USER_JUMP), target, checkpoint)
+
+
+def order_wide_job(
+    orders: DataFrame,
+    details: DataFrame,
+    dimensions: Callable[[], Mapping[str, DataFrame]],
+    as_of: str,
+    target: Endpoint,
+    checkpoint: str,
+) -> DataStreamWriter:
+    """Order and detail topics to complete wide orders."""
+    info = prepare_orders(records(orders, schemas.ORDER_INFO).drop("record_ts"))
+    detail = prepare_orders(records(details, schemas.ORDER_DETAIL).drop("record_ts"))
+    wide = merge_order_detail(
+        forms.watermarked(info, "event_ts"), forms.watermarked(detail, "event_ts")
+    )
+    return enrich_job(wide, dimensions, as_of, TOPIC_ORDER_WIDE, target, checkpoint)
+
+
+def payment_wide_job(
+    payments: DataFrame, wide: DataFrame, target: Endpoint, checkpoint: str
+) -> DataStreamWriter:
+    """Payment and wide order topics to wide payments."""
+    paid = with_fallback_time(records(payments, schemas.PAYMENT_INFO), "record_ts")
+    done = with_fallback_time(records(wide, schemas.ORDER_WIDE), "record_ts")
+    merged = merge_payment_order(
+        forms.watermarked(paid.drop("record_ts"), "event_ts"),
+        forms.watermarked(done.drop("record_ts"), "event_ts"),
+    )
+    return topic_stream(
+        messages(merged.drop("event_ts"), TOPIC_PAYMENT_WIDE), target, checkpoint
+    )
+
+
+def visitor_theme(unique_visits: DataFrame, jumps: DataFrame, pages: DataFrame) -> DataFrame:
+    """Three topics to the visitor theme; write it with ``writers.jdbc_stream`` or as messages."""
+    return visitor_stats(
+        visitor_rows(page_records(unique_visits), page_records(jumps), page_records(pages))
+    )
+
+
 def dimension_job(
     changes: DataFrame,
     store: DimStore,

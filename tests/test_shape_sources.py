@@ -150,7 +150,8 @@ def test_source_options():
     kafka = Endpoint("kafka", "h:9092", {"kafka.group.id": "g"})
     assert readers.source_options(kafka, "a", "b") == (
         "kafka",
-        {"kafka.bootstrap.servers": "h:9092", "subscribe": "a,b", "startingOffsets": "earliest", "kafka.group.id": "g"},
+        {"kafka.bootstrap.servers": "h:9092", "subscribe": "a,b", "startingOffsets": "earliest",
+         "maxOffsetsPerTrigger": readers.MAX_OFFSETS_PER_TRIGGER, "kafka.group.id": "g"},
     )
     assert readers.source_options(Endpoint("socket", "host:9999")) == ("socket", {"host": "host", "port": "9999"})
     assert readers.source_options(Endpoint("files", "/d/"), "a") == ("text", {"path": "/d/topic=a"})

@@ -389,3 +389,74 @@ def test_sinks(spark, session, tmp_path):
     shown = start(console_stream(feed.stream), "console", once=True)
     finish(shown)
     assert shown.lastProgress["numInputRows"] == 10
+
+
+def test_jobs_over_topics(spark, session, tmp_path):
+    """Page lines through first visits and bounces to the visitor theme; orders to payments."""
+    import json
+
+    root = tmp_path / "topics"
+
+    def put(topic, *records_):
+        path = root / f"topic={topic}"
+        path.mkdir(parents=True, exist_ok=True)
+        (path / f"{len(list(path.iterdir()))}.txt").write_text("\n".join(map(json.dumps, records_)) + "\n")
+
+    base = 1_699_999_200_000  # 2023-11-14 22:00:00
+
+    def page(mid, second, last=None):
+        fields = {"page_id": "p", "during_time": 7, **({"last_page_id": last} if last else {})}
+        return {"common": {"mid": mid, "ar": "a", "ch": "c", "vc": "v", "is_new": "0"}, "page": fields, "ts": base + second * 1000}
+
+    at_ = Endpoint("files", str(root))
+    read = lambda topic: text_stream(session, at_, topic)
+
+    def go(writer, name):
+        finish(start(writer, name, once=True))
+        return spark.read.text(str(tmp_path / name))
+
+    def to(name):
+        return Endpoint("files", str(tmp_path / name)), str(tmp_path / f"{name}_state")
+
+    end = page("end", 10**9, "x")
+    put("dwd_page_log", page("m", 0), page("m", 3, "p"), page("m", 100), page("n", 5), end)
+    uv = go(jobs.unique_visit_job(read("dwd_page_log"), *to("uv")), "uv")
+    uj = go(jobs.user_jump_job(read("dwd_page_log"), *to("uj")), "uj")
+    ts = F.get_json_object("value", "$.ts")
+    assert rows(uv.select(ts)) == [(str(base),), (str(base + 5000),)]
+    assert rows(uj.select("topic", ts)) == [("dwm_user_jump_detail", str(base + s)) for s in (5000, 100_000)]
+
+    uv_s = text_stream(session, Endpoint("files", str(tmp_path / "uv")), "dwm_unique_visit")
+    uj_s = text_stream(session, Endpoint("files", str(tmp_path / "uj")), "dwm_user_jump_detail")
+    stats = run(jobs.visitor_theme(uv_s, uj_s, read("dwd_page_log")), tmp_path / "stats")(spark)
+    assert rows(stats.where("ar = 'a'"), "stt", "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")[0] == (
+        "2023-11-14 22:00:00", 2, 3, 2, 1, 21
+    )
+
+    put("dwd_order_info", {"id": 1, "user_id": 7, "province_id": 2, "create_time": "2020-01-01 00:00:00"})
+    put("dwd_order_detail", {"id": 5, "order_id": 1, "sku_id": 9, "create_time": "2020-01-01 00:00:04"},
+        {"id": 6, "order_id": 1, "sku_id": 9, "create_time": "2020-01-01 00:00:05"})
+    put("dwd_payment_info", {"id": 3, "order_id": 1, "create_time": "2020-01-01 00:15:00"})
+    schema = {"DIM_USER_INFO": "7 f 2000-01-01", "DIM_BASE_PROVINCE": "2 P 1 I J", "DIM_SKU_INFO": "9 N 1 2 3",
+              "DIM_SPU_INFO": "2 spu", "DIM_BASE_TRADEMARK": "3 tm", "DIM_BASE_CATEGORY3": "4 miss"}
+    from rillhouse.schemas import DIM_COLUMNS
+
+    def dimensions():
+        return {t: spark.createDataFrame([tuple(v.split())], DIM_COLUMNS[t]) for t, v in schema.items()}
+
+    wide = go(
+        jobs.order_wide_job(read("dwd_order_info"), read("dwd_order_detail"), dimensions, "2020-01-01", *to("wide")),
+        "wide",
+    )
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    names = ["detail_id", "user_age", "province_name", "sku_name", "spu_name", "tm_name", "category3_name"]
+    assert rows(wide.select(*[field(n) for n in names])) == [("5", "20", "P", "N", "spu", "tm", None)]
+
+    (root / "topic=dwm_order_wide").mkdir()
+    (root / "topic=dwm_order_wide" / "0.txt").write_text(wide.first().value + "\n")
+    paid = go(
+        jobs.payment_wide_job(read("dwd_payment_info"), read("dwm_order_wide"), *to("paid")), "paid"
+    )
+    assert rows(paid.select(field("payment_id"), field("detail_id"), field("order_create_time"))) == [
+        ("3", "5", "2020-01-01 00:00:04")
+    ]
