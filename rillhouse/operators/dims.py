@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SEQ = "__seq_"
@@ -25,10 +25,7 @@ def upsert_cells(
     """
     rows = changes.where(F.col(key).isNotNull()).select(
         F.col(key).alias("__k"),
-        *[
-            F.when(F.col(cells)[c].isNotNull(), F.struct(F.col(seq).alias("s"), F.col(cells)[c].alias("v"))).alias(c)
-            for c in columns
-        ],
+        *[_stamped(F.col(seq), F.col(cells)[c]).alias(c) for c in columns],
     )
     return _newest(rows, columns)
 
@@ -39,14 +36,16 @@ def upsert_columns(
     """The same for change records with plain columns: key plus latest non-null per column."""
     rows = changes.where(F.col(key).isNotNull()).select(
         F.col(key).alias("__k"),
-        *[
-            F.when(F.col(c).isNotNull(), F.struct(F.col(seq).alias("s"), F.col(c).alias("v"))).alias(c)
-            for c in columns
-        ],
+        *[_stamped(F.col(seq), F.col(c)).alias(c) for c in columns],
     )
     return cells_only(_newest(rows, columns), columns).withColumnRenamed("__k", key)
 
 
+def _stamped(seq: Column, cell: Column) -> Column:
+    """A cell behind the number that wrote it, so that the greater pair is the newer one."""
+    return F.when(cell.isNotNull(), F.struct(seq.alias("s"), cell.alias("v")))
+
+
 def _newest(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     newest = rows.groupBy("__k").agg(*[F.max(c).alias(c) for c in columns])
     return newest.select(
@@ -60,13 +59,7 @@ def merge_versions(parts: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Combine stored rows of one dimension written at different times."""
     rows = parts.select(
         "__k",
-        *[
-            F.when(
-                F.col(f"{_SEQ}{c}").isNotNull(),
-                F.struct(F.col(f"{_SEQ}{c}").alias("s"), F.col(c).alias("v")),
-            ).alias(c)
-            for c in columns
-        ],
+        *[_stamped(F.col(f"{_SEQ}{c}"), F.col(c)).alias(c) for c in columns],
     )
     return _newest(rows, columns)
 
@@ -141,14 +134,10 @@ class DimStore:
         wide = self.spark.read.parquet(self._path(table, "base", base))
         if not deltas:
             return self._fill(wide, columns)
-        parts = self._fill(wide, columns)
-        for frame in self._delta_groups(table, deltas):
-            parts = parts.unionByName(self._fill(frame, columns))
-        return merge_versions(parts, columns)
-
-    def _delta_groups(self, table: str, deltas: Sequence[int]) -> list[DataFrame]:
         paths = [self._path(table, "delta", v) for v in sorted(deltas)]
-        return [self.spark.read.option("mergeSchema", "true").parquet(*paths)]
+        changed = self.spark.read.option("mergeSchema", "true").parquet(*paths)
+        parts = self._fill(wide, columns).unionByName(self._fill(changed, columns))
+        return merge_versions(parts, columns)
 
     @staticmethod
     def _fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -348,7 +348,8 @@ def product_stats_sources(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def product_stats_named(spark: SparkSession, sf: str) -> DataFrame:
-    named = dws.describe_products(_product(spark, sf), product_dimension(facade.dimensions(spark, sf)))
+    products = product_dimension(facade.dimensions(spark, sf))
+    named = dws.describe_products(_product(spark, sf), products)
     return named.select(
         "stt", "edt", "sku_id", "sku_name", "spu_id", "spu_name", "tm_id", "tm_name",
         "category3_id", "category3_name", "order_ct", "order_amount",
@@ -616,7 +617,8 @@ QUERIES = {
         error_records, base_log_messages, entry_predicate, dirty_rate, new_visitor_fix,
         unique_visit, user_jump, session_count, session_window_count, running_total,
         running_count, key_counts, partition_counts, visitor_stats, visitor_stats_10s,
-        product_stats, product_stats_sources, product_stats_named, product_union, cdc_normalize, cdc_lines_roundtrip,
+        product_stats, product_stats_sources, product_stats_named, product_union,
+        cdc_normalize, cdc_lines_roundtrip,
         route_by_rules, dim_upsert, dim_store, load_new_and_changed, load_incremental,
         ads_rollup, ads_cube, ads_totals, ads_filter_agg, ads_visits, split_cast, side_output,
         csv_parse, text_time, event_time_fallback, action_codec, copy_fields, json_lines,

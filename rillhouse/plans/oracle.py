@@ -82,7 +82,8 @@ wide_ AS (
          CAST(NULL AS VARCHAR) AS refundable_time,
          strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS create_time,
          CAST(NULL AS VARCHAR) AS operate_time,
-         strftime(o_orderdate, '%Y-%m-%d') AS create_date, strftime(o_orderdate, '%H') AS create_hour,
+         strftime(o_orderdate, '%Y-%m-%d') AS create_date,
+         strftime(o_orderdate, '%H') AS create_hour,
          n.n_name AS province_name, CAST(n.n_regionkey AS VARCHAR) AS province_area_code,
          r.r_name || '-' || CAST(n.n_nationkey AS VARCHAR) AS province_3166_2_code,
          r.r_name AS province_iso_code,

@@ -293,11 +293,9 @@ def base_db(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("dim_user").alias("topic"), F.count(F.lit(1)).alias("n"),
         F.count("segment").alias("cells"),
     )
+    status, priority = [F.get_json_object("value", f"$.{c}") for c in ("status", "priority")]
     count = sent.groupBy("topic").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(
-            F.coalesce(F.get_json_object("value", "$.status"), F.get_json_object("value", "$.priority"))
-        ).alias("cells"),
+        F.count(F.lit(1)).alias("n"), F.count(F.coalesce(status, priority)).alias("cells")
     )
     return count.unionByName(named)
 
