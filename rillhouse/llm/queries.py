@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillhouse.llm import mixing, packing, simhash, token_files
+from rillhouse.llm import mixing, packing, simhash, substring, token_files, toxicity
 from rillhouse.llm.common import table
 
 
@@ -28,6 +28,17 @@ def op1_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op5_pack_best_fit(spark: SparkSession, sf: str) -> DataFrame:
     packed = packing.pack(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
     return packed.select(
@@ -41,6 +52,11 @@ def op5_pack_best_fit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_remove_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return substring.dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select(
@@ -61,7 +77,15 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op5_pack_best_fit, op9_simhash, op10_token_files)
+    f.__name__: f
+    for f in (
+        op1_mix_sources,
+        op2_toxicity,
+        op5_pack_best_fit,
+        op8_remove_repeats,
+        op9_simhash,
+        op10_token_files,
+    )
 }
 
 ORACLE: dict[str, str] = {
