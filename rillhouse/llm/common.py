@@ -60,53 +60,57 @@ def lookup(
     ).drop("_key", "_salt", "_right")
 
 
+#: About so many links of a graph make up one task.
+LINKS_PER_TASK = 200_000
+
+
 def components(links: DataFrame, label: str = "components") -> DataFrame:
     """``(node, root)`` for each node of the undirected ``links(a, b)``; roots name components.
 
     Each round points every node at its smallest neighbour, follows the pointers to their ends by
-    doubling, and replaces links by links between the ends. A node is never the end of fewer than
-    two nodes, so rounds are logarithmic; all tables stay in the shared folder.
+    doubling, and replaces links by links between the ends. An end always stands for two nodes at
+    least, so rounds are logarithmic. All tables stay in the shared folder; they never have more
+    rows than twice the links, whose count sets the number of tasks.
     """
-    live = stored(
+    first = stored(
         links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .where("a < b")
         .distinct(),
         label,
     )
-    roots: DataFrame | None = None
-    while not live.isEmpty():
+    left = first.count()
+    tasks = left // LINKS_PER_TASK + 1
+    live, roots = first, None
+    while left:
         both = live.union(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = stored(
-            both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("up")),
-            label,
-        )
-        while True:
-            above = up.select(F.col("node").alias("up"), F.col("up").alias("upper"))
-            jumped = stored(up.join(above, "up").select("node", "up", "upper"), label)
-            moved = not jumped.where("up <> upper").isEmpty()
-            up = jumped.select("node", F.col("upper").alias("up"))
-            if not moved:
-                break
+        up = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("up"))
+        up = stored(up.coalesce(tasks), label)
+        moved = True
+        while moved:
+            two = up.join(up.toDF("up", "two"), "up")
+            up = stored(two.join(up.toDF("two", "three"), "two").select("node", "two", "three")
+                        .coalesce(tasks), label)
+            moved = not up.where("two <> three").isEmpty()
+            up = up.select("node", F.col("three").alias("up"))
         live = stored(
             live.join(up.toDF("a", "ra"), "a")
             .join(up.toDF("b", "rb"), "b")
             .where("ra <> rb")
             .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
-            .distinct(),
+            .distinct()
+            .coalesce(tasks),
             label,
         )
+        left = live.count()
         if roots is None:
             roots = up.toDF("node", "root")
         else:
-            roots = stored(
-                roots.join(up.toDF("root", "next"), "root", "left").select(
-                    "node", F.coalesce("next", "root").alias("root")
-                ),
-                label,
+            further = up.toDF("root", "next")
+            roots = roots.join(further, "root", "left").select(
+                "node", F.coalesce("next", "root").alias("root")
             )
-    if roots is None:
-        return live.toDF("node", "root")
-    return roots
+            roots = stored(roots.coalesce(tasks), label)
+    return first.toDF("node", "root") if roots is None else roots
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

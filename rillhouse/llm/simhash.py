@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
 from rillhouse.llm.common import components, stored
@@ -121,7 +122,7 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFram
             marks = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
             yield batch.append_column("_fp", pa.array(marks, pa.int64()))
 
-    schema = docs.schema.add("_fp", "long")
+    schema = StructType([*docs.schema.fields, StructField("_fp", LongType())])
     nameless = docs.where("doc_id is null").mapInArrow(run, schema)
     more = nameless.join(unknown.withColumnRenamed("fp", "_fp"), "_fp", "left_semi")
     return out.unionByName(more.dropDuplicates(["_fp"]).select(*docs.columns))
