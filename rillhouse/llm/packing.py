@@ -129,36 +129,34 @@ def plan(counts: dict[int, int], capacity: int = 1024) -> dict[int, list[tuple[i
     return runs
 
 
-def pack(
-    docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 1024
-) -> DataFrame:
-    """The pieces of all documents with ``sequence_id`` and ``offset``, ids included.
+def place(cut: DataFrame, capacity: int = 1024) -> DataFrame:
+    """Stored pieces with ``sequence_id`` and ``offset``; what else they carry is kept.
 
     Ranks of a length are numbered per (length, salt) and shifted by the counts of the salts
-    before, so a length that a third of all pieces have is spread over tasks. Repeated documents
-    are packed as often as they come; an empty table gives an empty result.
+    before, so a length that a third of all pieces have is spread over tasks. Rows are shuffled
+    once; a caller that needs no ids drops them before.
     """
-    cut = stored(pieces(docs, tokenizer, end_id, capacity), "pack-pieces")
     salts = cut.count() // PER_TASK + 1
+    kept = cut.columns
     salted = cut.withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "piece", "ids"), F.lit(salts)).cast("int")
+        "_salt", F.pmod(F.xxhash64(*sorted(kept)), F.lit(salts)).cast("int")
     )
-    counts = stored(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "pack-counts")
+    counts = stored(salted.groupBy("length", "_salt").agg(F.count("*").alias("n")), "pack-counts")
     lengths = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}
-    before = W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy("length").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)
     shifts = counts.select(
-        "length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift")
+        "length", "_salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_shift")
     )
-    order = W.partitionBy("length", "salt").orderBy("doc_id", "piece", F.xxhash64("ids"))
-    ranked = salted.withColumn("rank", F.row_number().over(order) - 1).join(
-        shifts, ["length", "salt"]
+    order = W.partitionBy("length", "_salt").orderBy("doc_id", "piece", F.xxhash64(*sorted(kept)))
+    ranked = salted.withColumn("_rank", F.row_number().over(order) - 1).join(
+        shifts, ["length", "_salt"]
     )
     runs = {k: np.array(v, dtype=np.int64) for k, v in plan(lengths, capacity).items()}
 
     def run(batches):
         for batch in batches:
             length = batch.column("length").to_numpy()
-            rank = batch.column("rank").to_numpy()
+            rank = batch.column("_rank").to_numpy()
             sequence, offset = np.empty_like(rank), np.empty_like(rank)
             for size in np.unique(length):
                 rows = np.flatnonzero(length == size)
@@ -167,16 +165,22 @@ def pack(
                 turn, slot = np.divmod(rank[rows] - r[:, 0], r[:, 2])
                 sequence[rows] = r[:, 1] + turn
                 offset[rows] = r[:, 3] + slot * size
-            kept = [batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids")]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(sequence), pa.array(offset)],
-                ["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"],
+                [*batch.columns[:-1], pa.array(sequence), pa.array(offset)],
+                [*kept, "sequence_id", "offset"],
             )
 
-    slim = ranked.select(
-        "doc_id", "piece", "start", "length", "ids", (F.col("rank") + F.col("shift")).alias("rank")
-    )
-    return slim.mapInArrow(run, PIECES + ", sequence_id long, offset long")
+    slim = ranked.select(*kept, (F.col("_rank") + F.col("_shift")).alias("_rank"))
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in cut.dtypes)
+    return slim.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+
+
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
+    """The pieces of all documents, ids included, with ``sequence_id`` and ``offset``.
+
+    Repeated documents are packed as often as they come; an empty table gives an empty result.
+    """
+    return place(stored(pieces(docs, tokenizer, end_id, capacity), "pack-pieces"), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillhouse.llm import mixing, packing, simhash, substring, token_files, toxicity
-from rillhouse.llm.common import table
+from rillhouse.llm.common import stored, table
 
 
 def vocabulary(name: str) -> str:
@@ -39,17 +39,15 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def packed_digest(docs: DataFrame) -> DataFrame:
+    """The places of all pieces, with a digest of their ids instead of the ids."""
+    cut = stored(packing.pieces(docs, vocabulary("byte_bpe_50k.json")), "pack-pieces")
+    slim = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place(slim).withColumn("length", F.col("length").cast("long"))
+
+
 def op5_pack_best_fit(spark: SparkSession, sf: str) -> DataFrame:
-    packed = packing.pack(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
-    return packed.select(
-        "doc_id",
-        "piece",
-        "start",
-        F.col("length").cast("long").alias("length"),
-        F.crc32("ids").alias("ids_crc32"),
-        "sequence_id",
-        "offset",
-    )
+    return packed_digest(table(spark, sf, "documents"))
 
 
 def op8_remove_repeats(spark: SparkSession, sf: str) -> DataFrame:

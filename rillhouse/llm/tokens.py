@@ -1,65 +1,96 @@
-"""Token ids by the tokenizers library, each distinct chunk of text encoded once per worker."""
+"""Token ids by the tokenizers library, with a memory of chunks of text."""
 
 from __future__ import annotations
 
 import re
 from functools import cache
-from itertools import chain
 
 import numpy as np
 
 #: The characters with Unicode's White_Space property (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-#: Fresh start of a worker's memory of chunks beyond this many.
-MEMORY = 400_000
-_MARK = "\x00"
+#: Beyond this many entries a worker's memory becomes the old one, which is asked second.
+MEMORY = 250_000
+_W = f"[{SPACE}]"
+_L = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: How the two vocabularies split text, here for ASCII and Latin-1 letters (fixed values).
+_SPLITS = {
+    True: rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[0-9]+| ?[^\s{_L}0-9]+|\s+(?!\S)|\s+",
+    False: rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[0-9]|[^\s{_L}0-9]+",
+}
+_KNOWN = re.compile(rf"[\x00-\x7f{_L}]*")
+#: The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves,
+#: the others in order from 256 on.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: b for b in _PLAIN} | {
+    b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))
+}
 
 
-class Encoder:
+class Encoder(dict):
     """Encodes like ``Tokenizer.encode(text, add_special_tokens=False)``.
 
     Neither pattern that the two vocabularies split text by lets a token reach from a character
     into the white space after it. So a text may be cut before every run of white space, and a
-    chunk has the same ids wherever it stands. Chunks not seen before are encoded together, with
-    a mark between them whose id no chunk holds. ``spaces`` says whether white space has ids.
+    chunk has the same ids wherever it stands; the mapping itself holds those of chunks seen, as
+    bytes.
+    A new chunk of ASCII and Latin-1 letters is split here and its parts go to the library's model,
+    without its normalizer and bookkeeping of offsets; any other goes to the library whole.
+    ``spaces`` says whether white space has ids.
     """
 
     def __init__(self, path: str, spaces: bool) -> None:
+        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        lead = f"[{SPACE}]*" if spaces else ""
-        tail = f"|[{SPACE}]+" if spaces else ""
+        self.tokenize = self.tokenizer.model.tokenize
+        lead, tail = (f"{_W}*", f"|{_W}+") if spaces else ("", "")
         self.chunks = re.compile(f"{lead}[^{SPACE}]+{tail}").findall
-        self.between = " " + _MARK + ("" if spaces else " ")
-        self.mark = self.ids(" " + _MARK)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.split = re.compile(_SPLITS[spaces], re.ASCII).findall
         self.spaces = spaces
+        self.parts: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
-    def ids(self, text: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def learn(self, new: list[str]) -> None:
-        odd = [c for c in new if _MARK in c or (self.spaces and c[0] not in " \n")]
-        self.known.update((c, self.ids(c)) for c in odd)
-        new = [c for c in new if c not in self.known]
-        if not new:
-            return
-        got = np.array(self.ids(self.between.join(new) + self.between), dtype=np.int64)
-        ends = np.flatnonzero(got == self.mark[-1])
-        got, begin = got.tolist(), 0
-        for chunk, end in zip(new, ends.tolist(), strict=True):
-            self.known[chunk] = tuple(got[begin : end + 1 - len(self.mark)])
-            begin = end + 1
+    def part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = self.old_parts.get(part)
+            if ids is None:
+                text = part.encode().decode("latin-1").translate(_BYTES)
+                ids = pack(self.tokenize(text))
+            self.parts[part] = ids
+        return ids
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            if _KNOWN.fullmatch(chunk) and "<|" not in chunk:
+                parts = self.split(chunk if self.spaces else chunk.lower())
+                ids = b"".join(map(self.part, parts))
+            else:
+                ids = np.array(
+                    self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4"
+                ).tobytes()
+        self[chunk] = ids
+        return ids
 
     def encode(self, text: str | None) -> np.ndarray:
+        if len(self) > MEMORY:
+            self.old = self.copy()
+            self.clear()
+        if len(self.parts) > MEMORY:
+            self.old_parts, self.parts = self.parts, {}
         parts = self.chunks(text or "")
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        new = [c for c in dict.fromkeys(parts) if c not in self.known]
-        if new:
-            self.learn(new)
-        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, parts)), dtype="<u4")
+        return np.frombuffer(b"".join(map(self.__getitem__, parts)), dtype="<u4")
+
+
+def pack(tokens: list) -> bytes:
+    """Ids of tokens as little-endian unsigned 32-bit numbers."""
+    if len(tokens) == 1:
+        return tokens[0].id.to_bytes(4, "little")
+    return b"".join([t.id.to_bytes(4, "little") for t in tokens])
 
 
 @cache
