@@ -14,7 +14,7 @@ from rillhouse.llm.vectors import (
 )
 
 #: Share of the lists that a query probes, dimensions per block, and the width of the test.
-PROBED, BLOCK, WIDTH = 0.25, 8, 2.1
+PROBED, BLOCK, WIDTH = 0.8, 8, 2.1
 #: Index rows that one group holds at most, about.
 PER_GROUP = 4096
 
@@ -87,7 +87,8 @@ def search(
                 near = squared(units(matrix(frame["vector"])), centres).argmin(axis=1)
                 yield frame.assign(list=near.astype(np.int32))
 
-    indexed = stored(rows.mapInPandas(assign, "vec_id long, vector array<double>, list int"), "ann-lists")
+    listed = "vec_id long, vector array<double>, list int"
+    indexed = stored(rows.mapInPandas(assign, listed), "ann-lists")
     sizes = np.zeros(len(centres), dtype=np.int64)
     for r in indexed.groupBy("list").count().collect():
         sizes[r[0]] = r[1]
@@ -114,9 +115,8 @@ def search(
     asked = indexed.where(F.col("vec_id") % every == 0).select("vec_id", "vector")
     asked = asked.distinct().mapInPandas(deal, group)
     per_list = F.element_at(F.array(*[F.lit(int(p)) for p in parts]), F.col("list") + 1)
-    held = indexed.select(
-        "list", F.pmod(F.xxhash64("vec_id", "vector"), per_list).cast("int").alias("part"), "vec_id", "vector"
-    )
+    part = F.pmod(F.xxhash64("vec_id", "vector"), per_list).cast("int").alias("part")
+    held = indexed.select("list", part, "vec_id", "vector")
 
     def nearest(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -124,7 +124,8 @@ def search(
             index = index.sort_values("vec_id", kind="stable")
             own, raw = index["vec_id"].to_numpy(), matrix(index["vector"])
             turned = units(raw) @ turn
-            blocks = [np.ascontiguousarray(turned[:, a : a + BLOCK]) for a in range(0, turned.shape[1], BLOCK)]
+            edges = range(0, turned.shape[1], BLOCK)
+            blocks = [np.ascontiguousarray(turned[:, a : a + BLOCK]) for a in edges]
             asked_raw = matrix(queries["vector"])
             asked_turned = units(asked_raw) @ turn
             for q, query_id in enumerate(queries["vec_id"].to_numpy()):

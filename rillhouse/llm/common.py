@@ -65,7 +65,9 @@ LINKS_PER_TASK = 200_000
 
 
 def components(links: DataFrame, label: str = "components") -> DataFrame:
-    """``(node, root)`` for each node of the undirected ``links(a, b)``; roots name components.
+    """``(node, root)`` for each node of the undirected ``links(a, b)``.
+
+    A component's root is its smallest node.
 
     Each round points every node at its smallest neighbour, follows the pointers to their ends by
     doubling, and replaces links by links between the ends. An end always stands for two nodes at

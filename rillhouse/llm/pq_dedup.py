@@ -113,7 +113,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, spread: float = 4.0
     classes = stored(classes.select(F.xxhash64("vector").alias("tie"), "*"), "pq-classes")
     count = classes.count()
     if count == 0:
-        return _result(vectors, spark.createDataFrame([], "vec_id long, n_links long, component_id long"))
+        none = "vec_id long, n_links long, component_id long"
+        return _result(vectors, spark.createDataFrame([], none))
     sample = sampled(classes)
     book = Quantizer.fit(sample, list_count(count))
     dims = sample.shape[1]
@@ -223,8 +224,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, spread: float = 4.0
     member = stored(member, "pq-members")
     edges = edges.union(member.select(F.col("vec_id").alias("a"), F.col("first").alias("b")))
     roots = components(edges, "pq-links")
-    names_ = roots.groupBy("root").agg(F.min("node").alias("component_id"))
-    named = roots.join(names_, "root").select(F.col("node").alias("vec_id"), "component_id")
+    named = roots.toDF("vec_id", "component_id")
     per_id = (
         member.join(counts, ["first", "tie"], "left")
         .groupBy("vec_id")

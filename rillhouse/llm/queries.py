@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillhouse.llm import mixing, packing, simhash, substring, token_files, toxicity
+from rillhouse.llm import (
+    ann_search,
+    mixing,
+    packing,
+    pq_dedup,
+    simhash,
+    substring,
+    token_files,
+    toxicity,
+)
 from rillhouse.llm.common import stored, table
 
 
@@ -50,6 +59,14 @@ def op5_pack_best_fit(spark: SparkSession, sf: str) -> DataFrame:
     return packed_digest(table(spark, sf, "documents"))
 
 
+def op6_ann_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ann_search.search(table(spark, sf, "embeddings"))
+
+
+def op7_vector_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return pq_dedup.near_duplicates(table(spark, sf, "embeddings"))
+
+
 def op8_remove_repeats(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return substring.dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -80,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_mix_sources,
         op2_toxicity,
         op5_pack_best_fit,
+        op6_ann_search,
+        op7_vector_groups,
         op8_remove_repeats,
         op9_simhash,
         op10_token_files,

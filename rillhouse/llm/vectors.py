@@ -19,7 +19,8 @@ def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     """
     v = F.col("vector")
     rows = vectors.where("vec_id is not null").select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("vector")
+        F.col("vec_id").cast("long").alias("vec_id"),
+        F.col(column).cast("array<double>").alias("vector"),
     )
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0.0))
