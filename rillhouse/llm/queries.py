@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rillhouse.llm import (
     ann_search,
+    html_extract,
     mixing,
     packing,
     pq_dedup,
@@ -48,6 +49,11 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    found = html_extract.main_text(table(spark, sf, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def packed_digest(docs: DataFrame) -> DataFrame:
     """The places of all pieces, with a digest of their ids instead of the ids."""
     cut = stored(packing.pieces(docs, vocabulary("byte_bpe_50k.json")), "pack-pieces")
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_mix_sources,
         op2_toxicity,
+        op4_main_text,
         op5_pack_best_fit,
         op6_ann_search,
         op7_vector_groups,
