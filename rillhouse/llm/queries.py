@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rillhouse.llm import (
     ann_search,
     html_extract,
+    lm_scoring,
     mixing,
     packing,
     pq_dedup,
@@ -49,6 +50,12 @@ def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    good = table(spark, sf, "labels").where("quality = 1")
+    return lm_scoring.score(docs, good).drop("text")
+
+
 def op4_main_text(spark: SparkSession, sf: str) -> DataFrame:
     found = html_extract.main_text(table(spark, sf, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -102,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_mix_sources,
         op2_toxicity,
+        op3_lm_scores,
         op4_main_text,
         op5_pack_best_fit,
         op6_ann_search,
