@@ -60,7 +60,7 @@ def copy_fields(df: DataFrame, target: T.StructType) -> DataFrame:
         col = F.col(f"`{field.name}`")
         if kind is None or isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
             col = F.lit(None)
-        elif isinstance(kind, (T.DateType, T.TimestampType)) and isinstance(
+        elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) and isinstance(
             field.dataType, T.NumericType
         ):
             col = F.unix_millis(col.cast("timestamp"))

@@ -265,7 +265,7 @@ def base_log(spark: SparkSession, sf: str) -> DataFrame:
     target = Endpoint("files", scratch(spark, "dwd"))
     writer = jobs.base_log_job(lines, "event_id", target, scratch(spark, "state"))
     finish(start(writer, "base_log", once=True))
-    messages = spark.read.schema("value STRING, topic STRING").text(target.at)
+    messages = spark.read.schema("value STRING, topic STRING, run STRING, batch BIGINT").text(target.at)
     return topic_summary(messages)
 
 
@@ -287,7 +287,7 @@ def base_db(spark: SparkSession, sf: str) -> DataFrame:
         scratch(spark, "state"),
     )
     finish(start(writer, "base_db", once=True))
-    sent = spark.read.schema("value STRING, topic STRING, batch BIGINT").text(target.at)
+    sent = spark.read.schema("value STRING, topic STRING, run STRING, batch BIGINT").text(target.at)
     users = store.read("dim_user", ["id", "name", "segment"], "id")
     named = users.agg(
         F.lit("dim_user").alias("topic"), F.count(F.lit(1)).alias("n"),

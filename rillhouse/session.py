@@ -81,3 +81,27 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return files.getFileStatus(where).isDirectory()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file that marks something as done."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.create(where, True).close()
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def run_of(batch_rows) -> str:
+    """The id of the stream that a micro-batch belongs to: kept by its checkpoint over restarts,
+    and another for every new checkpoint."""
+    found = batch_rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return found or "batch"

@@ -45,7 +45,9 @@ def source_options(endpoint: Endpoint, *topics: str) -> tuple[str, dict[str, str
         }
     elif endpoint.kind == "files":
         names = topics[0] if len(topics) == 1 else "{" + ",".join(topics) + "}"
-        options = {"path": f"{endpoint.at.rstrip('/')}/topic={names}"}
+        # below a topic, folders of runs and batches are only places, not columns
+        path = f"{endpoint.at.rstrip('/')}/topic={names}"
+        options = {"path": path, "recursiveFileLookup": "true"}
     elif endpoint.kind == "socket":
         host, port = endpoint.at.rsplit(":", 1)
         options = {"host": host, "port": port}
@@ -56,12 +58,24 @@ def source_options(endpoint: Endpoint, *topics: str) -> tuple[str, dict[str, str
 
 
 def text_stream(spark: SparkSession, endpoint: Endpoint, *topics: str) -> DataFrame:
-    """A stream of text records.
+    """A stream of text records with ``topic``, ``record_ts`` and ``offset``.
 
-    From a broker the record's own time and position come along as ``record_ts`` and ``offset``.
+    From a broker these are the record's own. A record from a file has the time at which its file
+    was finished, which a replay meets again, and as ``offset`` a hash of file and text: a fixed
+    place to break ties by, the same for equal lines of one file.
     """
     fmt, options = source_options(endpoint, *topics)
     raw = spark.readStream.format(fmt).options(**options).load()
+    return _positioned(raw, endpoint)
+
+
+def text_batch(spark: SparkSession, endpoint: Endpoint, *topics: str) -> DataFrame:
+    """The records that topics hold now, with the same columns."""
+    fmt, options = source_options(endpoint, *topics)
+    return _positioned(spark.read.format(fmt).options(**options).load(), endpoint)
+
+
+def _positioned(raw: DataFrame, endpoint: Endpoint) -> DataFrame:
     if endpoint.kind == "kafka":
         return raw.select(
             F.col("topic"),
@@ -70,16 +84,17 @@ def text_stream(spark: SparkSession, endpoint: Endpoint, *topics: str) -> DataFr
             F.col("partition"),
             F.col("offset"),
         )
+    if endpoint.kind == "files":
+        path = F.col("_metadata.file_path")
+        return raw.select(
+            F.regexp_extract(path, "/topic=([^/]+)/", 1).alias("topic"),
+            "value",
+            F.col("_metadata.file_modification_time").alias("record_ts"),
+            F.xxhash64(path, "value").alias("offset"),
+        )
     return raw.select("value")
 
 
-def text_batch(spark: SparkSession, endpoint: Endpoint, topic: str) -> DataFrame:
-    """The records a topic holds now."""
-    fmt, options = source_options(endpoint, topic)
-    raw = spark.read.format(fmt).options(**options).load()
-    return raw.select(F.col("value").cast("string").alias("value"))
-
-
 def jdbc_options(
     url: str,
     query: str,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from rillhouse.session import exists, run_of, touch
 from rillhouse.sources.readers import Endpoint
 
 
@@ -35,7 +36,10 @@ def write_topics(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
 def topic_stream(
     rows: DataFrame, endpoint: Endpoint, checkpoint: str, topic: str | None = None
 ) -> DataStreamWriter:
-    """Writer for (topic, value) rows, or for ``value`` rows of one fixed topic."""
+    """Writer for (topic, value) rows, or for ``value`` rows of one fixed topic.
+
+    Any number of jobs may write to one endpoint, also to one topic.
+    """
     out = rows if topic is None else rows.select(F.lit(topic).alias("topic"), "value")
     writer = (
         out.select("topic", "value")
@@ -49,14 +53,19 @@ def topic_stream(
             .options(**endpoint.options)
         )
     if endpoint.kind == "files":
-        return writer.format("text").partitionBy("topic").option("path", endpoint.at)
+        return writer.foreachBatch(lambda batch, i: write_batch_topics(batch, endpoint, i))
     raise ValueError(f"no sink of kind: {endpoint.kind}")
 
 
-def write_batch_topics(rows: DataFrame, endpoint: Endpoint, batch_id: int) -> None:
+def write_batch_topics(
+    rows: DataFrame, endpoint: Endpoint, batch_id: int, run: str | None = None
+) -> None:
     """One micro-batch of (topic, value) rows.
 
-    Files go below ``batch=<id>`` in overwrite mode, so a repeated batch replaces itself.
+    Files of a topic lie below ``topic=<name>/run=<stream>/batch=<id>``, the layout that
+    ``text_stream`` reads. ``run`` is the id of the stream, so jobs and fresh checkpoints do not
+    meet. A batch that was written is marked; if it comes again it is left as it is, so readers
+    never see it twice. One cut off before the mark replaces its own folders.
     """
     if endpoint.kind == "kafka":
         (
@@ -66,8 +75,19 @@ def write_batch_topics(rows: DataFrame, endpoint: Endpoint, batch_id: int) -> No
             .options(**endpoint.options)
             .save()
         )
-    else:
-        write_topics(rows, f"{endpoint.at.rstrip('/')}/batch={batch_id}")
+        return
+    spark, root, run = rows.sparkSession, endpoint.at.rstrip("/"), run or run_of(rows)
+    done = f"{root}/_done/run={run}/batch={batch_id}"
+    if exists(spark, done):
+        return
+    (
+        rows.select("topic", F.lit(run).alias("run"), F.lit(batch_id).alias("batch"), "value")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("topic", "run", "batch")
+        .text(root)
+    )
+    touch(spark, done)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

@@ -13,6 +13,11 @@ from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
 
 
+def in_order(row: Row, order: list[str]) -> tuple:
+    """A key to sort rows by, nulls first as the batch forms have them."""
+    return tuple((row[c] is not None, 0 if row[c] is None else row[c]) for c in order)
+
+
 class NewFlag(StatefulProcessor):
     """Only the earliest record flagged new keeps the flag; the key is remembered (for a TTL).
 
@@ -37,7 +42,7 @@ class NewFlag(StatefulProcessor):
             elif known:
                 yield self._with(row, self.old)
             else:
-                at = tuple(row[c] for c in self.order)
+                at = in_order(row, self.order)
                 if best is None or at < best_at:
                     best, best_at, row = row, at, best
                 if row is not None:
@@ -65,7 +70,7 @@ class Running(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         sums = list(self.sums.get()) if self.sums.exists() else [0] * len(self.names)
-        for row in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
+        for row in sorted(rows, key=lambda r: in_order(r, self.order)):
             fields = row.asDict(recursive=False)
             for i, column in enumerate(self.values):
                 sums[i] += fields.pop(column) or 0
@@ -96,7 +101,10 @@ class EntryPattern(StatefulProcessor):
         fresh = [
             (r["__us"], r["__tie"], r["__entry"], r["__mine"], *(r[c] for c in self.columns))
             for r in rows
+            if r["__us"] is not None  # no place in time, no pattern
         ]
+        if not fresh:
+            return
         self.waiting.appendList(fresh)
         # The first decision can fall just after the earliest record.
         due = min(r[0] for r in fresh) // 1000 + 1
@@ -105,7 +113,7 @@ class EntryPattern(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         mark_us = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted(self.waiting.get(), key=lambda r: (r[0], r[1]))
+        waiting = sorted(self.waiting.get(), key=lambda r: (r[0], r[1] is not None, r[1] or 0))
         keep_from = len(waiting)
         for i, row in enumerate(waiting):
             after = waiting[i + 1] if i + 1 < len(waiting) else None

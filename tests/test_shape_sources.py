@@ -154,7 +154,9 @@ def test_source_options():
          "maxOffsetsPerTrigger": readers.MAX_OFFSETS_PER_TRIGGER, "kafka.group.id": "g"},
     )
     assert readers.source_options(Endpoint("socket", "host:9999")) == ("socket", {"host": "host", "port": "9999"})
-    assert readers.source_options(Endpoint("files", "/d/"), "a") == ("text", {"path": "/d/topic=a"})
+    assert readers.source_options(Endpoint("files", "/d/"), "a") == (
+        "text", {"path": "/d/topic=a", "recursiveFileLookup": "true"}
+    )
     assert readers.source_options(Endpoint("files", "/d"), "a", "b")[1]["path"] == "/d/topic={a,b}"
     with pytest.raises(ValueError):
         readers.source_options(Endpoint("tape", "x"), "a")
@@ -202,10 +204,19 @@ def test_files_and_counter(spark, tmp_path):
     assert rows(spark.read.schema(df.schema).option("sep", "|").csv(str(tmp_path / "csv"))) == [(1, "a|b"), (2, None)]
     assert readers.counter(spark).count() == 1000
     routed = spark.createDataFrame([("t1", {"a": "1"}), (None, {"b": "2"})], "sink_table STRING, after MAP<STRING,STRING>")
-    writers.write_batch_topics(writers.routed_messages(routed), Endpoint("files", str(tmp_path / "t")), 3)
+    at = Endpoint("files", str(tmp_path / "t"))
+    for run, batch in (("r1", 3), ("r1", 3), ("r2", 3)):  # a repeat, and another job
+        writers.write_batch_topics(writers.routed_messages(routed), at, batch, run)
     back = spark.read.text(str(tmp_path / "t"))
-    assert rows(back, "batch", "topic", "value") == [(3, "default", '{"b":"2"}'), (3, "t1", '{"a":"1"}')]
-    assert rows(readers.text_batch(spark, Endpoint("files", str(tmp_path / "t" / "batch=3")), "t1")) == [('{"a":"1"}',)]
+    want = [("r1", 3, "default", '{"b":"2"}'), ("r1", 3, "t1", '{"a":"1"}')]
+    assert rows(back, "run", "batch", "topic", "value") == sorted(want + [("r2", *w[1:]) for w in want])
+    got = readers.text_batch(spark, at, "t1", "default")
+    assert rows(got, "topic", "value") == [("default", '{"b":"2"}')] * 2 + [("t1", '{"a":"1"}')] * 2
+    assert got.where("record_ts IS NULL OR offset IS NULL").isEmpty()
+    cut_off = tmp_path / "t" / "_done" / "run=r1" / "batch=3"
+    cut_off.unlink()
+    writers.write_batch_topics(writers.routed_messages(routed), at, 3, "r1")
+    assert readers.text_batch(spark, at, "t1").count() == 2
 
 
 def test_messages(spark):

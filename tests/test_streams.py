@@ -12,7 +12,7 @@ from rillhouse.operators.ordered import correct_new_flag, entry_pattern, running
 from rillhouse.operators.themes import product_rows, product_stats, visitor_stats
 from rillhouse.plans import facade
 from rillhouse.session import stream_session
-from rillhouse.sources.readers import Endpoint, counter_stream, text_stream
+from rillhouse.sources.readers import Endpoint, counter_stream, text_batch, text_stream
 from rillhouse.sources.writers import buffered_stream, console_stream, topic_stream
 from rillhouse.streaming import forms, jobs
 from rillhouse.streaming.run import finish, for_each_batch, start
@@ -380,6 +380,13 @@ def test_sinks(spark, session, tmp_path):
     target = Endpoint("files", str(tmp_path / "topics"))
     finish(start(topic_stream(feed.stream, target, str(tmp_path / "c1"), topic="t1"), "topic", once=True))
     assert rows(spark.read.text(target.at).groupBy("topic").count()) == [("t1", 10)]
+    # a second job on the same root, and the first one again from a new checkpoint
+    finish(start(topic_stream(feed.stream, target, str(tmp_path / "c3"), topic="t2"), "topic2", once=True))
+    finish(start(topic_stream(feed.stream, target, str(tmp_path / "c4"), topic="t1"), "topic3", once=True))
+    finish(start(topic_stream(feed.stream, target, str(tmp_path / "c4"), topic="t1"), "topic4", once=True))
+    assert rows(spark.read.text(target.at).groupBy("topic").count()) == [("t1", 20), ("t2", 10)]
+    read = run(text_stream(session, target, "t1"), tmp_path / "read")(spark)
+    assert read.count() == 20 and read.select("topic", "record_ts").distinct().count() >= 1
 
     finish(start(buffered_stream(feed.stream, str(tmp_path / "buf"), str(tmp_path / "c2"), 4), "buf", once=True))
     files = list((tmp_path / "buf").glob("*.json"))
@@ -411,23 +418,22 @@ def test_jobs_over_topics(spark, session, tmp_path):
     at_ = Endpoint("files", str(root))
     read = lambda topic: text_stream(session, at_, topic)
 
-    def go(writer, name):
-        finish(start(writer, name, once=True))
-        return spark.read.text(str(tmp_path / name))
+    def go(writer, topic):
+        finish(start(writer, topic, once=True))
+        return text_batch(spark, at_, topic)
 
     def to(name):
-        return Endpoint("files", str(tmp_path / name)), str(tmp_path / f"{name}_state")
+        return at_, str(tmp_path / f"{name}_state")
 
     end = page("end", 10**9, "x")
     put("dwd_page_log", page("m", 0), page("m", 3, "p"), page("m", 100), page("n", 5), end)
-    uv = go(jobs.unique_visit_job(read("dwd_page_log"), *to("uv")), "uv")
-    uj = go(jobs.user_jump_job(read("dwd_page_log"), *to("uj")), "uj")
+    uv = go(jobs.unique_visit_job(read("dwd_page_log"), *to("uv")), "dwm_unique_visit")
+    uj = go(jobs.user_jump_job(read("dwd_page_log"), *to("uj")), "dwm_user_jump_detail")
     ts = F.get_json_object("value", "$.ts")
     assert rows(uv.select(ts)) == [(str(base),), (str(base + 5000),)]
     assert rows(uj.select("topic", ts)) == [("dwm_user_jump_detail", str(base + s)) for s in (5000, 100_000)]
 
-    uv_s = text_stream(session, Endpoint("files", str(tmp_path / "uv")), "dwm_unique_visit")
-    uj_s = text_stream(session, Endpoint("files", str(tmp_path / "uj")), "dwm_user_jump_detail")
+    uv_s, uj_s = read("dwm_unique_visit"), read("dwm_user_jump_detail")
     stats = run(jobs.visitor_theme(uv_s, uj_s, read("dwd_page_log")), tmp_path / "stats")(spark)
     assert rows(stats.where("ar = 'a'"), "stt", "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")[0] == (
         "2023-11-14 22:00:00", 2, 3, 2, 1, 21
@@ -446,16 +452,15 @@ def test_jobs_over_topics(spark, session, tmp_path):
 
     wide = go(
         jobs.order_wide_job(read("dwd_order_info"), read("dwd_order_detail"), dimensions, "2020-01-01", *to("wide")),
-        "wide",
+        "dwm_order_wide",
     )
     field = lambda name: F.get_json_object("value", f"$.{name}")
     names = ["detail_id", "user_age", "province_name", "sku_name", "spu_name", "tm_name", "category3_name"]
     assert rows(wide.select(*[field(n) for n in names])) == [("5", "20", "P", "N", "spu", "tm", None)]
 
-    (root / "topic=dwm_order_wide").mkdir()
-    (root / "topic=dwm_order_wide" / "0.txt").write_text(wide.first().value + "\n")
     paid = go(
-        jobs.payment_wide_job(read("dwd_payment_info"), read("dwm_order_wide"), *to("paid")), "paid"
+        jobs.payment_wide_job(read("dwd_payment_info"), read("dwm_order_wide"), *to("paid")),
+        "dwm_payment_wide",
     )
     assert rows(paid.select(field("payment_id"), field("detail_id"), field("order_create_time"))) == [
         ("3", "5", "2020-01-01 00:00:04")
