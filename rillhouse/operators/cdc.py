@@ -136,10 +136,10 @@ def split_routes(routed: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def sink_schema(sink_columns: str, sink_pk: str | None) -> T.StructType:
+def sink_schema(sink_columns: str | None, sink_pk: str | None) -> T.StructType:
     """All-text schema of a dimension table named by a rule; its key is not null."""
     pk = sink_pk.strip() if sink_pk and sink_pk.strip() else "id"
-    names = sink_columns.split(",")
+    names = sink_columns.split(",") if sink_columns else []
     if pk not in names:
         names = [pk, *names]
     return T.StructType([T.StructField(n, T.StringType(), n != pk) for n in names])

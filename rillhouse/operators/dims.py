@@ -8,11 +8,18 @@ repeats; a replayed micro-batch does no harm.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rillhouse.session import drop_folder, exists, run_of
 
 _SEQ = "__seq_"
+_STORED = "__k STRING, name STRING, seq BIGINT, cell STRING, table STRING"
+#: A cell behind the number that wrote it, so that the greater pair is the newer one.
+_PAIR = "struct(seq, cell)"
 
 
 def upsert_cells(
@@ -55,43 +62,45 @@ def _newest(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def merge_versions(parts: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Combine stored rows of one dimension written at different times."""
-    rows = parts.select(
-        "__k",
-        *[_stamped(F.col(f"{_SEQ}{c}"), F.col(c)).alias(c) for c in columns],
-    )
-    return _newest(rows, columns)
-
-
 def cells_only(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.select("__k", *columns)
 
 
 class DimStore:
-    """Dimension tables below one folder, as Parquet snapshots plus per-batch deltas.
-
-    A micro-batch writes only the rows it changed, under its own batch number and in overwrite mode,
-    so a repeated batch replaces its own delta. ``read`` merges the newest snapshot with the deltas
-    after it; ``compact`` writes that merge as a new snapshot. Nothing is changed in place, so a
-    reader sees finished versions only.
+    """Dimension tables below one folder: cells with the numbers that wrote them.
+
+    A stored row is one cell, ``(table, key, column, number, cell)``, so a table holds every column
+    that any rule ever wrote, and all tables of a micro-batch leave in one write. A batch is a
+    delta named by its stream and number: neither a second job nor a fresh checkpoint meets it, and
+    a batch that comes again finds it finished. ``compact`` folds what is there into a snapshot
+    whose list names the deltas it holds; a reader merges the newest listed snapshot with all other
+    deltas, in whatever order they were written. Nothing is changed in place, and what a snapshot
+    replaced goes one compaction later.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def create_if_absent(self, table: str, columns: Sequence[str]) -> None:
-        """Write an empty, typed first snapshot unless the table has one."""
-        if not self._versions(table, "base"):
-            ddl = ", ".join(
-                ["__k STRING"]
-                + [f"`{c}` STRING" for c in columns]
-                + [f"`{_SEQ}{c}` BIGINT" for c in columns]
-            )
-            self.spark.createDataFrame([], ddl).write.mode("overwrite").parquet(
-                self._path(table, "base", -1)
-            )
+    def create_if_absent(
+        self, table: str, columns: Sequence[str] | T.StructType, extend: str | None = None
+    ) -> None:
+        """Declare a table, as text columns unless given typed; a declared one stays as it is.
+
+        ``extend`` is kept with the declaration as the comment of its first column.
+        """
+        path = f"{self.root}/declared/{table}"
+        if exists(self.spark, f"{path}/_SUCCESS"):
+            return
+        if not isinstance(columns, T.StructType):
+            columns = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        first = columns.fields[0]
+        noted = T.StructField(first.name, first.dataType, first.nullable, {"comment": extend or ""})
+        schema = T.StructType([noted, *columns.fields[1:]])
+        self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+    def declared(self, table: str) -> T.StructType:
+        return self.spark.read.parquet(f"{self.root}/declared/{table}").schema
 
     def upsert(
         self,
@@ -102,64 +111,108 @@ class DimStore:
         cells: str,
         columns: Sequence[str],
         seq: str,
+        run: str | None = None,
     ) -> None:
+        """One batch of one table; of the map ``cells`` the named columns count."""
         self.create_if_absent(table, columns)
-        delta = upsert_cells(changes, key, cells, columns, seq)
-        delta.select(
-            F.col("__k").cast("string").alias("__k"),
-            *columns,
-            *[F.col(f"{_SEQ}{c}").cast("long").alias(f"{_SEQ}{c}") for c in columns],
-        ).write.mode("overwrite").parquet(self._path(table, "delta", batch_id))
+        chosen = F.map_filter(cells, lambda name, _: name.isin(list(columns)))
+        rows = changes.select(
+            F.lit(table).alias("table"),
+            F.col(key).alias("key"),
+            chosen.alias("cells"),
+            F.col(seq).alias("seq"),
+        )
+        self.upsert_all(rows, batch_id, run or run_of(changes))
+
+    def upsert_all(self, changes: DataFrame, batch_id: int, run: str) -> None:
+        """One batch of any tables, from ``(table, key, cells, seq)``. Null cells leave the earlier
+        ones in place; rows without a key are left out."""
+        path = self._path("delta", f"{run}-{batch_id}")
+        if exists(self.spark, f"{path}/_SUCCESS"):
+            return
+        # an entry without a name says that the key exists
+        known = F.map_concat("cells", F.create_map(F.lit(""), F.lit("")))
+        rows = changes.where("key IS NOT NULL").select(
+            "table",
+            F.col("key").cast("string").alias("__k"),
+            F.col("seq").cast("long").alias("seq"),
+            F.explode(known).alias("name", "cell"),
+        )
+        self._newest(rows.where("cell IS NOT NULL")).write.mode("overwrite").partitionBy(
+            "table"
+        ).parquet(path)
 
     def read(self, table: str, columns: Sequence[str], key: str = "ID") -> DataFrame:
-        """Current rows: the key as ``key`` and the asked-for cells."""
+        """Current rows: the key as ``key`` and the asked-for cells; a column never written is
+        null."""
         wanted = [c for c in columns if c != key]
-        return cells_only(self._merged(table, wanted), wanted).withColumnRenamed("__k", key)
-
-    def compact(self, table: str, columns: Sequence[str]) -> None:
-        """Fold finished deltas into a new snapshot."""
-        deltas = self._versions(table, "delta")
-        base = max(self._versions(table, "base"))
-        if deltas and max(deltas) > base:
-            self._merged(table, columns).write.mode("overwrite").parquet(
-                self._path(table, "base", max(deltas))
-            )
-
-    def _merged(self, table: str, columns: Sequence[str]) -> DataFrame:
-        bases = self._versions(table, "base")
-        if not bases:
+        if not exists(self.spark, f"{self.root}/declared/{table}/_SUCCESS"):
             raise ValueError(f"no such dimension: {table}")
-        base = max(bases)
-        deltas = [v for v in self._versions(table, "delta") if v > base]
-        wide = self.spark.read.parquet(self._path(table, "base", base))
-        if not deltas:
-            return self._fill(wide, columns)
-        paths = [self._path(table, "delta", v) for v in sorted(deltas)]
-        changed = self.spark.read.option("mergeSchema", "true").parquet(*paths)
-        parts = self._fill(wide, columns).unionByName(self._fill(changed, columns))
-        return merge_versions(parts, columns)
-
-    @staticmethod
-    def _fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-        """Columns added to a rule after a version was written are null there."""
-        have = set(df.columns)
-
-        def pick(name: str, kind: str):
-            return (F.col(name) if name in have else F.lit(None).cast(kind)).alias(name)
-
-        return df.select(
-            "__k",
-            *[pick(c, "string") for c in columns],
-            *[pick(f"{_SEQ}{c}", "bigint") for c in columns],
+        rows = self._rows()
+        if rows is None:
+            fields = [T.StructField(c, T.StringType()) for c in (key, *wanted)]
+            return self.spark.createDataFrame([], T.StructType(fields))
+        newest = rows.where(F.col("table") == table).groupBy(F.col("__k").alias(key)).agg(
+            F.count(F.lit(1)).alias("__n"),
+            *[F.max(F.when(F.col("name") == c, F.expr(_PAIR))).alias(c) for c in wanted],
         )
+        return newest.select(key, *[F.col(f"`{c}`.cell").alias(c) for c in wanted])
+
+    def compact(self) -> None:
+        """Fold all finished deltas of all tables into a new snapshot, and drop what the snapshot
+        before had replaced."""
+        listed = self._listed()
+        last = max(listed, default=-1)
+        held = set(listed.get(last, ()))
+        fresh = [v for v in self._finished("delta") if v not in held]
+        if not fresh:
+            return
+        number = last + 1
+        self._newest(self._rows()).write.mode("overwrite").partitionBy("table").parquet(
+            self._path("base", number)
+        )
+        self.spark.createDataFrame(
+            [(v,) for v in sorted(held & set(self._finished("delta"))) + fresh], "v STRING"
+        ).coalesce(1).write.mode("overwrite").parquet(self._path("folded", number))
+        for old in [v for v in listed if v < last]:
+            drop_folder(self.spark, self._path("folded", old))
+            drop_folder(self.spark, self._path("base", old))
+        for old in held:
+            drop_folder(self.spark, self._path("delta", old))
 
-    def _path(self, table: str, kind: str, version: int) -> str:
-        return f"{self.root}/{table}/{kind}/v={version}"
-
-    def _versions(self, table: str, kind: str) -> list[int]:
-        """Numbers of completely written versions."""
+    @staticmethod
+    def _newest(rows: DataFrame) -> DataFrame:
+        best = rows.groupBy("table", "__k", "name").agg(F.max(F.expr(_PAIR)).alias("p"))
+        return best.select("__k", "name", "p.seq", "p.cell", "table")
+
+    def _rows(self) -> DataFrame | None:
+        """Cells of the newest snapshot and of all deltas that it does not hold."""
+        listed = self._listed()
+        last = max(listed, default=None)
+        held = set(listed.get(last, ()))
+        paths = [self._path("delta", v) for v in self._finished("delta") if v not in held]
+        if last is not None:
+            paths.append(self._path("base", last))
+        frames = [self.spark.read.schema(_STORED).parquet(p) for p in paths]
+        return reduce(DataFrame.union, frames) if frames else None
+
+    def _listed(self) -> dict[int, list[str]]:
+        """Snapshots by number, with the names of the deltas they hold: one row per batch since
+        the compaction before."""
+        found = {}
+        numbers = sorted(map(int, self._finished("folded")))
+        for n in numbers[-2:]:
+            rows = self.spark.read.parquet(self._path("folded", n)).collect()
+            found[n] = [r[0] for r in rows]
+        return {**{n: [] for n in numbers[:-2]}, **found}
+
+    def _path(self, kind: str, version: int | str) -> str:
+        return f"{self.root}/{kind}/v={version}"
+
+    def _finished(self, kind: str) -> list[str]:
+        """Names of completely written versions."""
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/{kind}/v=*/_SUCCESS")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}/v=*/_SUCCESS")
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         found = fs.globStatus(path) or []
-        return [int(f.getPath().getParent().getName().split("=")[1]) for f in found]
+        return [f.getPath().getParent().getName().removeprefix("v=") for f in found]

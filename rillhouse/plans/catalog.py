@@ -409,15 +409,21 @@ def dim_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_store(spark: SparkSession, sf: str) -> DataFrame:
-    """The same table through the store: three out-of-order batches, one repeated, a compaction."""
+    """The same table through the store: batches out of order and repeated, a rule that shrinks
+    before a compaction and grows again, and a second run that counts from 0 again."""
     changes = facade.customer_changes(facade.table(spark, sf, "orders"))
     columns = ["status", "priority", "last_day"]
     store = dims.DimStore(spark, scratch(spark, "dims"))
-    for batch in (2, 0, 1, 0):
-        part = changes.where(F.col("seq") % 3 == batch)
-        store.upsert("dim_customer", batch, part, "id", "after", columns, "seq")
-        if batch == 1:
-            store.compact("dim_customer", columns)
+    for run, batch, part, rule in (
+        ("a", 2, 2, columns), ("a", 0, 0, columns), ("a", 0, 0, columns),
+        ("a", 3, 3, columns), ("b", 0, 1, columns),
+    ):
+        rows = changes.where(F.col("seq") % 4 == part)
+        store.upsert("dim_customer", batch, rows, "id", "after", rule, "seq", run)
+        if batch == 3:
+            shrunk = changes.where("seq % 4 = 3")
+            store.upsert("dim_customer", 4, shrunk, "id", "after", ["status"], "seq", run)
+            store.compact()
     return store.read("dim_customer", columns, "id")
 
 

@@ -18,6 +18,7 @@ from rillhouse.operators.cdc import (
     drop_deletes,
     normalize_cdc,
     route_by_rules,
+    sink_schema,
 )
 from rillhouse.operators.dims import DimStore
 from rillhouse.operators.logs import is_entry, parse_all, route_log
@@ -37,6 +38,7 @@ from rillhouse.plans.dwm import (
     TOPIC_USER_JUMP,
 )
 from rillhouse.plans.ods import base_db_lines
+from rillhouse.session import run_of
 from rillhouse.sources.readers import Endpoint
 from rillhouse.sources.writers import (
     messages,
@@ -77,7 +79,7 @@ def base_db_job(
 
     ``rules`` gives the rules in force and is called for every micro-batch, before its records
     are routed, so a rule change takes effect while the job runs and no record overtakes its rule.
-    Records without a rule go to a topic of their own.
+    Records without a rule, and those of a dimension without its key, go to a topic of their own.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
@@ -85,8 +87,11 @@ def base_db_job(
         routed = route_by_rules(drop_deletes(normalize_cdc(batch)), in_force)
         routed.persist()
         try:
+            run = run_of(batch)
+            dim = F.col("sink_type") == SINK_DIM
+            keyless = dim & F.col("key_value").isNull()
             sent = routed.where(F.col("sink_type").isin(SINK_KAFKA, SINK_OLAP))
-            lost = routed.where(F.col("sink_type") == UNMATCHED)
+            lost = routed.where((F.col("sink_type") == UNMATCHED) | keyless)
             write_batch_topics(
                 routed_messages(sent).unionByName(
                     lost.select(
@@ -96,18 +101,21 @@ def base_db_job(
                 ),
                 target,
                 batch_id,
+                run,
             )
-            tables = in_force.where(F.col("sinkType") == SINK_DIM).groupBy("sinkTable").agg(
-                F.array_distinct(F.flatten(F.collect_list(F.split("sinkColumns", ",")))).alias("c")
+            # One row per dimension rule.
+            for rule in in_force.where(F.col("sinkType") == SINK_DIM).collect():
+                schema = sink_schema(rule.sinkColumns, rule.sinkPk)
+                store.create_if_absent(rule.sinkTable, schema, rule.sinkExtend)
+            rows = routed.where(dim).select(
+                F.col("sink_table").alias("table"),
+                F.col("key_value").alias("key"),
+                F.col("after").alias("cells"),
+                F.col(seq).alias("seq"),
             )
-            # One row per dimension table named by the rules.
-            for table, columns in tables.collect():
-                rows = routed.where(
-                    (F.col("sink_type") == SINK_DIM) & (F.col("sink_table") == table)
-                )
-                store.upsert(table, batch_id, rows, "key_value", "after", columns, seq)
-                if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
-                    store.compact(table, columns)
+            store.upsert_all(rows, batch_id, run)
+            if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+                store.compact()
         finally:
             routed.unpersist()
 
@@ -209,7 +217,7 @@ def dimension_job(
     def work(batch: DataFrame, batch_id: int) -> None:
         store.upsert(table, batch_id, batch, key, cells, columns, seq)
         if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
-            store.compact(table, columns)
+            store.compact()
 
     return for_each_batch(changes, work, checkpoint)
 

@@ -121,7 +121,7 @@ def test_store_is_independent_of_order_repeats_and_compaction(spark, tmp_path):
     for batch, part in ((0, UPDATES[3:]), (1, UPDATES[1:3]), (2, UPDATES[:1]), (1, UPDATES[1:3])):
         store.upsert("d", batch, cells(spark, part), "id", "after", columns, "seq")
     assert rows(store.read("d", columns, "id")) == NEWEST
-    store.compact("d", columns)
+    store.compact()
     assert rows(store.read("d", columns, "id")) == NEWEST
     store.upsert("d", 3, cells(spark, [("2", 5, {"c": "c5", "d": "d5"})]), "id", "after", columns + ["d"], "seq")
     got = rows(store.read("d", columns + ["d"], "id"))
@@ -133,11 +133,49 @@ def test_store_is_independent_of_order_repeats_and_compaction(spark, tmp_path):
 def test_unfinished_delta_is_ignored(spark, tmp_path):
     store = dims.DimStore(spark, str(tmp_path))
     store.upsert("d", 0, cells(spark, UPDATES), "id", "after", ["a"], "seq")
-    (tmp_path / "d" / "delta" / "v=1").mkdir()
-    (tmp_path / "d" / "delta" / "v=1" / "part-0.parquet").write_text("torn")
+    torn = tmp_path / "delta" / "v=batch-1" / "table=d"
+    torn.mkdir(parents=True)
+    (torn / "part-0.parquet").write_text("torn")
     assert rows(store.read("d", ["a"], "id")) == [("1", "a3"), ("2", None)]
 
 
+def test_store_loses_nothing(spark, tmp_path):
+    """A rule that shrinks, a run that counts from 0 again, a late delta, two compactions."""
+    store = dims.DimStore(spark, str(tmp_path))
+
+    def put(run, batch, key, seq, after, columns):
+        store.upsert("d", batch, cells(spark, [(key, seq, after)]), "id", "after", columns, "seq", run)
+
+    def now():
+        return rows(store.read("d", ["name", "segment"], "id"))
+
+    put("a", 5, "1", 5, {"name": "ann", "segment": "x"}, ["name", "segment"])
+    put("a", 6, "1", 6, {"name": "no", "segment": "y"}, ["segment"])
+    store.compact()
+    assert now() == [("1", "ann", "y")]
+    put("b", 0, "2", 1, {"name": "bob"}, ["name"])  # a fresh checkpoint
+    put("a", 3, "1", 7, {"name": "eve"}, ["name"])  # a lower number, written later
+    put("b", 0, "2", 9, {"name": "again"}, ["name"])  # the batch comes again
+    assert now() == [("1", "eve", "y"), ("2", "bob", None)]
+    for _ in range(3):
+        store.compact()
+        assert now() == [("1", "eve", "y"), ("2", "bob", None)]
+    put("b", 1, "2", 2, {"segment": "z"}, ["segment"])
+    store.compact()
+    assert now() == [("1", "eve", "y"), ("2", "bob", "z")]
+    left = {p.name for p in (tmp_path / "delta").iterdir()}
+    assert left == {"v=b-1"} and len(list((tmp_path / "base").iterdir())) == 2
+
+
+def test_declared_tables(spark, tmp_path):
+    store = dims.DimStore(spark, str(tmp_path))
+    store.create_if_absent("t", cdc.sink_schema("name,code", "code"), "SALT_BUCKETS = 3")
+    store.create_if_absent("t", ["other"])
+    assert store.declared("t").names == ["name", "code"]
+    assert store.declared("t")["name"].metadata["comment"] == "SALT_BUCKETS = 3"
+    assert store.read("t", ["name"], "code").columns == ["code", "name"]
+
+
 def test_loads(spark, tmp_path):
     source = spark.createDataFrame([(1, 10, "a"), (2, 20, "b"), (3, 30, "c")], "id INT, seq INT, v STRING")
     assert rows(loads.incremental(source, source.where("seq <= 20"), "seq"), "id") == [(3,)]
