@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from rillhouse.llm.common import BROADCAST_BYTES, stored
+from rillhouse.llm.common import stored
 from rillhouse.llm.fm_index import FMIndex
 
 WINDOW, GRAM = 50, 8
@@ -105,14 +105,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined with ``spans(doc_id, text_hash, spans array)``.
-
-    The spans go to every executor where their measured size is small; otherwise both sides are
-    shuffled by document. Rows are the same either way.
-    """
-    size = spans.agg(F.sum(F.size("spans") * 32 + 64)).first()[0] or 0
-    right = F.broadcast(spans) if size <= BROADCAST_BYTES else spans
-    return docs.join(right, ["doc_id", "text_hash"], how)
+    """``docs`` joined with ``spans(doc_id, text_hash, spans array)``, both dealt by document."""
+    return docs.join(spans, ["doc_id", "text_hash"], how)
 
 
 def shared_windows(

@@ -92,8 +92,7 @@ def test_against_all_windows(spark, documents, monkeypatch, per_index):
     assert found(substring.dedup(documents(rows))) == brute(rows, 50)
 
 
-def test_small_windows_and_shuffled_sides(spark, documents, monkeypatch):
-    monkeypatch.setattr(substring, "BROADCAST_BYTES", -1)
+def test_small_windows(spark, documents):
     rows = made(4, 60, vocabulary=4)
     assert found(substring.dedup(documents(rows), window=6)) == brute(rows, 6)
 
