@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillhouse import schemas
-from rillhouse.operators.joins import broadcast_if_small
+from rillhouse.operators.joins import BROADCAST_BYTES, within
 
 # Operation names, fixed by the change-capture format: short code or long name -> record type.
 OPERATION_TYPES = {
@@ -26,6 +26,8 @@ SINK_KAFKA = "kafka"
 SINK_DIM = "hbase"
 SINK_OLAP = "clickhouse"
 UNMATCHED = "unmatched"
+# Parts that the records of one (table, type) are spread over where rules are joined by shuffle.
+RULE_SALTS = 32
 
 
 def normalize_cdc(df: DataFrame, topic: str = "topic", value: str = "value") -> DataFrame:
@@ -86,7 +88,7 @@ def latest_rules(rules: DataFrame, seq: str) -> DataFrame:
 
 
 def route_by_rules(
-    df: DataFrame, rules: DataFrame, snapshot_as_insert: bool = True, max_rules: int = 100_000
+    df: DataFrame, rules: DataFrame, snapshot_as_insert: bool = True, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Attach the rule of each record and prune its cells to the rule's columns.
 
@@ -94,8 +96,9 @@ def route_by_rules(
     where no rule applies, so nothing is dropped silently), ``sink_table``, ``rowkey``, the name of
     the key cell (``id`` unless the rule names another), and ``key_value``, its content.
 
-    There are only a few (table, type) keys, so a shuffle on them could not be balanced; the rule
-    table is broadcast after its length has been checked.
+    There are only a few (table, type) keys, so a shuffle on them could not be balanced. The rule
+    table is broadcast after its bytes were measured; a larger one is repeated over ``RULE_SALTS``
+    salts that spread the records of a key.
     """
     side = rules.select(
         F.col("sourceTable").alias("__table"),
@@ -108,11 +111,15 @@ def route_by_rules(
     kind = F.col("type")
     if snapshot_as_insert:
         kind = F.when(kind == "read", F.lit("insert")).otherwise(kind)
-    joined = df.join(
-        broadcast_if_small(side, max_rules),
-        (F.col("table") == F.col("__table")) & (kind == F.col("__type")),
-        "left",
-    )
+    same = (F.col("table") == F.col("__table")) & (kind == F.col("__type"))
+    if within(side, max_bytes):
+        joined = df.join(F.broadcast(side), same, "left")
+    else:
+        salts = F.sequence(F.lit(0), F.lit(RULE_SALTS - 1))
+        spread = F.pmod(F.hash("table", "type", F.to_json("after")), F.lit(RULE_SALTS))
+        joined = df.withColumn("__salt", spread).join(
+            side.withColumn("__at", F.explode(salts)), same & (F.col("__salt") == F.col("__at")), "left"
+        )
     matched = F.col("sinkType").isNotNull()
     pruned = F.map_filter("after", lambda k, _: F.array_contains(F.col("__columns"), k))
     pk = F.when(F.trim(F.coalesce("sinkPk", F.lit(""))) == "", F.lit("id")).otherwise(

@@ -75,7 +75,7 @@ def lookup_enrich(
     fact already has is replaced. Without a hint the planner broadcasts the pruned dimension when
     its measured size is below the session's threshold and otherwise joins by shuffle, where
     adaptive execution splits the partitions of a hot key. ``fits`` says that the caller has
-    checked the dimension's length (``at_most``) and asks for the broadcast.
+    measured the dimension (``within``) and asks for the broadcast.
     """
     fact_key = F.col(key) if isinstance(key, str) else key
     key_type = fact.select(fact_key).schema[0].dataType
@@ -103,15 +103,21 @@ def lookup_enrich(
     return joined.select(*kept, *added)
 
 
-def at_most(df: DataFrame, max_rows: int) -> bool:
-    """Whether a table has at most ``max_rows`` rows; stops reading once there are more."""
-    return df.limit(max_rows + 1).count() <= max_rows
+#: A side may be sent to every executor up to this size.
+BROADCAST_BYTES = 8 << 20
+_LEAST_ROW = 32
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark a side for broadcast only after counting that it is at most ``max_rows`` long.
+def within(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a table, written as JSON, has at most ``max_bytes``; stops reading beyond them."""
+    most = max_bytes // _LEAST_ROW
+    sizes = df.limit(most + 1).select(
+        F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).alias("b")
+    )
+    n, size = sizes.agg(F.count(F.lit(1)), F.sum("b")).first()
+    return n <= most and (size or 0) <= max_bytes
 
-    For configuration-sized tables of narrow rows. A longer table comes back without a hint and is
-    joined by shuffle.
-    """
-    return F.broadcast(df) if at_most(df, max_rows) else df
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a side for broadcast only after measuring its bytes; a larger one gets no hint."""
+    return F.broadcast(df) if within(df, max_bytes) else df

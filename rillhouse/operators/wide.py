@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 
 from rillhouse import schemas
 from rillhouse.functions.scalar import age, event_time, parse_time
-from rillhouse.operators.joins import at_most, interval_join, lookup_enrich
+from rillhouse.operators.joins import interval_join, lookup_enrich, within
 
-# Longest SKU dimension that is broadcast in its completed form; rows are a few hundred bytes.
-MAX_BROADCAST_PRODUCTS = 100_000
 # Join intervals of the two wide records (both ends exclusive).
 ORDER_LOWER, ORDER_UPPER = timedelta(seconds=-5), timedelta(seconds=5)
 PAYMENT_LOWER, PAYMENT_UPPER = timedelta(minutes=-15), timedelta(seconds=100)
@@ -147,9 +145,10 @@ def enrich_order_wide(
             "province_3166_2_code": "ISO_3166_2",
         },
     )
+    products = product_dimension(dims)
     out = lookup_enrich(
         out,
-        product_dimension(dims),
+        products,
         "sku_id",
         "ID",
         {
@@ -161,7 +160,7 @@ def enrich_order_wide(
             "tm_name": "TM_NAME",
             "category3_name": "CATEGORY3_NAME",
         },
-        # The planner overestimates a joined table, so its length is checked here.
-        fits=at_most(dims["DIM_SKU_INFO"], MAX_BROADCAST_PRODUCTS),
+        # The planner overestimates a joined table, so what would be sent is measured here.
+        fits=within(products),
     )
     return out.select(*wide.columns)

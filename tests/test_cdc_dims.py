@@ -81,7 +81,7 @@ def test_routing(spark, raw):
     strict = cdc.route_by_rules(normal, rules, snapshot_as_insert=False)
     assert rows(strict.where("seq = 4"), "sink_type") == [("unmatched",)]
     # The same without a broadcast.
-    assert rows(cdc.route_by_rules(normal, rules, max_rules=1), "seq", "sink_type") == rows(routed, "seq", "sink_type")
+    assert rows(cdc.route_by_rules(normal, rules, max_bytes=40), "seq", "sink_type") == rows(routed, "seq", "sink_type")
 
 
 def test_sink_schema():

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillhouse.operators.joins import (
-    at_most,
+    within,
     broadcast_if_small,
     interval_join,
     lookup_enrich,
@@ -109,10 +109,10 @@ def test_lookup_of_text_and_other_types(spark):
 
 def test_broadcast_is_checked(spark):
     small = spark.range(10)
-    assert at_most(small, 10) and not at_most(small, 9)
+    assert within(small, 1000) and not within(small, 80) and not within(small.limit(2), 20)
 
     def hinted(df):
         return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
 
-    assert hinted(broadcast_if_small(small, 10))
-    assert not hinted(broadcast_if_small(small, 9))
+    assert hinted(broadcast_if_small(small, 1000))
+    assert not hinted(broadcast_if_small(small, 100))
