@@ -23,7 +23,7 @@ def mark_dirty(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_all(df: DataFrame, value: str = "value") -> DataFrame:
-    """Fields of the log record, with ``dirty`` and, in dirty rows only, the text.
+    """Fields of the log record, with ``dirty`` and the text as it came.
 
     The record passes through a generator of one row. Filters on its fields stay above that, so
     they read the parsed record; pushed below, each of them would parse the text again.
@@ -32,7 +32,7 @@ def parse_all(df: DataFrame, value: str = "value") -> DataFrame:
     clean = F.when(~F.col("dirty"), F.col(value))
     parsed = F.struct(
         "dirty",
-        F.when(F.col("dirty"), F.col(value)).alias(value),
+        F.col(value),
         F.from_json(clean, schemas.BASE_LOG).alias("__r"),
     )
     rows = mark_dirty(df, value).select(*rest, F.inline(F.array(parsed)))
@@ -100,14 +100,34 @@ def split_log(logs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def with_flag(text: Column, flag: Column) -> Column:
+    """The text of a record with another new-visitor flag; null where the flag has no place in it."""
+    place = r'("common"\s*:\s*\{[^{}]*?"is_new"\s*:\s*)(?:"[^"]*"|null)'
+    put = F.regexp_replace(text, F.lit(place), F.concat(F.lit('$1"'), flag, F.lit('"')))
+    return F.when(flag.isNull(), text).when(text.rlike(place), put)
+
+
+def with_page(text: Column, page_id: Column) -> Column:
+    """The text of an item with the id of its page; null where it names a page already."""
+    inner = F.trim(F.substring(F.trim(text), F.lit(2), F.length(F.trim(text)) - 2))
+    rest = F.substring(F.to_json(F.struct(page_id.alias("page_id"))), 2, 1 << 30)
+    comma = F.when((inner != "") & page_id.isNotNull(), ",").otherwise("")
+    return F.when(~text.contains('"page_id"'), F.concat(F.lit("{"), inner, comma, rest))
+
+
 def route_log(logs: DataFrame, value: str = "value") -> DataFrame:
     """All outputs as (topic, value) rows, in one pass over the input.
 
-    A broker or partitioned file sink can write all of them at once; the input is neither cached
-    nor read once per output. Rows marked dirty, where the input has them, go to a topic of their
+    Messages are the texts that came, with all their fields, also those that the schema does not
+    name; only the new-visitor flag, and the page of an item, are put in. A broker or partitioned
+    file sink can write all of them at once; the input is neither cached nor read once per output. Rows marked dirty, where the input has them, go to a topic of their
     own as they came.
     """
     record = F.to_json(F.struct(*[F.col(n) for n in schemas.BASE_LOG.fieldNames()]))
+    if value in logs.columns:
+        # a line end in JSON is white space; a message is one line
+        line = F.translate(F.col(value), "\n\r", "  ")
+        record = F.coalesce(with_flag(line, F.col("common.is_new")), record)
     page_id = F.col("page.page_id")
     dirty = F.col("dirty") if "dirty" in logs.columns else F.lit(False)
     is_start = ~dirty & F.col("start").isNotNull()
@@ -117,10 +137,17 @@ def route_log(logs: DataFrame, value: str = "value") -> DataFrame:
         return F.struct(F.lit(topic).alias("topic"), text.alias("value"))
 
     def messages(topic: str, items: str) -> Column:
-        put = F.transform(
-            F.col(items), lambda d: message(topic, F.to_json(d.withField("page_id", page_id)))
-        )
-        return F.coalesce(F.when(is_page, put), none)
+        # the items as they came, read only where there are any
+        texts = F.lit(None).cast("array<string>")
+        if value in logs.columns:
+            some = F.when(is_page & (F.size(items) > 0), F.col(value))
+            texts = F.from_json(some, f"{items} ARRAY<STRING>")[items]
+
+        def one(item: Column, at: Column) -> Column:
+            built = F.to_json(item.withField("page_id", page_id))
+            return message(topic, F.coalesce(with_page(F.get(texts, at), page_id), built))
+
+        return F.coalesce(F.when(is_page, F.transform(F.col(items), one)), none)
 
     none = F.array().cast("array<struct<topic:string,value:string>>")
     whole = [

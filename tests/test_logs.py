@@ -83,3 +83,25 @@ def test_entry_page(spark):
 def test_dirty_rate(spark):
     marked = logs.mark_dirty(lines(spark))
     assert rows(logs.dirty_rate(marked)) == [(9, 3, 3 / 9)]
+
+
+def test_fields_outside_the_schema_stay(spark):
+    texts = [
+        '{"common":{"sid":"s","is_new":"1","mid":"m"},"page":{"page_id":"p","source_type":"q"},"more":[1,{"a":2}],"ts":1,'
+        '"displays":[{"item":"1","x":{"y":1}},{},{"item":"2"}],"actions":[{"action_id":"a","z":7}]}',
+        '{"common":{"mid":"m"},"start":{"entry":"icon","w":1.50},"ts":2}',
+        '{"common":{"is_new": null},"page":{},"displays":[{"page_id":"own","item":"3"}]}',
+    ]
+    parsed = logs.parse_all(spark.createDataFrame([(t,) for t in texts], "value STRING"))
+    flag = F.when(F.col("common.is_new") == "1", "0").otherwise(F.col("common.is_new"))
+    routed = logs.route_log(parsed.withColumn("common", F.col("common").withField("is_new", flag)))
+    got = {}
+    for r in routed.collect():
+        got.setdefault(r.topic, []).append(json.loads(r.value))
+    want = [json.loads(t) for t in texts]
+    want[0]["common"]["is_new"] = "0"
+    assert got["dwd_page_log"] == [want[0], want[2]]
+    assert got["dwd_start_log"] == [want[1]]
+    assert got["dwd_display_log"][:3] == [{**d, "page_id": "p"} for d in want[0]["displays"]]
+    assert got["dwd_display_log"][3]["item"] == "3"
+    assert got["dwd_action_log"] == [{"action_id": "a", "z": 7, "page_id": "p"}]
