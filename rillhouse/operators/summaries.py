@@ -43,9 +43,10 @@ def filter_aggregate(
     return finest(df.where(where), dims, sums)
 
 
-def per_partition_counts(df: DataFrame) -> DataFrame:
-    """Records per physical partition; their sum is the number of records."""
-    return df.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+def per_partition_counts(df: DataFrame, *by: str) -> DataFrame:
+    """Records per physical partition, and per ``by`` in it."""
+    part = F.spark_partition_id().alias("part")
+    return df.groupBy(part, *by).agg(F.count(F.lit(1)).alias("n"))
 
 
 def running_key_count(df: DataFrame, key: str) -> DataFrame:

@@ -305,9 +305,14 @@ def key_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def partition_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Total over the per-partition counts; how rows fall into partitions is not fixed."""
-    parts = summaries.per_partition_counts(facade.table(spark, sf, "lineitem"))
-    return parts.agg(F.sum("n").alias("n"))
+    """Records per partition after a deal by line number: each number is whole in one partition."""
+    dealt = facade.table(spark, sf, "lineitem").select("l_linenumber").repartition(
+        5, "l_linenumber"
+    )
+    parts = summaries.per_partition_counts(dealt, "l_linenumber")
+    return parts.groupBy("l_linenumber").agg(
+        F.count_distinct("part").alias("parts"), F.sum("n").alias("n")
+    )
 
 
 # --- themes --------------------------------------------------------------------------------
@@ -597,6 +602,30 @@ def order_table(spark: SparkSession, sf: str) -> DataFrame:
     return facade.ntz(readers.order_table(lines), "orderTime", "promiseTime")
 
 
+def ads_visits_cube(spark: SparkSession, sf: str) -> DataFrame:
+    return ads.visits_cube(_visitor(spark, sf, DAY)).withColumn("gid", F.col("gid").cast("long"))
+
+
+def ads_visits_total(spark: SparkSession, sf: str) -> DataFrame:
+    found = ads.visits_with_total(_visitor(spark, sf, DAY))
+    return found.withColumn("gid", F.col("gid").cast("long"))
+
+
+def ads_visits_new(spark: SparkSession, sf: str) -> DataFrame:
+    return ads.visits_of_new(_visitor(spark, sf, DAY))
+
+
+def snapshot_records(spark: SparkSession, sf: str) -> DataFrame:
+    """A table's rows as change records of the kind "read", normalised."""
+    rows = facade.table(spark, sf, "customer")
+    changes = readers.snapshot_changes(rows, "srv", "shop", "customer")
+    return cdc.normalize_cdc(changes).select(
+        "database", "table", "type",
+        F.col("after")["c_custkey"].alias("id"), F.col("after")["c_name"].alias("name"),
+        F.size("before").alias("before_cells"),
+    )
+
+
 def csv_sink(spark: SparkSession, sf: str) -> DataFrame:
     """Rows written as pipe-delimited text and read back."""
     parts = facade.table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
@@ -626,6 +655,7 @@ QUERIES = {
         product_stats, product_stats_sources, product_stats_named, product_union,
         cdc_normalize, cdc_lines_roundtrip,
         route_by_rules, dim_upsert, dim_store, load_new_and_changed, load_incremental,
+        ads_visits_cube, ads_visits_total, ads_visits_new, snapshot_records,
         ads_rollup, ads_cube, ads_totals, ads_filter_agg, ads_visits, split_cast, side_output,
         csv_parse, text_time, event_time_fallback, action_codec, copy_fields, json_lines,
         camel_columns, counter, order_table, csv_sink, routed_sink,

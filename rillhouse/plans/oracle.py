@@ -316,7 +316,12 @@ SELECT event_id, user_id,
        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
 FROM events""",
     "key_counts": "SELECT user_id, count(*) AS n FROM events GROUP BY user_id",
-    "partition_counts": "SELECT count(*) AS n FROM lineitem",
+    "partition_counts": """
+SELECT l_linenumber, CAST(1 AS BIGINT) AS parts, count(*) AS n FROM lineitem GROUP BY 1""",
+    "snapshot_records": """
+SELECT 'shop' AS database, 'customer' AS "table", 'read' AS type,
+       CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(0 AS INTEGER) AS before_cells
+FROM customer""",
     "visitor_stats": f"""
 WITH {_PAGES}, {_UV}, {_UJ}, {_visitor(_DAY, '1 DAY')} SELECT * FROM visitor_""",
     "visitor_stats_10s": f"""
@@ -449,6 +454,19 @@ ORACLE.update(
 )
 ORACLE["stream_user_jump_timed"] = ORACLE["user_jump"]
 ORACLE["stream_base_log"] = ORACLE["base_log_messages"]
+_VISITS = ", ".join(
+    f"CAST(sum({m}) AS BIGINT) AS {m}" for m in ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")
+)
+_VISITOR = f"WITH {_PAGES}, {_UV}, {_UJ}, {_visitor(_DAY, '1 DAY')}"
+ORACLE["ads_visits_cube"] = f"""
+{_VISITOR} SELECT ch, ar, is_new, CAST(grouping(ch, ar, is_new) AS BIGINT) AS gid, {_VISITS}
+FROM visitor_ GROUP BY CUBE (ch, ar, is_new)"""
+ORACLE["ads_visits_total"] = f"""
+{_VISITOR} SELECT ch, ar, CAST(grouping(ch, ar) AS BIGINT) AS gid, {_VISITS}
+FROM visitor_ GROUP BY GROUPING SETS ((ch, ar), ())"""
+ORACLE["ads_visits_new"] = f"""
+{_VISITOR} SELECT vc, ch, {_VISITS} FROM visitor_ WHERE is_new = '1' GROUP BY vc, ch"""
+ORACLE["stream_buffered_sink"] = "SELECT event_id, user_id, event_type FROM events"
 # Which of a day's first records arrives first is not fixed; that there is one is.
 ORACLE["stream_unique_visit"] = f"""
 WITH {_PAGES}

@@ -35,6 +35,7 @@ from rillhouse.plans.catalog import (
 )
 from rillhouse.session import is_folder, scratch, stream_session
 from rillhouse.sources.readers import Endpoint
+from rillhouse.sources.writers import buffered_stream
 from rillhouse.streaming import forms, jobs
 from rillhouse.streaming.run import drain, drain_updates, finish, start
 
@@ -300,6 +301,20 @@ def base_db(spark: SparkSession, sf: str) -> DataFrame:
     return count.unionByName(named)
 
 
+def buffered_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Events through the buffered sink and back; a file that is too long fails the query."""
+    s = stream_session(spark)
+    rows = _stream(s, sf, "events").select("event_id", "user_id", "event_type")
+    out, most = scratch(spark, "buffered"), 500
+    finish(start(buffered_stream(rows, out, scratch(spark, "state"), most), "buffered", once=True))
+    back = spark.read.schema(rows.schema).json(out)
+    file = F.col("_metadata.file_path").alias("file")
+    longest = back.groupBy(file).count().agg(F.max("count")).first()[0] or 0
+    if longest > most:
+        raise ValueError(f"a file has {longest} records")
+    return back
+
+
 QUERIES = {
     "stream_interval_join_orders": interval_join_orders,
     "stream_interval_join_payment": interval_join_payment,
@@ -318,4 +333,5 @@ QUERIES = {
     "stream_dim_upsert": dim_upsert,
     "stream_base_log": base_log,
     "stream_base_db": base_db,
+    "stream_buffered_sink": buffered_sink,
 }

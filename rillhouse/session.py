@@ -55,17 +55,19 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A session of the same application with the settings that stateful streams need.
 
     The number of state partitions is frozen into a stream's checkpoint and is not adapted at
-    run time, so it follows the cores of the cluster rather than the batch setting.
+    run time. Name it for a job that is to last, in particular where executors come and go; without
+    it, it follows the cores that the application has now.
     """
     session = spark.newSession()
     for key, value in SETTINGS.items():
         session.conf.set(key, value)
     session.conf.set(
-        "spark.sql.shuffle.partitions", str(max(1, spark.sparkContext.defaultParallelism))
+        "spark.sql.shuffle.partitions",
+        str(state_partitions or max(1, spark.sparkContext.defaultParallelism)),
     )
     session.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
