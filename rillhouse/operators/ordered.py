@@ -19,6 +19,7 @@ from rillhouse.functions.scalar import micros, time_cell
 
 HOUR = timedelta(hours=1)
 DAY = timedelta(days=1)
+HOUR = timedelta(hours=1)
 
 
 def first_per_day(
@@ -120,7 +121,7 @@ def running(
     ts: str,
     tie: str,
     sums: Mapping[str, Column],
-    cell: timedelta = DAY,
+    cell: timedelta = HOUR,
 ) -> DataFrame:
     """Running sums per key, one output row per record, the record itself included.
 

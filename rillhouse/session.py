@@ -76,6 +76,10 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     session.conf.set(
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
     )
+    # sessions are merged per task before they are shuffled
+    session.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
+    )
     return session
 
 
