@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillhouse.llm import mixing, simhash, substring, toxicity
-from rillhouse.llm.common import stored, table
+from rillhouse.llm.common import ship, stored, table
 from rillhouse.llm.queries import packed_digest
 
 
@@ -21,6 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays, the one with the smallest id."""
+    ship(spark)
     return simhash.keep_first(docs)
 
 
@@ -30,6 +31,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A text that loses words becomes its other words with single spaces; one that loses none stays
     as it is. Documents that lose all their words go.
     """
+    ship(spark)
     cut = substring.dedup(docs).where("n_removed = 0 or n_removed < n_words")
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     size = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars"))
@@ -43,6 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of all pieces in sequences of 1024 ids."""
+    ship(spark)
     return packed_digest(docs)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+import shutil
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +14,33 @@ from rillhouse.session import scratch
 #: A word: a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_SHIPPED: set[str] = set()
+
 #: A side of at most this many bytes may be sent to every executor.
 BROADCAST_BYTES = 8 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, unless they find it by their path as the driver does.
+
+    Call it before functions of the package go into a plan; an installed package needs none.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    context = spark.sparkContext
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if context.master.startswith("local"):
+        paths.append(os.getcwd())
+    found = any(p and os.path.realpath(p) == os.path.realpath(root) for p in paths)
+    if found or context.applicationId in _SHIPPED:
+        return
+    folder = tempfile.mkdtemp(prefix="rillhouse-")
+    made = shutil.make_archive(os.path.join(folder, "rillhouse"), "zip", root, "rillhouse")
+    context.addPyFile(made)
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -113,6 +137,3 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
             )
             roots = stored(roots.coalesce(tasks), label)
     return first.toDF("node", "root") if roots is None else roots
-
-
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
