@@ -113,7 +113,7 @@ def fit(
     labels: np.ndarray,
     n_features: int,
     fairness: float,
-    ridge: float = 2e-4,
+    ridge: float = 5e-5,
     steps: int = 300,
 ) -> tuple[np.ndarray, float]:
     """Weights and intercept by Adam over all rows at once."""
