@@ -6,6 +6,7 @@ import os
 import shutil
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +21,19 @@ _SHIPPED: set[str] = set()
 BROADCAST_BYTES = 8 << 20
 
 
+#: Rows of one Arrow batch where the session has Spark's default of 10,000: texts may be long.
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors, unless they find it by their path as the driver does.
 
-    Call it before functions of the package go into a plan; an installed package needs none.
+    Call it before functions of the package go into a plan; an installed package needs none. It
+    also lowers the rows of an Arrow batch, unless the session has a value of its own.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     context = spark.sparkContext
     paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
@@ -84,6 +93,18 @@ def lookup(
     ).drop("_key", "_salt", "_right")
 
 
+def tidy(run):
+    """A map over Arrow batches that gives back the memory it held when its task ends."""
+
+    def mapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return mapped
+
+
 #: About so many links of a graph make up one task.
 LINKS_PER_TASK = 200_000
 

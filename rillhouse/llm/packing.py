@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import stored
+from rillhouse.llm.common import stored, tidy
 from rillhouse.llm.tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length int, ids binary"
@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 102
             yield batch_of(rows)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(tidy(run), PIECES)
 
 
 def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -172,7 +172,7 @@ def place(cut: DataFrame, capacity: int = 1024) -> DataFrame:
 
     slim = ranked.select(*kept, (F.col("_rank") + F.col("_shift")).alias("_rank"))
     schema = ", ".join(f"`{c}` {kind}" for c, kind in cut.dtypes)
-    return slim.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+    return slim.mapInArrow(tidy(run), f"{schema}, sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:

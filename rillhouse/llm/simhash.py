@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
-from rillhouse.llm.common import components, stored
+from rillhouse.llm.common import components, stored, tidy
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -40,7 +40,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(tidy(run), "doc_id long, fp long")
 
 
 def close_pairs(marks: DataFrame, max_bits: int = 2) -> DataFrame:
@@ -123,6 +123,6 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFram
             yield batch.append_column("_fp", pa.array(marks, pa.int64()))
 
     schema = StructType([*docs.schema.fields, StructField("_fp", LongType())])
-    nameless = docs.where("doc_id is null").mapInArrow(run, schema)
+    nameless = docs.where("doc_id is null").mapInArrow(tidy(run), schema)
     more = nameless.join(unknown.withColumnRenamed("fp", "_fp"), "_fp", "left_semi")
     return out.unionByName(more.dropDuplicates(["_fp"]).select(*docs.columns))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from rillhouse.llm.common import stored
+from rillhouse.llm.common import stored, tidy
 from rillhouse.llm.fm_index import FMIndex
 
 WINDOW, GRAM = 50, 8
@@ -93,7 +93,7 @@ def segment_table(docs: DataFrame, window: int) -> DataFrame:
                 )
 
     return docs.mapInArrow(
-        run,
+        tidy(run),
         "doc_id long, text_hash long, start int, length int, minimizer long, content long",
     )
 
@@ -162,7 +162,7 @@ def shared_windows(
     )
     whole = keyed(docs).where("doc_id is not null and text is not null")
     passages = with_spans(whole, spans, "inner").select("doc_id", "text", "spans")
-    cut_out = stored(passages.mapInArrow(cut, schema), "sub-passages")
+    cut_out = stored(passages.mapInArrow(tidy(cut), schema), "sub-passages")
     tasks = cut_out.count() // PER_TASK + 1
     # a segment is held by one index of its minimizer and asks all of them
     own, asks = F.pmod("content", F.col("parts")).cast("int"), F.col("first") > F.col("lowest")
@@ -288,5 +288,5 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
     return joined.mapInArrow(
-        run, f"{schema}, kept string, n_words long, n_removed long, kept_sha256 string"
+        tidy(run), f"{schema}, kept string, n_words long, n_removed long, kept_sha256 string"
     )

@@ -10,7 +10,7 @@ import numpy as np
 #: The characters with Unicode's White_Space property (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Beyond this many entries a worker's memory becomes the old one, which is asked second.
-MEMORY = 250_000
+MEMORY = 200_000
 _W = f"[{SPACE}]"
 _L = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: How the two vocabularies split text, here for ASCII and Latin-1 letters (fixed values).
@@ -51,16 +51,12 @@ class Encoder(dict):
         self.spaces = spaces
         self.parts: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.old_parts: dict[str, bytes] = {}
 
     def part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            ids = self.old_parts.get(part)
-            if ids is None:
-                text = part.encode().decode("latin-1").translate(_BYTES)
-                ids = pack(self.tokenize(text))
-            self.parts[part] = ids
+            text = part.encode().decode("latin-1").translate(_BYTES)
+            ids = self.parts[part] = pack(self.tokenize(text))
         return ids
 
     def __missing__(self, chunk: str) -> bytes:
@@ -80,8 +76,8 @@ class Encoder(dict):
         if len(self) > MEMORY:
             self.old = self.copy()
             self.clear()
-        if len(self.parts) > MEMORY:
-            self.old_parts, self.parts = self.parts, {}
+        if len(self.parts) > MEMORY // 2:
+            self.parts.clear()
         parts = self.chunks(text or "")
         return np.frombuffer(b"".join(map(self.__getitem__, parts)), dtype="<u4")
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import stored
+from rillhouse.llm.common import stored, tidy
 
 #: Lists of terms that stand for each other in a neutral sentence (fixed values, a parameter).
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
@@ -163,7 +163,7 @@ class Model:
         self.words: dict[str, tuple[int, ...]] = {}
 
     def features(self, words: set[str]) -> set[int]:
-        if len(self.words) > 300_000:
+        if len(self.words) > 100_000:
             self.words.clear()
         found, known, place = set(), self.words, self.place
         for word in words:
@@ -244,7 +244,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
 
     plain = docs.drop(column)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    return plain.mapInArrow(run, f"{schema}, `{column}` double")
+    return plain.mapInArrow(tidy(run), f"{schema}, `{column}` double")
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
