@@ -1,108 +1,184 @@
 """Scores by the difference of cross-entropies under a target and a background language model.
 
-Both are bigram models over one vocabulary: the words of all documents, hashed into a fixed number
-of buckets, as are pairs of words. A bucket's count is exact over the whole corpus; words or pairs
-that share a bucket share their count, so the models have the same bounded size for any corpus.
+Both are bigram models over one vocabulary: the words of all documents. Words and pairs are known by
+64-bit hashes and counted exactly, so the counts grow with the corpus. Documents lie in blocks; a
+block sends each of its distinct n-grams once, to the shard that counts it over all blocks, and gets
+the counts back in the same order.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import gc
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
-from rillhouse.llm.common import lookup, stored
+from rillhouse.llm.common import lookup, stored, tidy
 
-#: Buckets of words and of pairs (parameters; a larger corpus wants more).
-WORDS, PAIRS = 1 << 18, 1 << 21
+#: Words that the even distribution is made for, at least; a larger vocabulary has its own size.
+WORDS = 1 << 18
 #: Weight of the word model in the pair model, and of the even distribution in the word model.
 PRIOR, FLOOR = 20.0, 0.5
+#: Bytes of text of one block of documents, and for each shard of the counts (no effect on results).
+BLOCK, SHARD = 6 << 20, 4 << 20
 
 
-def buckets(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of a text's words, of the words before them, and of the pairs; 0 begins a text."""
+def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of a text's words, of the words before them, and of the pairs; 0 begins a text."""
     words = (text or "").encode().lower().split()
     h = np.fromiter(map(xxh64_intdigest, words, repeat(1)), dtype="<u8", count=len(words))
     before = np.concatenate([np.zeros(1, np.uint64), h[:-1]]) if len(h) else h
     pair = before * np.uint64(0x9E3779B97F4A7C15) + h
     pair ^= pair >> np.uint64(29)
     pair *= np.uint64(0xBF58476D1CE4E5B9)
-    return (
-        (h >> np.uint64(20)) % np.uint64(WORDS),
-        (before >> np.uint64(20)) % np.uint64(WORDS),
-        (pair >> np.uint64(20)) % np.uint64(PAIRS),
-    )
+    return h, before, pair
+
+
+#: The name of earlier versions, which counted by buckets of these hashes.
+buckets = ngrams
 
 
-def ngram_counts(docs: DataFrame) -> DataFrame:
-    """``(bucket, target, background)``: counts over all ``docs(text, target)``.
+def keys(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the n-grams of some texts, a row each for words, firsts of pairs and pairs.
 
-    Buckets of words come first, then those of words as the first of a pair, then pairs. Each task
-    sums what it reads before rows are shuffled by bucket.
+    Only those of words are odd. Also the number of words of each text.
     """
-    width = 2 * WORDS + PAIRS
+    found = [ngrams(t) for t in texts]
+    word, first, pair = (np.concatenate([f[k] for f in found]) for k in range(3))
+    first = (first ^ np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0xFF51AFD7ED558CCD)
+    rows = np.stack([word | np.uint64(1), first & ~np.uint64(1), pair & ~np.uint64(1)])
+    return rows, np.array([len(f[0]) for f in found], dtype=np.int64)
 
-    def count(batches):
-        sums = np.zeros((2, width), dtype=np.int64)
-        for batch in batches:
-            for text, target in zip(
-                batch.column("text"), batch.column("target").to_pylist(), strict=True
-            ):
-                word, before, pair = (b.astype(np.int64) for b in buckets(text.as_py()))
-                at = np.concatenate([word, WORDS + before, 2 * WORDS + pair])
-                at, n = np.unique(at, return_counts=True)
-                sums[0, at] += n
-                if target:
-                    sums[1, at] += n
-        some = np.flatnonzero(sums[0])
-        for a in range(0, len(some), 100_000):
-            part = some[a : a + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), pa.array(sums[1, part]), pa.array(sums[0, part])],
-                ["bucket", "target", "background"],
-            )
-
-    counted = docs.select("text", "target").mapInArrow(
-        count, "bucket int, target long, background long"
-    )
-    return counted.groupBy("bucket").agg(
-        F.sum("target").alias("target"), F.sum("background").alias("background")
-    )
 
+def pack(values: np.ndarray) -> bytes:
+    """Numbers with their first bytes together, then the second ones: shuffles compress that."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
 
-@dataclass
-class BigramModel:
-    """Counts by bucket of one corpus."""
 
-    words: np.ndarray
-    firsts: np.ndarray
-    pairs: np.ndarray
-    total: float
+def unpack(blob: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
-    def log_probabilities(self, word, before, pair) -> np.ndarray:
-        single = (self.words[word].astype(np.float64) + FLOOR) / (self.total + FLOOR * len(self.words))
-        return np.log((self.pairs[pair] + PRIOR * single) / (self.firsts[before] + PRIOR))
 
+def blocked(docs: DataFrame, size: int) -> DataFrame:
+    """``docs`` with ``_block`` and the ``_row`` in it: about ``size`` bytes of text of one task."""
 
-def fit(docs: DataFrame) -> tuple[BigramModel, BigramModel]:
-    """Target and background model of ``docs(text, target)``; every document is background."""
-    rows = stored(ngram_counts(docs), "lm-counts").toArrow()
-    at = rows.column("bucket").to_numpy()
-    models = []
-    for name in ("target", "background"):
-        counts = np.zeros(2 * WORDS + PAIRS, dtype=np.float64)
-        counts[at] = rows.column(name).to_numpy()
-        parts = np.split(counts, [WORDS, 2 * WORDS])
-        models.append(BigramModel(*(c.astype(np.float32) for c in parts), float(parts[0].sum())))
-    return models[0], models[1]
+    def run(batches):
+        task, seen, block, row = TaskContext.get().partitionId() << 32, 0, -1, 0
+        for batch in batches:
+            blocks, places = [], []
+            for text in pa.compute.binary_length(batch.column("text")).to_pylist():
+                at = task + seen // size
+                block, row = at, row + 1 if at == block else 0
+                blocks.append(at)
+                places.append(row)
+                seen += text or 0
+            more = batch.append_column("_block", pa.array(blocks, pa.int64()))
+            yield more.append_column("_row", pa.array(places, pa.int64()))
+
+    added = [StructField("_block", LongType()), StructField("_row", LongType())]
+    schema = StructType([*docs.schema.fields, *added])
+    return stored(docs.mapInArrow(tidy(run), schema), "lm-blocks")
+
+
+def shared_counts(docs: DataFrame, shards: int) -> DataFrame:
+    """``(block, row, shard, target, background)`` with counts over all documents, and sums.
+
+    ``docs`` are ``blocked``, with ``_target``. A piece is what one task reads of a block, from
+    ``row`` on. The counts of a piece are those of its distinct keys in order; they are cut into
+    ``shards`` ranges of keys. Rows without a block have the number of distinct ``words`` of a shard
+    and the sums of their counts, ``n_target`` and ``n_background``.
+    """
+    borders = np.array([(k << 64) // shards for k in range(shards)], dtype=np.uint64)
+
+    def sent(block, row, texts, marks):
+        rows, n = keys(texts)
+        marked = rows[:, np.repeat([bool(m) for m in marks], n)].ravel()
+        distinct, every = np.unique(rows.ravel(), return_counts=True)
+        some, times = np.unique(marked, return_counts=True)
+        target = np.zeros(len(distinct), dtype="<u4")
+        target[np.searchsorted(distinct, some)] = times
+        every = every.astype("<u4")
+        cuts = [*np.searchsorted(distinct, borders).tolist(), len(distinct)]
+        spans = [(k, a, b) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+        steps = [np.diff(distinct[a:b], prepend=borders[k]) for k, a, b in spans]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([k for k, _, _ in spans], pa.int32()),
+                pa.array([block] * len(spans), pa.int64()),
+                pa.array([row] * len(spans), pa.int64()),
+                pa.array([pack(v) for v in steps], pa.binary()),
+                pa.array([pack(target[a:b]) for _, a, b in spans], pa.binary()),
+                pa.array([pack(every[a:b]) for _, a, b in spans], pa.binary()),
+            ],
+            ["shard", "block", "row", "steps", "target", "background"],
+        )
 
+    def count(batches):
+        block, start, texts, marks = None, 0, [], []
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("_block", "_row", "text", "_target"))
+            for at, row, text, mark in zip(*columns, strict=True):
+                if at != block or row != start + len(texts):
+                    if texts:
+                        yield sent(block, start, texts, marks)
+                    block, start, texts, marks = at, row, [], []
+                texts.append(text)
+                marks.append(mark)
+        if texts:
+            yield sent(block, start, texts, marks)
+
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        steps = [unpack(v, "<u8") for v in rows.column("steps").to_pylist()]
+        ends = np.cumsum([len(v) for v in steps])
+        shard = key[0].as_py()
+        own = np.concatenate([np.cumsum(v, dtype=np.uint64) + borders[shard] for v in steps])
+        del steps
+        distinct, at = np.unique(own, return_inverse=True)
+        word = (distinct & np.uint64(1)) == 1
+        out, sums = {}, {}
+        for name in ("target", "background"):
+            n = np.concatenate([unpack(v, "<u4") for v in rows.column(name).to_pylist()])
+            # whole numbers below 2^53 are exact as weights
+            total = np.bincount(at, n, len(distinct)).astype("<i8")
+            out[name] = [pack(v) for v in np.split(total[at], ends[:-1])]
+            sums[name] = int(total[word].sum())
+        none = [None] * len(rows)
+        return pa.table({
+            **{c: pa.array([*rows.column(c).to_pylist(), None], pa.int64()) for c in ("block", "row")},
+            "shard": pa.array([*[shard] * len(rows), shard], pa.int32()),
+            **{c: pa.array([*v, None], pa.binary()) for c, v in out.items()},
+            "words": pa.array([*none, int(word.sum())], pa.int64()),
+            "n_target": pa.array([*none, sums["target"]], pa.int64()),
+            "n_background": pa.array([*none, sums["background"]], pa.int64()),
+        })
+
+    counted = docs.select("_block", "_row", "text", "_target").mapInArrow(
+        tidy(count),
+        "shard int, block long, row long, steps binary, target binary, background binary",
+    )
+    added = counted.groupBy("shard").applyInArrow(
+        add,
+        "block long, row long, shard int, target binary, background binary, words long, "
+        "n_target long, n_background long",
+    )
+    return stored(added, "lm-counts")
+
+
+def log_probabilities(word, first, pair, total: int, words: int) -> np.ndarray:
+    """By the counts of words, of the words before them as firsts, and of the pairs."""
+    single = (word + FLOOR) / (total + FLOOR * words)
+    return np.log((pair + PRIOR * single) / (first + PRIOR))
 
-def score(docs: DataFrame, targets: DataFrame) -> DataFrame:
+
+def score(docs: DataFrame, targets: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ce_target``, ``ce_background`` and ``score``.
 
     ``targets(doc_id)`` names the documents of the target domain; counts cover all documents. Cross-
@@ -111,34 +187,49 @@ def score(docs: DataFrame, targets: DataFrame) -> DataFrame:
     target document the target model knows nothing and is the same for all words. Columns of the
     input with these names are replaced; rows without an id are background.
     """
-    made = ["n_tokens", "ce_target", "ce_background", "score", "target"]
-    plain = docs.drop(*made)
+    made = ["n_tokens", "ce_target", "ce_background", "score"]
+    plain = docs.drop(*made, "target")
     marks = targets.where("doc_id is not null").select("doc_id").distinct()
-    marks = stored(marks.withColumn("target", F.lit(True)), "lm-targets")
-    flagged = lookup(plain.select("doc_id", "text"), marks, "doc_id")
-    models = docs.sparkSession.sparkContext.broadcast(fit(flagged))
+    marks = stored(marks.withColumn("_target", F.lit(True)), "lm-targets")
+    rows = blocked(lookup(plain, marks, "doc_id"), block)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    counts = shared_counts(rows, size // shard + 1)
+    words, *totals = (
+        v or 0 for v in counts.agg(F.sum("words"), F.sum("n_target"), F.sum("n_background")).first()
+    )
+    words = max(words, WORDS)
+    # the first shuffle is over: its files go once the driver has collected its garbage
+    gc.collect()
+    docs.sparkSession.sparkContext._jvm.System.gc()
     columns = plain.columns
 
-    def run(batches):
-        target, background = models.value
-        for batch in batches:
-            rows = []
-            for text in batch.column("text"):
-                found = tuple(b.astype(np.int64) for b in buckets(text.as_py()))
-                n = len(found[0])
-                t, b = (
-                    -float(m.log_probabilities(*found).mean()) if n else 0.0
-                    for m in (target, background)
-                )
-                rows.append((n, t, b, t - b))
-            results = list(zip(*rows, strict=True)) or [()] * 4
-            kinds = [pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(c, k) for c, k in zip(results, kinds, strict=True))],
-                [*columns, *made[:4]],
-            )
-
-    schema = ", ".join(f"`{c}` {kind}" for c, kind in plain.dtypes)
-    return plain.mapInArrow(
-        run, f"{schema}, n_tokens long, ce_target double, ce_background double, score double"
-    )
+    def run(own: pa.Table, shared: pa.Table) -> pa.Table:
+        own, shared = own.sort_by("_row"), shared.sort_by([("row", "ascending"), ("shard", "ascending")])
+        texts = own.column("text").to_pylist()
+        n = np.zeros(len(texts), dtype=np.int64)
+        means = np.zeros((2, len(texts)))
+        row = shared.column("row").to_numpy()
+        # documents before the first piece, and pieces without counts, have no words
+        starts = np.unique(row)
+        first = np.searchsorted(own.column("_row").to_numpy(), starts).tolist()
+        for start, a, b in zip(starts, first, [*first, len(texts)][1:], strict=True):
+            rows, n[a:b] = keys(texts[a:b])
+            distinct, at = np.unique(rows.ravel(), return_inverse=True)
+            at = at.reshape(rows.shape)
+            text = np.repeat(np.arange(b - a), n[a:b])
+            piece = shared.filter(pa.array(row == start))
+            for k, name in enumerate(("target", "background")):
+                counts = np.concatenate([unpack(v, "<i8") for v in piece.column(name).to_pylist()])
+                if len(counts) != len(distinct):
+                    raise ValueError(f"counts of {len(counts)} keys met {len(distinct)}")
+                logs = log_probabilities(*counts[at].astype(np.float64), totals[k], words)
+                means[k, a:b] = -np.bincount(text, logs, b - a) / np.maximum(n[a:b], 1) + 0.0
+        kept = own.select(columns)
+        for name, v in zip(made, (n, *means, means[0] - means[1]), strict=True):
+            kept = kept.append_column(name, pa.array(v))
+        return kept
+
+    kinds = [LongType(), DoubleType(), DoubleType(), DoubleType()]
+    schema = [*plain.schema.fields, *(StructField(c, k) for c, k in zip(made, kinds, strict=True))]
+    told = counts.where("block is not null").select("block", "row", "shard", "target", "background")
+    return rows.groupBy("_block").cogroup(told.groupBy("block")).applyInArrow(run, StructType(schema))

@@ -57,6 +57,46 @@ def test_scores(spark, documents, targets):
     assert lm_scoring.score(documents([]), named).count() == 0
 
 
+def scores_by_words(rows, targets, vocabulary):
+    """Counts of the words and pairs themselves."""
+    split = [(i, (t or "").encode().lower().split()) for i, t in rows]
+    grams = [(i, w, [b"", *w][: len(w)]) for i, w in split]
+    out = []
+    counts = [Counter(), Counter()]
+    for i, words, before in grams:
+        for c in counts if i in targets else counts[1:]:
+            c.update(words)
+            c.update(("first", f) for f in before)
+            c.update(zip(before, words, strict=True))
+    totals = [sum(v for k, v in c.items() if isinstance(k, bytes)) for c in counts]
+    for i, words, before in grams:
+        ce = []
+        for c, n in zip(counts, totals, strict=True):
+            logs = [
+                math.log((c[f, w] + 20 * (c[w] + 0.5) / (n + 0.5 * vocabulary)) / (c["first", f] + 20))
+                for w, f in zip(words, before, strict=True)
+            ]
+            ce.append(-sum(logs) / len(logs) if logs else 0.0)
+        out.append((i, len(words), *ce, ce[0] - ce[1]))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("floor", [None, 100])
+def test_words_never_share_a_count(spark, documents, monkeypatch, floor):
+    """So many words and pairs that buckets would be shared; several blocks, shards and tasks."""
+    rows = [(k, " ".join(f"w{k * j * j % 20_011} w{j}" for j in range(400))) for k in range(60)]
+    rows += [(60, None), (61, ""), (62, rows[3][1])]
+    if floor:
+        monkeypatch.setattr(lm_scoring, "WORDS", floor)
+    docs = documents(rows).repartition(3).select("doc_id", "text")
+    named = spark.createDataFrame([(k,) for k in range(0, 60, 4)], "doc_id long")
+    found = lm_scoring.score(docs, named, block=20_000, shard=50_000).drop("text")
+    distinct = len({w for _, t in rows for w in (t or "").split()})
+    assert distinct > 5000
+    want = scores_by_words(rows, set(range(0, 60, 4)), distinct if floor else lm_scoring.WORDS)
+    close(sorted(map(tuple, found.collect())), want)
+
+
 def test_score_query(spark, sf, texts):
     good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").collect()}
     got = sorted(map(tuple, queries.op3_lm_scores(spark, sf).collect()))
