@@ -54,6 +54,9 @@ NOISE = {
 #: Words that name an article (a parameter).
 GOOD = {"article", "body", "content", "entry", "main", "post", "story", "text"}
 
+#: Elements that a page is divided into (fixed values).
+BOXES = {"html", "body", "div", "section", "article", "main", "table", "center"}
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
@@ -67,7 +70,7 @@ _NAMES = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
     """An open or closed element with its path and the text seen in it."""
 
@@ -216,12 +219,38 @@ def score(node: Node) -> float:
 
 
 def best(nodes: list[Node]) -> Node:
-    """The innermost container that keeps nearly all that the best one scores."""
+    """The container that scores best, or what it is part of or made of without loss.
+
+    An outer container named as an article holds more of it, such as the title, unless links are
+    most of that. An inner container is chosen instead only if all else are links, or, of a page
+    as a whole, other boxes without the main heading.
+    """
     top = max(nodes, key=score)
-    worth = score(top)
-    whole = [n for n in nodes if n.size and n.tag not in ("p", "li", "td")]
-    near = [n for n in whole if score(n) >= 0.9 * worth]
-    return near[-1] if near else top
+    while top.tag in ("", "html", "body"):
+        parts = [n for n in nodes if n.parent is top and n.size and n.tag in BOXES]
+        loose = top.size - top.linked - sum(n.size - n.linked for n in parts)
+        main = next((n for n in parts if score(n) >= 0.9 * score(top)), None)
+        titled = any(n.tag == "h1" and n.size and not within(n, main) for n in nodes) if main else True
+        if loose or titled:
+            break
+        top = main
+    outer = top.parent
+    while outer is not None:
+        more, links = outer.size - top.size, outer.linked - top.linked
+        if outer.good and outer.tag not in ("html", "body") and more > 2 * links:
+            top = outer
+        outer = outer.parent
+    for n in nodes[nodes.index(top) + 1 :] if top in nodes else ():
+        if n.size and n.tag not in ("p", "li", "td") and within(n, top):
+            if n.size - n.linked == top.size - top.linked:
+                top = n
+    return top
+
+
+def within(node: Node, outer: Node) -> bool:
+    while node.parent is not None and node is not outer:
+        node = node.parent
+    return node is outer
 
 
 def text_of(chosen: list[Node]) -> str:

@@ -40,6 +40,21 @@ def test_pages(page):
     assert html_extract.extract(page, None) == CASES[page]
 
 
+HEAD = "<h1>Title</h1><p>lead</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class=post>{HEAD}<div class=post-body>{LONG}</div></div>",
+    f"<body>{HEAD}<div>{LONG}</div></body>",
+    f"<article>{HEAD}<div class=post-body>{LONG}</div></article>",
+    f"<div class=post>{HEAD}<article>{LONG}</article></div>",
+    f"<div class=post>{HEAD}<div class=post-body><div>{LONG}</div></div><p><a href=x>next</a></div>",
+])
+def test_nothing_around_a_nested_body_is_lost(page):
+    got = html_extract.extract(page, None)
+    assert got.removesuffix("\n\nnext") == f"Title\n\nlead\n\n{LONG.strip()}"
+
+
 def test_generalised_paths():
     nodes = html_extract.containers("<div class='post post-17 b'><p>x</p></div>")
     assert [n.path for n in nodes] == ["", ">div.b.post", ">div.b.post>p"]
