@@ -57,6 +57,9 @@ GOOD = {"article", "body", "content", "entry", "main", "post", "story", "text"}
 #: Elements that a page is divided into (fixed values).
 BOXES = {"html", "body", "div", "section", "article", "main", "table", "center"}
 
+#: Words before a noise word that say what an element has or lacks (fixed values).
+STATES = {"no", "not", "has", "have", "with", "without", "hide", "is"}
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
@@ -79,6 +82,8 @@ class Node:
     parent: Node | None
     noise: bool
     good: bool
+    suspect: bool = False
+    holds: bool = False
     blocks: list[list[str]] = field(default_factory=list)
     linked: int = 0
     size: int = 0
@@ -110,22 +115,71 @@ def general(tag: str, names: list[tuple[str, str]]) -> str:
     return ".".join([tag, *classes])
 
 
+def suspicious(names: list[tuple[str, str]]) -> bool:
+    """Whether classes, ids or roles name an element as noise.
+
+    A name may say so in part, unless it tells what an element has or lacks, heads an article, or
+    stands beside a whole name of an article.
+    """
+    named = [c for _, value in names for c in value.split()]
+    if any(c in NOISE for c in named):
+        return True
+    if any(c in GOOD for c in named):
+        return False
+    for c in named:
+        parts = _NAMES.findall(c)
+        if parts and parts[-1] == "header" and GOOD & set(parts):
+            continue
+        if NOISE & set(parts) and not STATES & set(parts):
+            return True
+    return False
+
+
 def containers(page: str | None) -> list[Node]:
+    """The elements of a page that hold its text, see ``read``.
+
+    Names alone never silence an element that holds an article or, on a page that has none outside,
+    most of the text outside links.
+    """
+    pardoned: set[int] = set()
+    while True:
+        nodes, suspects, plain = read(page, pardoned)
+        article = any(n.tag in ("article", "main") and n.size for n in nodes)
+        more = {
+            k
+            for k, n in enumerate(suspects)
+            if k not in pardoned and not article and (n.holds or 2 * (n.size - n.linked) > plain)
+        }
+        if not more:
+            return nodes
+        pardoned |= more
+
+
+def read(page: str | None, pardoned: set[int]) -> tuple[list[Node], list[Node], int]:
     """The elements of a page that hold text of their own blocks, in order; the page is the first.
 
-    Text inside noise and raw elements is in none of them. A block's pieces are kept by the nearest
+    Also the elements that their names make noise, unless ``pardoned`` by number, and the size of the
+    text outside links, theirs included. Text inside noise and raw elements is in no container. A block's pieces are kept by the nearest
     block element; ``blocks`` of a container are those of all elements inside it, in page order.
     """
     root = Node("", "", None, False, False)
     nodes, stack = [root], [root]
     block: list[str] | None = None
-    quiet = links = 0
+    quiet = links = doubt = plain = 0
+    suspects: list[Node] = []
     page, at = page or "", 0
 
     def text(piece: str) -> None:
-        nonlocal block
+        nonlocal block, plain
         if quiet:
             return
+        plain += len(piece.strip()) * (links == 0)
+        if doubt:
+            for n in stack:
+                if n.suspect:
+                    n.size += len(piece.strip())
+                    n.linked += len(piece.strip()) * (links > 0)
+            return
         if "&" in piece:
             piece = html.unescape(piece)
         if block is None:
@@ -142,9 +196,10 @@ def containers(page: str | None) -> list[Node]:
             n.linked += size * link
 
     def close(depth: int) -> None:
-        nonlocal block, quiet, links
+        nonlocal block, quiet, links, doubt
         for n in stack[depth:]:
-            quiet -= n.noise
+            quiet -= n.noise and not n.suspect
+            doubt -= n.suspect
             links -= n.tag == "a"
             if n.tag not in INLINE:
                 block = None
@@ -154,7 +209,7 @@ def containers(page: str | None) -> list[Node]:
         tag = _TAG.search(page, at)
         if tag is None:
             text(page[at:])
-            return nodes
+            return nodes, suspects, plain
         if tag.start() > at:
             text(page[at : tag.start()])
         at = tag.end()
@@ -198,12 +253,22 @@ def containers(page: str | None) -> list[Node]:
         good = name in ("article", "main") or bool(words & GOOD)
         aside = name in ASIDE and not (name == "header" and inside(stack))
         noise = name in RAW or hidden or aside
-        noise |= name not in ("html", "body", "article", "main") and bool(words & NOISE)
-        node = Node(name, f"{parent.path}>{general(name, names)}", parent, noise, good)
+        named = suspicious(names) if words & NOISE else False
+        suspect = False
+        if named and not noise and name not in ("html", "body", "article", "main"):
+            suspect = len(suspects) not in pardoned
+        path = f"{parent.path}>{general(name, names)}"
+        node = Node(name, path, parent, noise or suspect, good, suspect)
+        if named and not noise and name not in ("html", "body", "article", "main"):
+            suspects.append(node)
+        if name in ("article", "main") and not named and not quiet:
+            for n in stack:
+                n.holds = True
         stack.append(node)
         quiet += noise
+        doubt += suspect
         links += name == "a"
-        if name not in INLINE and not noise:
+        if name not in INLINE and not node.noise:
             nodes.append(node)
 
 

@@ -55,6 +55,21 @@ def test_nothing_around_a_nested_body_is_lost(page):
     assert got.removesuffix("\n\nnext") == f"Title\n\nlead\n\n{LONG.strip()}"
 
 
+@pytest.mark.parametrize("page", [
+    f"<div id=page class='content no-sidebar'><article>{HEAD}{LONG}</article></div>",
+    f"<div class='with-sidebar'><div class=post>{HEAD}{LONG}</div></div>",
+    f"<div class='post has-comments'>{HEAD}{LONG}</div>",
+    f"<div class='entry tags-news'>{HEAD}{LONG}</div>",
+    f"<div class=post><div class=post-header><h1>Title</h1></div><p>lead</p>{LONG}</div>",
+    f"<div class=widget>{HEAD}{LONG}</div><p>short</p>",
+    f"<div class='layout-sidebar'><div class=sidebar>side</div><article>{HEAD}{LONG}</article></div>",
+    f"<article>{HEAD}{LONG}</article><div class=comments><article class=comment>{LONG * 9}</article></div>",
+])
+def test_names_do_not_silence_an_article(page):
+    got = html_extract.extract(page, None)
+    assert got.removesuffix("\n\nshort") == f"Title\n\nlead\n\n{LONG.strip()}"
+
+
 def test_generalised_paths():
     nodes = html_extract.containers("<div class='post post-17 b'><p>x</p></div>")
     assert [n.path for n in nodes] == ["", ">div.b.post", ">div.b.post>p"]
