@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import stored, tidy
+from rillhouse.llm.common import arrow_rows, stored, tidy
 
 #: About so many bytes of text make up one block, within which equal n-grams are counted first.
 BLOCK_BYTES = 2 << 20
+#: Blocks that are sent to a worker at once.
+BATCH_BLOCKS = 4
 #: The filter of frequent n-grams that is sent to the workers has 2^26 bits, which are 8 MB.
 FILTER_BITS = 26
 #: Bits of one native bitmap (a fixed value of the aggregate that builds them).
@@ -73,18 +75,53 @@ class Block:
         self.text = np.frombuffer(text, np.uint8)
         self.begin, self.end, kinds = word_edges(self.text)
         self.piece = np.cumsum(kinds == 2, dtype=np.int32)[self.begin]
-        self.shift = _U(64 - bits)
+        self.shift, self.slot = _U(64 - bits), _U(max(0, bits - FILTER_BITS))
         sizes = (self.end - self.begin).astype(np.uint64)
-        words = Ranges(self.text).of(self.begin, self.end) + sizes * _U(_BASE)
-        self.ranges = Ranges(mixed(words))
-        seed = Ranges(np.frombuffer(lang.encode(), np.uint8))
-        self.seed = mixed(seed.prefix[-1:] + _U(len(lang) + 1))[0]
-        self.words = self._names(mixed(words) >> self.shift)
+        self.prints = mixed(Ranges(self.text).of(self.begin, self.end) + sizes * _U(_BASE))
+        self.ranges = Ranges(self.prints)
+        seed = Ranges(np.frombuffer(lang.encode(), np.uint8)).prefix[-1:]
+        self.seed = mixed(seed + _U(len(lang) + 1))[0]
 
-    def _names(self, prints: np.ndarray) -> np.ndarray:
+    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all n-grams within pieces, and their fingerprints."""
+        last = max(0, len(self.begin) - n + 1)
+        at = np.flatnonzero(self.piece[n - 1 :][:last] == self.piece[:last])
+        prints = mixed(self.ranges.of(at, at + n) + self.seed + _U(n)) >> self.shift
+        return at, prints
+
+    def known(self, prints: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        """Which fingerprints the filter has."""
+        slots = prints >> self.slot
+        return bits[slots >> _U(3)] >> (slots & _U(7)).astype(np.uint8) & 1 == 1
+
+    def counted(self, lengths: range, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The different fingerprints of n-grams of some lengths, and how often each occurs.
+
+        ``bits`` has the frequent n-grams of one word less than the first length; n-grams that hold
+        another are left out.
+        """
+        found = []
+        inner = lengths[0] - 1
+        if inner:
+            at, prints = self.grams(inner)
+            run = np.zeros(len(self.begin) + 1, bool)
+            run[at[self.known(prints, bits)]] = True
+        for n in lengths:
+            at, prints = self.grams(n)
+            if inner:
+                whole = run[at]
+                for k in range(1, n - inner + 1):
+                    whole &= run[at + k]
+                prints = prints[whole]
+            found.append(prints)
+        prints = np.sort(np.concatenate(found))
+        first = np.flatnonzero(np.r_[True, prints[1:] != prints[:-1]][: len(prints)])
+        return prints[first], np.diff(np.r_[first, len(prints)])
+
+    def named(self) -> np.ndarray:
         """Numbers of words: two have the same only if their texts are the same."""
-        names = np.empty(len(prints), np.int32)
-        rest, given = np.arange(len(prints)), 0
+        prints, rest, given = self.prints >> self.shift, np.arange(len(self.begin)), 0
+        names = np.empty(len(rest), np.int32)
         while len(rest):
             _, first, which = np.unique(prints[rest], return_index=True, return_inverse=True)
             same = self._same_text(rest, rest[first][which])
@@ -104,45 +141,32 @@ class Block:
             same[same] = np.logical_and.reduceat(equal, begins)
         return same
 
-    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """The places of all n-grams within pieces, and their fingerprints."""
-        last = max(0, len(self.words) - n + 1)
-        at = np.flatnonzero(self.piece[n - 1 :][:last] == self.piece[:last])
-        prints = mixed(self.ranges.of(at, at + n) + self.seed + _U(n)) >> self.shift
-        return at, prints
-
-    def counted(self, n: int, known: np.ndarray | None) -> tuple[np.ndarray, ...]:
-        """``(fingerprint, place, count)``: a row for each different n-gram of the block.
+    def verified(self, longest: int, bits: np.ndarray):
+        """``(n, pointers, counts)`` for each length: the n-grams whose fingerprint is frequent.
 
-        ``known`` are the filter's bits for frequent n-grams of one word less; what holds one that
-        is not among them is left out. N-grams that share a fingerprint are told apart by words.
+        All occurrences of a fingerprint are held against the words at its first one, which is
+        what the pointer names; those that differ are counted apart, by a pointer of their own.
         """
-        at, prints = self.grams(n)
-        if known is not None:
-            inner, found = self.grams(n - 1)
-            slots = found >> _U(max(0, 64 - FILTER_BITS - int(self.shift)))
-            hit = known[slots >> _U(3)] >> (slots & _U(7)).astype(np.uint8) & 1
-            frequent = np.zeros(len(self.words) + 1, bool)
-            frequent[inner[hit == 1]] = True
-            both = frequent[at] & frequent[at + 1]
-            at, prints = at[both], prints[both]
-        parts = []
-        while len(at):
-            _, first, which = np.unique(prints, return_index=True, return_inverse=True)
-            pair = at[first][which]
-            same = np.ones(len(at), bool)
-            for k in range(n):
-                same &= self.words[at + k] == self.words[pair + k]
-            counts = np.bincount(which[same], minlength=len(first))
-            parts.append((prints[first], at[first], counts))
-            at, prints = at[~same], prints[~same]
-        if not parts:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
-
-    def phrase(self, at: int, n: int) -> str:
-        words = zip(self.begin[at : at + n], self.end[at : at + n], strict=True)
-        return b" ".join(self.text[a:b].tobytes() for a, b in words).decode()
+        words = self.named()
+        for n in range(1, longest + 1):
+            at, prints = self.grams(n)
+            kept = self.known(prints, bits)
+            at, prints = at[kept], prints[kept]
+            while len(at):
+                _, first, which = np.unique(prints, return_index=True, return_inverse=True)
+                pair = at[first][which]
+                same = np.ones(len(at), bool)
+                for k in range(n):
+                    same &= words[at + k] == words[pair + k]
+                yield n, at[first], np.bincount(which[same], minlength=len(first))
+                at, prints = at[~same], prints[~same]
+
+    def phrases(self, at: np.ndarray, n: int) -> list[str]:
+        """The texts of the n-grams that begin at some words."""
+        text, begin, end = self.text.tobytes(), self.begin, self.end
+        cuts = [(begin[at + k].tolist(), end[at + k].tolist()) for k in range(n)]
+        parts = [[text[a:b] for a, b in zip(*cut, strict=True)] for cut in cuts]
+        return [b" ".join(words).decode() for words in zip(*parts, strict=True)]
 
 
 def word_edges(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,29 +191,24 @@ def pieces_of(text: bytes, limit: int):
 
 
 def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(block, lang, text, n_words)``: lower-cased texts of one language, joined by newlines."""
+    """``(lang, text, n_words)``: lower-cased texts of one language, joined by newlines."""
     texts = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
     )
 
     def run(batches):
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 32
         held: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
 
         def out(lang: str) -> pa.RecordBatch:
-            nonlocal number
             sizes.pop(lang)
             text = _LOWER[np.frombuffer(b"\n".join([*held.pop(lang), b""]), np.uint8)]
-            row = (number, lang, text.tobytes(), len(word_edges(text)[0]))
-            number += 1
-            kinds = [pa.int64(), pa.string(), pa.binary(), pa.int64()]
+            row = (lang, text.tobytes(), len(word_edges(text)[0]))
+            kinds = [pa.string(), pa.binary(), pa.int64()]
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], k) for v, k in zip(row, kinds, strict=True)],
-                ["block", "lang", "text", "n_words"],
+                ["lang", "text", "n_words"],
             )
 
         for batch in batches:
@@ -205,73 +224,74 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         for lang in sorted(held):
             yield out(lang)
 
-    return texts.mapInArrow(tidy(run), "block long, lang string, text binary, n_words long")
+    return texts.mapInArrow(tidy(run), "lang string, text binary, n_words long")
 
 
-def filter_of(prints: DataFrame, bits: int) -> np.ndarray:
-    """The bits of the fingerprints in ``fp``; its size is fixed, whatever it holds."""
+def frequent(
+    rows: DataFrame, lengths: range, known: np.ndarray, least: int, bits: int
+) -> np.ndarray:
+    """The filter's bits of the n-grams that may occur ``least`` times, by fingerprint.
+
+    Blocks send a fingerprint once with its count; the sums never meet on the driver, only the
+    bits of the frequent ones do. Their size is fixed, whatever they hold.
+    """
+
+    def run(batches):
+        for block in blocks_of(batches, bits):
+            prints, times = block.counted(lengths, known)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(prints.view(np.int64)), pa.array(times.astype(np.int64))],
+                ["fp", "times"],
+            )
+
+    found = rows.select("lang", "text").mapInArrow(tidy(run), "fp long, times long")
+    sums = found.groupBy("fp").agg(F.sum("times").alias("total")).where(F.col("total") >= least)
     slot = F.shiftrightunsigned("fp", max(0, bits - FILTER_BITS))
     maps = (
-        prints.select(slot.alias("slot"))
+        sums.select(slot.alias("slot"))
         .groupBy(F.floor(F.col("slot") / NATIVE_BITS).cast("int").alias("part"))
         .agg(F.bitmap_construct_agg((F.col("slot") % NATIVE_BITS).cast("long")).alias("bits"))
     )
     whole = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     size = NATIVE_BITS // 8
-    for part, found in maps.toLocalIterator():
-        whole[part * size : (part + 1) * size] = np.frombuffer(bytes(found), np.uint8)
+    for part, set_bits in maps.collect():
+        whole[part * size : (part + 1) * size] = np.frombuffer(bytes(set_bits), np.uint8)
     return whole
 
 
-def frequent(
-    rows: DataFrame, n: int, known: np.ndarray | None, least: int, bits: int
-) -> DataFrame:
-    """``(fp, block, at, n, times)``: occurrence pointers of n-grams whose fingerprint is frequent."""
+def blocks_of(batches, bits: int):
+    for batch in batches:
+        for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+            yield Block(text.as_py(), lang.as_py(), bits)
 
-    def run(batches):
-        for batch in batches:
-            columns = [batch.column(c) for c in ("block", "lang", "text")]
-            for number, lang, text in zip(*columns, strict=True):
-                block = Block(text.as_py(), lang.as_py(), bits)
-                prints, at, times = block.counted(n, known)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(prints.view(np.int64)),
-                        pa.array(np.full(len(at), number.as_py())),
-                        pa.array(at.astype(np.int32)),
-                        pa.array(times.astype(np.int32)),
-                    ],
-                    ["fp", "block", "at", "times"],
-                )
-
-    found = rows.select("block", "lang", "text").mapInArrow(
-        tidy(run), "fp long, block long, at int, times int"
-    )
-    total = F.sum("times").over(W.partitionBy("fp"))
-    kept = found.withColumn("total", total).where(F.col("total") >= least)
-    return kept.select("fp", "block", "at", F.lit(n).alias("n"), "times")
 
+def materialised(
+    rows: DataFrame, known: np.ndarray, least: int, longest: int, bits: int
+) -> DataFrame:
+    """``(lang, phrase, n, f)``: the frequent n-grams as texts, and how often each text occurs.
 
-def materialised(rows: DataFrame, pointers: DataFrame, least: int) -> DataFrame:
-    """``(lang, phrase, n, f)``: the texts behind the pointers, counted by text, so that n-grams
-    with one fingerprint part again."""
-    lists = pointers.groupBy("block").agg(F.collect_list(F.struct("n", "at", "times")).alias("p"))
+    A block gives a text once, cut at its pointer and verified against all its occurrences; sums
+    are by text, so phrases that share a fingerprint part, and what only shared it goes.
+    """
 
     def run(batches):
         for batch in batches:
-            columns = [batch.column(c) for c in ("lang", "text", "p")]
-            for lang, text, found in zip(*columns, strict=True):
-                name = lang.as_py()
-                block = Block(text.as_py(), name)
-                n, at, times = (found.values.field(k).to_numpy() for k in range(3))
-                phrases = [block.phrase(a, k) for a, k in zip(at.tolist(), n.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(n)), pa.array(phrases), pa.array(n), pa.array(times)],
-                    ["lang", "phrase", "n", "times"],
-                )
-
-    texts = rows.select("block", "lang", "text").join(lists, "block").select("lang", "text", "p")
-    named = texts.mapInArrow(tidy(run), "lang string, phrase string, n int, times int")
+            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+                block = Block(text.as_py(), lang.as_py(), bits)
+                for n, at, times in block.verified(longest, known):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([lang.as_py()] * len(at), pa.string()),
+                            pa.array(block.phrases(at, n), pa.string()),
+                            pa.array(np.full(len(at), n, np.int32)),
+                            pa.array(times.astype(np.int64)),
+                        ],
+                        ["lang", "phrase", "n", "times"],
+                    )
+
+    named = rows.select("lang", "text").mapInArrow(
+        tidy(run), "lang string, phrase string, n int, times long"
+    )
     summed = named.groupBy("lang", "phrase", "n").agg(F.sum("times").alias("f"))
     return summed.where(F.col("f") >= least)
 
@@ -340,23 +360,20 @@ def mine(
     language is ``und``; empty texts and an empty table give no phrase; repeated rows count as often
     as they come; long texts are cut where no phrase reaches over. Words of any length are whole.
 
-    One pass for each length: numpy prefix polynomials give the fingerprint of every n-gram of a
-    block at once; equal ones of a block are verified by their words and leave as one row with a
-    pointer to the first. A fingerprint's rows meet by key, at most one a block, so no key is hot.
-    N-grams are only looked at if both n-grams of one word less that they hold are frequent; a
-    filter of fixed size tells, whose errors cost rows but never a phrase. Pointers of frequent
-    fingerprints alone go back to their texts, which are counted by text.
+    Numpy prefix polynomials give the fingerprint of every n-gram of a block at once, and only
+    fingerprints and counts are shuffled: those of words, then those of pairs of frequent words,
+    then those of longer n-grams all of whose pairs are frequent. A block sends a fingerprint once,
+    so none is hot. A filter of fixed size tells which n-grams are frequent; its errors cost rows
+    but never a phrase. At last blocks verify the frequent ones against their text.
     """
+    spark = docs.sparkSession
+    known = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     rows = stored(blocks(docs, block_bytes), "phrase-blocks")
-    known, levels = None, []
-    for n in range(1, longest + 1):
-        level = stored(frequent(rows, n, known, least, bits), f"phrase-{n}")
-        levels.append(level)
-        known = filter_of(level, bits)
-    pointers = levels[0]
-    for level in levels[1:]:
-        pointers = pointers.union(level)
-    counts = stored(materialised(rows, pointers, least), "phrase-counts")
+    with arrow_rows(spark, BATCH_BLOCKS):
+        for lengths in (range(1, 2), range(2, min(2, longest) + 1), range(3, longest + 1)):
+            if lengths:
+                known |= frequent(rows, lengths, known, least, bits)
+        counts = stored(materialised(rows, known, least, longest, bits), "phrase-counts")
     words = rows.groupBy("lang").agg(F.sum("n_words").alias("total"))
     return scored(counts, words, longest)
 
