@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rillhouse.llm.common import arrow_rows, stored, tidy
 
 #: About so many bytes of text make up one block, within which equal n-grams are counted first.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Blocks that are sent to a worker at once.
 BATCH_BLOCKS = 4
 #: The filter of frequent n-grams that is sent to the workers has 2^26 bits, which are 8 MB.
@@ -132,13 +132,18 @@ class Block:
     def _same_text(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         sizes = self.end[left] - self.begin[left]
         same = sizes == self.end[right] - self.begin[right]
-        left, right, sizes = left[same], right[same], sizes[same]
-        if len(sizes):
-            begins = np.cumsum(sizes) - sizes
-            steps = np.arange(sizes.sum()) - np.repeat(begins, sizes)
-            equal = self.text[np.repeat(self.begin[left], sizes) + steps] == \
-                self.text[np.repeat(self.begin[right], sizes) + steps]
-            same[same] = np.logical_and.reduceat(equal, begins)
+        alike = np.flatnonzero(same)
+        # bytes are compared for some words at a time, so that little memory is taken
+        cuts = np.searchsorted(np.cumsum(sizes[alike]), np.arange(1, len(self.text), 1 << 17))
+        for part in np.split(alike, np.unique(cuts)):
+            if not len(part):
+                continue
+            length = sizes[part]
+            begins = np.cumsum(length) - length
+            steps = np.arange(length.sum()) - np.repeat(begins, length)
+            ours = self.text[np.repeat(self.begin[left[part]], length) + steps]
+            theirs = self.text[np.repeat(self.begin[right[part]], length) + steps]
+            same[part] = np.logical_and.reduceat(ours == theirs, begins)
         return same
 
     def verified(self, longest: int, bits: np.ndarray):
