@@ -244,12 +244,15 @@ def frequent(
     def run(batches):
         for block in blocks_of(batches, bits):
             prints, times = block.counted(lengths, known)
+            signed = prints.view(np.int64)
+            if bits <= 32:
+                signed = prints.astype(np.uint32).view(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(prints.view(np.int64)), pa.array(times.astype(np.int64))],
-                ["fp", "times"],
+                [pa.array(signed), pa.array(times.astype(np.int32))], ["fp", "times"]
             )
 
-    found = rows.select("lang", "text").mapInArrow(tidy(run), "fp long, times long")
+    kind = "int" if bits <= 32 else "long"
+    found = rows.select("lang", "text").mapInArrow(tidy(run), f"fp {kind}, times int")
     sums = found.groupBy("fp").agg(F.sum("times").alias("total")).where(F.col("total") >= least)
     slot = F.shiftrightunsigned("fp", max(0, bits - FILTER_BITS))
     maps = (
@@ -356,7 +359,7 @@ def quotient(a, b):
 
 
 def mine(
-    docs: DataFrame, least: int = 100, longest: int = 5, bits: int = 64,
+    docs: DataFrame, least: int = 100, longest: int = 5, bits: int = 32,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """All phrases of 2 to ``longest`` words that occur ``least`` times, scored, per language.
@@ -366,7 +369,7 @@ def mine(
     as they come; long texts are cut where no phrase reaches over. Words of any length are whole.
 
     Numpy prefix polynomials give the fingerprint of every n-gram of a block at once, and only
-    fingerprints and counts are shuffled: those of words, then those of pairs of frequent words,
+    fingerprints, cut to 32 bits, and counts are shuffled: those of words, then those of pairs of frequent words,
     then those of longer n-grams all of whose pairs are frequent. A block sends a fingerprint once,
     so none is hot. A filter of fixed size tells which n-grams are frequent; its errors cost rows
     but never a phrase. At last blocks verify the frequent ones against their text.

@@ -61,7 +61,7 @@ def corpus(seed=3, size=120):
     return [*given, (None, "en"), ("", "fr"), ("a a a a a a a a", "en"), ("one, two", None)] + given[:9]
 
 
-@pytest.mark.parametrize("bits,block_bytes", [(64, 2 << 20), (64, 700), (9, 700), (27, 3000)])
+@pytest.mark.parametrize("bits,block_bytes", [(64, 2 << 20), (32, 700), (9, 700), (27, 3000)])
 def test_equals_brute_force(spark, bits, block_bytes):
     given = corpus()
     expected = brute(given, 6)
