@@ -106,8 +106,11 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def run_of(batch_rows) -> str:
+def stream_of(batch_rows) -> str | None:
     """The id of the stream that a micro-batch belongs to: kept by its checkpoint over restarts,
-    and another for every new checkpoint."""
-    found = batch_rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    return found or "batch"
+    and another for every new checkpoint. None outside a stream."""
+    return batch_rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def run_of(batch_rows) -> str:
+    return stream_of(batch_rows) or "batch"

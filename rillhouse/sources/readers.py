@@ -9,12 +9,18 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillhouse import schemas
 from rillhouse.operators.shape import camel_columns
+from rillhouse.session import scratch
+from rillhouse.sources import positions
 
+cloudpickle.register_pickle_by_value(positions)
 
 # Most records one micro-batch takes from a broker; the rest follows in the next batches. Bounds
 # what a stateful step can see of one key at a time.
@@ -145,20 +151,51 @@ def snapshot_changes(table_rows: DataFrame, server: str, database: str, table: s
     )
 
 
-def counter(spark: SparkSession, n: int = 1000) -> DataFrame:
-    """The numbers 0 to n-1."""
-    return spark.range(n).select(F.col("id").alias("value"))
+def counter(rows: DataFrame, *by: str) -> DataFrame:
+    """``rows`` numbered from 0 in the order of ``by``, as ``value``; equal rows in any order.
 
+    Rows are dealt by ranges and numbered within them; the numbers of the ranges before, one for
+    each task, are added afterwards. No task sees more than its range.
+    """
+    path = scratch(rows.sparkSession, "numbered")
+    placed = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    # an id is the task's number and, below it, the row's number within the task
+    placed.withColumn("__id", F.monotonically_increasing_id()).write.parquet(path)
+    schema = T.StructType([*rows.schema.fields, T.StructField("__id", T.LongType())])
+    back = rows.sparkSession.read.schema(schema).parquet(path)
+    task = F.shiftright("__id", 33)
+    sizes = back.groupBy(task.alias("__task")).count()
+    before = W.orderBy("__task").rowsBetween(W.unboundedPreceding, -1)
+    shifts = sizes.select("__task", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__n"))
+    numbered = back.withColumn("__task", task).join(F.broadcast(shifts), "__task")
+    number = F.col("__n") + F.col("__id") - F.shiftleft("__task", 33)
+    return numbered.select(number.alias("value"), *rows.columns)
+
+
+def counter_stream(
+    spark: SparkSession, path: str, per_batch: int, number: str = "value"
+) -> DataFrame:
+    """The rows of a Parquet table as a stream, numbered from 0 as ``number``, ``per_batch`` at a
+    time; the position is kept in the stream's checkpoint."""
+    spark.dataSource.register(positions.NumberedRows)
+    reader = spark.readStream.format("numbered_rows").option("path", path)
+    return reader.option("rowsPerBatch", per_batch).option("number", number).load()
 
-def counter_stream(spark: SparkSession, per_batch: int) -> DataFrame:
-    """Consecutive numbers as a stream; the position is kept in the stream's checkpoint."""
-    raw = (
-        spark.readStream.format("rate-micro-batch")
-        .option("rowsPerBatch", per_batch)
-        .option("numPartitions", 1 if per_batch < 10_000 else 8)
-        .load()
-    )
-    return raw.select("value")
+
+def topic_stream(
+    spark: SparkSession, endpoint: Endpoint, *topics: str, per_batch: int | None = None
+) -> DataFrame:
+    """Topic folders as a stream with the position of every record.
+
+    ``offset`` grows along a queue, which is one ``run`` of one ``topic``: files in their order, lines
+    in theirs. ``per_batch`` bounds the bytes of a micro-batch, so it must not be run with a
+    trigger that takes all at once; ``run.drain_paced`` goes on until nothing is left.
+    """
+    spark.dataSource.register(positions.TopicFiles)
+    reader = spark.readStream.format("topic_files").option("path", endpoint.at)
+    if per_batch is not None:
+        reader = reader.option("bytesPerBatch", per_batch)
+    return reader.option("topics", ",".join(topics)).options(**endpoint.options).load()
 
 
 def order_table(lines: DataFrame, value: str = "value") -> DataFrame:

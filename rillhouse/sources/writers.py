@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from rillhouse.session import exists, run_of, touch
+from rillhouse.session import exists, stream_of, touch
 from rillhouse.sources.readers import Endpoint
 
 
@@ -65,7 +65,8 @@ def write_batch_topics(
     Files of a topic lie below ``topic=<name>/run=<stream>/batch=<id>``, the layout that
     ``text_stream`` reads. ``run`` is the id of the stream, so jobs and fresh checkpoints do not
     meet. A batch that was written is marked; if it comes again it is left as it is, so readers
-    never see it twice. One cut off before the mark replaces its own folders.
+    never see it twice. One cut off before the mark replaces its own folders. Outside a stream
+    ``run`` must be named: a write that named none would pass for the repeat of another.
     """
     if endpoint.kind == "kafka":
         (
@@ -76,7 +77,9 @@ def write_batch_topics(
             .save()
         )
         return
-    spark, root, run = rows.sparkSession, endpoint.at.rstrip("/"), run or run_of(rows)
+    spark, root, run = rows.sparkSession, endpoint.at.rstrip("/"), run or stream_of(rows)
+    if run is None:
+        raise ValueError("name the run of a write outside a stream")
     done = f"{root}/_done/run={run}/batch={batch_id}"
     if exists(spark, done):
         return

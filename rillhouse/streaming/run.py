@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,48 @@ def drain(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{out}/data")
 
 
+def drain_paced(
+    spark: SparkSession, df: DataFrame, label: str, stop_after: int | None = None
+) -> DataFrame:
+    """The same for sources that bound a micro-batch: batch after batch until nothing is left.
+
+    With ``stop_after`` the stream is stopped once so many batches are done and started again from
+    its checkpoint.
+    """
+    out = scratch(spark, label)
+    writer = (
+        df.writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", f"{out}/data")
+        .option("checkpointLocation", f"{out}/state")
+        .queryName(label)
+    )
+    run_paced(writer, stop_after)
+    return spark.read.schema(df.schema).parquet(f"{out}/data")
+
+
+def run_paced(writer: DataStreamWriter, stop_after: int | None = None) -> None:
+    """Start a stream and let it go on until nothing is left, once more if it is stopped between."""
+    if stop_after is not None:
+        stopped(writer.start(), stop_after)
+    query = writer.start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def stopped(query: StreamingQuery, batches: int) -> None:
+    """Stop a stream after some batches, or when it has nothing left to do."""
+    while query.isActive:
+        done = query.lastProgress
+        idle = not query.status["isDataAvailable"] and not query.status["isTriggerActive"]
+        if done is not None and (done.batchId + 1 >= batches or idle):
+            break
+        time.sleep(0.05)
+    query.stop()
+
+
 def drain_updates(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """The same for an update-mode stream; adds the number of the batch a row came from."""
     out = scratch(spark, label)
