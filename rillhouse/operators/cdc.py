@@ -30,10 +30,13 @@ UNMATCHED = "unmatched"
 RULE_SALTS = 32
 
 
-def normalize_cdc(df: DataFrame, topic: str = "topic", value: str = "value") -> DataFrame:
+def normalize_cdc(
+    df: DataFrame, topic: str = "topic", value: str = "value", unreadable: str | None = None
+) -> DataFrame:
     """``server.database.table`` topic plus change JSON to the normalised envelope.
 
-    Other columns of the input (offsets, record times) are kept in front.
+    Other columns of the input (offsets, record times) are kept in front. ``unreadable`` names a
+    further column: the text of a record that the parser gave nothing for, null for all others.
     """
     record = F.from_json(F.col(value), schemas.CDC_VALUE)
     part = F.split(F.col(topic), r"\.")
@@ -44,7 +47,10 @@ def normalize_cdc(df: DataFrame, topic: str = "topic", value: str = "value") ->
     empty = F.create_map().cast(T.MapType(T.StringType(), T.StringType()))
     rest = [c for c in df.columns if c not in (topic, value)]
     # A generator of one row keeps later filters above it, so each text is parsed once.
-    parsed = df.select(*rest, topic, F.explode(F.array(record)).alias("__r"))
+    text = [] if unreadable is None else [value]
+    parsed = df.select(*rest, topic, *text, F.explode(F.array(record)).alias("__r"))
+    nothing = F.coalesce(F.col("__r.op"), F.col("__r.before").cast("string"),
+                         F.col("__r.after").cast("string")).isNull()
     return parsed.select(
         *rest,
         F.get(part, F.lit(1)).alias("database"),
@@ -52,6 +58,7 @@ def normalize_cdc(df: DataFrame, topic: str = "topic", value: str = "value") ->
         F.coalesce(F.col("__r.before"), empty).alias("before"),
         F.coalesce(F.col("__r.after"), empty).alias("after"),
         kind.alias("type"),
+        *[F.when(nothing, F.col(value)).alias(unreadable) for _ in text],
     )
 
 

@@ -100,69 +100,98 @@ def split_log(logs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def with_flag(text: Column, flag: Column) -> Column:
-    """The text of a record with another new-visitor flag; null where the flag has no place in it."""
-    place = r'("common"\s*:\s*\{[^{}]*?"is_new"\s*:\s*)(?:"[^"]*"|null)'
-    put = F.regexp_replace(text, F.lit(place), F.concat(F.lit('$1"'), flag, F.lit('"')))
-    return F.when(flag.isNull(), text).when(text.rlike(place), put)
+#: Fields of a JSON object, each whole and of its own type, whatever the schema says.
+_FIELDS = "MAP<STRING, VARIANT>"
 
 
-def with_page(text: Column, page_id: Column) -> Column:
-    """The text of an item with the id of its page; null where it names a page already."""
-    inner = F.trim(F.substring(F.trim(text), F.lit(2), F.length(F.trim(text)) - 2))
-    rest = F.substring(F.to_json(F.struct(page_id.alias("page_id"))), 2, 1 << 30)
-    comma = F.when((inner != "") & page_id.isNotNull(), ",").otherwise("")
-    return F.when(~text.contains('"page_id"'), F.concat(F.lit("{"), inner, comma, rest))
+def with_flag(fields: Column, flag: Column) -> Column:
+    """The text of a record, given as fields, with another new-visitor flag in ``common``."""
+    common = F.try_variant_get(fields["common"], "$", _FIELDS)
+    put = F.map_concat(
+        F.map_filter(common, lambda k, _: k != "is_new"),
+        F.create_map(F.lit("is_new"), flag.cast("variant")),
+    )
+    changed = F.transform_values(
+        fields, lambda k, v: F.when(k == "common", F.to_variant_object(put)).otherwise(v)
+    )
+    return F.when(common.isNotNull(), F.to_json(changed))
+
+
+def with_page(fields: Column, page_id: Column) -> Column:
+    """The text of an item, given as fields, with the id of its page in place of one it has."""
+    rest = F.map_filter(fields, lambda k, _: k != "page_id")
+    own = F.create_map(F.lit("page_id"), page_id.cast("variant"))
+    return F.to_json(F.when(page_id.isNull(), rest).otherwise(F.map_concat(rest, own)))
 
 
 def route_log(logs: DataFrame, value: str = "value") -> DataFrame:
     """All outputs as (topic, value) rows, in one pass over the input.
 
     Messages are the texts that came, with all their fields, also those that the schema does not
-    name; only the new-visitor flag, and the page of an item, are put in. A broker or partitioned
-    file sink can write all of them at once; the input is neither cached nor read once per output. Rows marked dirty, where the input has them, go to a topic of their
-    own as they came.
+    name. A record whose flag was corrected, and an item that gets the id of its page, are written
+    anew from their fields: nothing but that field changes, though inner objects come in the order
+    of their keys and numbers in their shortest form. A broker or partitioned file sink can write
+    all topics at once; the input is neither cached nor read once per output. Texts are only made
+    where they are selected. Rows marked dirty, where the input has them, go to a topic of their own
+    as they came.
     """
-    record = F.to_json(F.struct(*[F.col(n) for n in schemas.BASE_LOG.fieldNames()]))
-    if value in logs.columns:
-        # a line end in JSON is white space; a message is one line
-        line = F.translate(F.col(value), "\n\r", "  ")
-        record = F.coalesce(with_flag(line, F.col("common.is_new")), record)
-    page_id = F.col("page.page_id")
+    texts = value in logs.columns
+    page_id, flag = F.col("page.page_id"), F.col("common.is_new")
     dirty = F.col("dirty") if "dirty" in logs.columns else F.lit(False)
     is_start = ~dirty & F.col("start").isNotNull()
     is_page = ~dirty & F.col("start").isNull()
+    parts = {TOPIC_DISPLAY: "displays", TOPIC_ACTION: "actions"}
 
-    def message(topic: str, text: Column) -> Column:
-        return F.struct(F.lit(topic).alias("topic"), text.alias("value"))
-
-    def messages(topic: str, items: str) -> Column:
-        # the items as they came, read only where there are any
-        texts = F.lit(None).cast("array<string>")
-        if value in logs.columns:
-            some = F.when(is_page & (F.size(items) > 0), F.col(value))
-            texts = F.from_json(some, f"{items} ARRAY<STRING>")[items]
+    def one(topic: str, at: Column) -> Column:
+        return F.struct(F.lit(topic).alias("__topic"), at.cast("int").alias("__at"))
 
-        def one(item: Column, at: Column) -> Column:
-            built = F.to_json(item.withField("page_id", page_id))
-            return message(topic, F.coalesce(with_page(F.get(texts, at), page_id), built))
-
-        return F.coalesce(F.when(is_page, F.transform(F.col(items), one)), none)
-
-    none = F.array().cast("array<struct<topic:string,value:string>>")
-    whole = [
-        message(TOPIC_START, F.when(is_start, record)),
-        message(TOPIC_PAGE, F.when(is_page, record)),
-        message(TOPIC_ERROR, F.when(~dirty & F.col("err").isNotNull(), record)),
+    whole = {
+        TOPIC_START: is_start,
+        TOPIC_PAGE: is_page,
+        TOPIC_ERROR: ~dirty & F.col("err").isNotNull(),
+        TOPIC_DIRTY: dirty,
+    }
+    none = F.array().cast("array<struct<__topic:string,__at:int>>")
+    marks = [
+        F.filter(
+            F.array(*[F.when(is_it, one(topic, F.lit(None))) for topic, is_it in whole.items()]),
+            lambda m: m.isNotNull(),
+        )
     ]
-    if "dirty" in logs.columns:
-        whole.append(message(TOPIC_DIRTY, F.when(dirty, F.col(value))))
-    parts = F.concat(
-        F.filter(F.array(*whole), lambda m: m["value"].isNotNull()),
-        messages(TOPIC_DISPLAY, "displays"),
-        messages(TOPIC_ACTION, "actions"),
-    )
-    return logs.select(F.inline(parts))
+
+    def each(topic: str, items: str) -> Column:
+        found = F.transform(F.col(items), lambda _, i: one(topic, i))
+        return F.coalesce(F.when(is_page, found), none)
+
+    marks += [each(topic, items) for topic, items in parts.items()]
+
+    rows = logs
+    if texts:
+        # fields are read only from records that are written anew
+        line = F.col(value)
+        same = F.get_json_object(line, "$.common.is_new").eqNullSafe(flag) | flag.isNull()
+        some = is_page & ((F.size("displays") > 0) | (F.size("actions") > 0))
+        rows = logs.withColumn("__same", same).withColumn(
+            "__fields", F.from_json(F.when(~dirty & (~F.col("__same") | some), line), _FIELDS)
+        )
+    rows = rows.select("*", F.inline(F.concat(*marks)))
+    record = F.to_json(F.struct(*[F.col(n) for n in schemas.BASE_LOG.fieldNames()]))
+    topic, at = F.col("__topic"), F.col("__at")
+    message = None
+    if texts:
+        # a line end in JSON is white space; a message is one line
+        came = F.translate(F.col(value), "\n\r", "  ")
+        anew = with_flag(F.col("__fields"), flag)
+        record = F.coalesce(F.when(F.col("__same"), came).otherwise(anew), record)
+        message = F.when(topic == TOPIC_DIRTY, F.col(value))
+    for name, items in parts.items():
+        text = F.to_json(F.get(F.col(items), at).withField("page_id", page_id))
+        if texts:
+            found = F.try_variant_get(F.col("__fields")[items], "$", f"ARRAY<{_FIELDS}>")
+            text = F.coalesce(with_page(F.get(found, at), page_id), text)
+        is_it = topic == name
+        message = F.when(is_it, text) if message is None else message.when(is_it, text)
+    return rows.select(topic.alias("topic"), message.otherwise(record).alias("value"))
 
 
 def dirty_rate(marked: DataFrame, *by: str | Column) -> DataFrame:

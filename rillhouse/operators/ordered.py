@@ -19,7 +19,6 @@ from rillhouse.functions.scalar import micros, time_cell
 
 HOUR = timedelta(hours=1)
 DAY = timedelta(days=1)
-HOUR = timedelta(hours=1)
 
 
 def first_per_day(
@@ -122,9 +121,13 @@ def running(
     tie: str,
     sums: Mapping[str, Column],
     cell: timedelta = HOUR,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Running sums per key, one output row per record, the record itself included.
 
+    ``totals`` may hold, per key and under the names of the sums, what a key has summed up with the
+    records given here; what exceeds these was there before and enters every sum.
+
     Totals per (key, cell) are summed on the map side first; their prefix sums, one row per cell,
     are what crosses cell borders. Each enters its cell as a row before all others, so records
     and carried sums share one exchange on (key, cell) and no join is needed.
@@ -134,12 +137,38 @@ def running(
         {"__cell": time_cell(ts, cell), "__record": F.lit(True)}
     )
     earlier = W.partitionBy(key).orderBy("__cell").rowsBetween(W.unboundedPreceding, -1)
+    cells = rows.groupBy(key, "__cell").agg(*[F.sum(v).alias(v) for v in values.values()])
+    by_key = W.partitionBy(key)
+    if totals is None:
+        befores = {v: F.sum(v).over(earlier) for v in values.values()}
+        wanted = "NOT __first"
+    else:
+        # a key's cells and its total meet in one row set; the total is the row without a cell
+        given = totals.select(
+            F.col(key), F.lit(None).cast("long").alias("__cell"),
+            *[F.col(n).alias(v) for n, v in values.items()],
+        )
+        cells = cells.withColumn("__total", F.lit(False)).unionByName(
+            given.withColumn("__total", F.lit(True))
+        )
+        own = {
+            v: F.sum(F.when(~F.col("__total"), F.coalesce(v, F.lit(0)))).over(by_key)
+            for v in values.values()
+        }
+        whole = {v: F.max(F.when(F.col("__total"), F.col(v))).over(by_key) for v in values.values()}
+        seen = {
+            v: F.coalesce(F.sum(F.when(~F.col("__total"), F.col(v))).over(earlier), F.lit(0))
+            for v in values.values()
+        }
+        befores = {
+            v: F.coalesce(whole[v] - own[v], F.lit(0)) + seen[v] for v in values.values()
+        }
+        wanted = "NOT __total"
     carried = (
-        rows.groupBy(key, "__cell")
-        .agg(*[F.sum(v).alias(v) for v in values.values()])
-        .withColumn("__first", F.row_number().over(W.partitionBy(key).orderBy("__cell")) == 1)
-        .withColumns({v: F.sum(v).over(earlier) for v in values.values()})
-        .where("NOT __first")
+        cells.withColumn("__first", F.row_number().over(by_key.orderBy("__cell")) == 1)
+        .withColumns(befores)
+        .where(wanted)
+        .drop("__total")
         .withColumn("__record", F.lit(False))
     )
     absent = [f for f in rows.schema.fields if f.name not in carried.columns]

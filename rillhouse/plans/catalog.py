@@ -584,8 +584,8 @@ def camel_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def counter(spark: SparkSession, sf: str) -> DataFrame:
-    """Consecutive numbers, as many as there are customers."""
-    return readers.counter(spark, facade.table(spark, sf, "customer").count())
+    """The customers, numbered from 0 by key."""
+    return readers.counter(facade.table(spark, sf, "customer").select("c_custkey"), "c_custkey")
 
 
 def order_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -643,7 +643,51 @@ def routed_sink(spark: SparkSession, sf: str) -> DataFrame:
     return back.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _messages(spark: SparkSession, sf: str, topic: str) -> DataFrame:
+    """Messages of one topic, from log lines with fields that no schema names."""
+    ev = facade.events(spark, sf)
+    line = F.format_string(
+        '{"event_id":%d,"common":{"ext":{"q":%d},"is_new":"%s","mid":"%d"},"displays":['
+        '{"item":"%d","from":{"page_id":"inner"},"page_id":"old"},{"note":[{"b":1},null]}],'
+        '"page":{"page_id":"%s"},"sid":"s{%d}","ts":%d}',
+        "event_id", F.col("user_id") % 7, F.when(F.col("event_type") == "signup", "1").otherwise("0"),
+        "user_id", "event_id", "event_type", "event_id", F.unix_millis("ts"),
+    )
+    logs_ = logs.parse_all(ev.select("event_id", F.col("ts").alias("event_ts"), line.alias("value")))
+    flat = logs_.select("*", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"))
+    fixed = ordered.correct_new_flag(flat, "mid", "is_new", "event_ts", "event_id").withColumn(
+        "common", F.col("common").withField("is_new", F.col("is_new"))
+    )
+    return logs.route_log(fixed).where(F.col("topic") == topic)
+
+
+def log_messages_page(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole page messages: nothing is lost, and flags are corrected in place."""
+    found = _messages(spark, sf, logs.TOPIC_PAGE)
+    event = F.get_json_object("value", "$.event_id").cast("long")
+    return found.select(event.alias("event_id"), "value")
+
+
+def log_messages_display(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole display messages of the first display of each page."""
+    found = _messages(spark, sf, logs.TOPIC_DISPLAY)
+    item = F.get_json_object("value", "$.item").cast("long")
+    return found.select(item.alias("event_id"), "value").where("event_id is not null")
+
+
+def unreadable_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Change records, a seventh of which are cut off; their texts are kept."""
+    lines = facade.change_lines_of("customer", facade.table(spark, sf, "customer"))
+    cut = F.concat(F.lit("cut "), F.col("seq"), F.lit(" {"))
+    broken = lines.withColumn("value", F.when(F.col("seq") % 7 == 0, cut).otherwise(F.col("value")))
+    return cdc.normalize_cdc(broken, unreadable="text").select("seq", "table", "type", "text")
+
+
 QUERIES = {
+    log_messages_page.__name__: log_messages_page,
+    log_messages_display.__name__: log_messages_display,
+    unreadable_changes.__name__: unreadable_changes,
+} | {
     f.__name__: f
     for f in (
         interval_join_orders, interval_join_payment, interval_join_inclusive, order_merge,

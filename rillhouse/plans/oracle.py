@@ -432,7 +432,7 @@ SELECT o_orderkey AS "orderKeyId", o_custkey AS "oCustkey", o_orderstatus AS "oO
        o_totalprice AS "oTotalprice", o_orderdate AS "oOrderdate",
        o_orderpriority AS "oOrderpriority"
 FROM orders""",
-    "counter": "SELECT range AS value FROM range((SELECT count(*) FROM customer))",
+    "counter": "SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS value, c_custkey FROM customer",
     "order_table": """
 SELECT CAST(o_orderkey AS VARCHAR) AS "transactionId", o_orderdate AS "orderTime",
        CAST(NULL AS TIMESTAMP) AS "promiseTime"
@@ -482,3 +482,79 @@ HAVING count(*) > 0
 UNION ALL
 SELECT 'dim_user', count(*), count(segment)
 FROM changes_ WHERE "table" = 'customer' AND type <> 'delete'"""
+
+# The table's rows lie in the order of their ids.
+ORACLE["stream_counter_source"] = """
+SELECT row_number() OVER (ORDER BY event_id) - 1 AS value, event_id, user_id, event_type
+FROM events"""
+ORACLE["stream_topic_offsets"] = """
+SELECT 'odd_events' AS topic, event_id,
+  row_number() OVER (ORDER BY event_id % 5, event_id) AS place
+FROM events WHERE user_id % 2 = 1
+UNION ALL
+SELECT 'even_events', event_id, row_number() OVER (ORDER BY event_id % 5, event_id)
+FROM events WHERE user_id % 2 = 0"""
+ORACLE["stream_late_rows"] = """
+WITH arrived AS (
+  SELECT event_id, props,
+    event_id // (((SELECT count(*) FROM events) + 4) // 5) AS batch,
+    CASE WHEN event_id % 10 = 3 THEN ts - INTERVAL 3 DAY ELSE ts END AS t FROM events),
+latest AS (SELECT batch, max(t) AS m FROM arrived GROUP BY batch),
+marks AS (
+  SELECT batch, max(m) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    - INTERVAL 1 HOUR AS mark FROM latest),
+judged AS (
+  SELECT a.*, strftime(t, '%Y-%m-%d') AS day,
+    coalesce(date_trunc('day', t) + INTERVAL 1 DAY <= mark, false) AS late
+  FROM arrived a JOIN marks USING (batch))
+SELECT 'late' AS kind, day, event_id, CAST(NULL AS BIGINT) AS n, CAST(NULL AS BIGINT) AS size
+FROM judged WHERE late
+UNION ALL
+SELECT 'on time', day, NULL, count(*), CAST(sum(length(props)) AS BIGINT)
+FROM judged WHERE NOT late GROUP BY day"""
+ORACLE["stream_lookup_pruned"] = """
+SELECT event_id, user_id, c_name AS name,
+  CASE WHEN c_custkey % 5 <= event_id // (((SELECT count(*) FROM events) + 4) // 5)
+    THEN 'changed ' || CAST(c_custkey % 5 AS VARCHAR) ELSE c_mktsegment END AS segment
+FROM events LEFT JOIN customer ON c_custkey = user_id WHERE event_type = 'purchase'"""
+ORACLE["stream_cdc_handover"] = """
+WITH log AS (
+  SELECT o_custkey AS id, o_orderkey AS pos, o_orderkey % 13 = 0 AS gone,
+    o_orderstatus AS status, o_orderpriority AS priority,
+    strftime(o_orderdate, '%Y-%m-%d') AS last_day,
+    (SELECT max(o_orderkey) FROM orders) AS t, o_custkey % 4 AS chunk FROM orders),
+marked AS (
+  SELECT *, t * (2 * chunk + 1) // 9 AS low, t * (2 * chunk + 2) // 9 AS high FROM log),
+counted AS (
+  SELECT id, count(*) FILTER (pos > low) AS n_changes,
+    count(*) FILTER (pos > low AND pos <= high) AS inside,
+    arg_max(gone, pos) FILTER (pos <= low + t // 18) AS seen_gone
+  FROM marked GROUP BY id),
+last_ AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY id ORDER BY pos DESC) = 1)
+SELECT id, status, priority, last_day, n_changes,
+  CAST(CASE WHEN seen_gone = false AND inside = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_reads
+FROM last_ JOIN counted USING (id) WHERE NOT gone"""
+
+_LINE = """
+  SELECT event_id, event_type, CASE WHEN event_type = 'signup' AND row_number() OVER (
+      PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1 THEN '1' ELSE '0' END AS is_new,
+    user_id, (epoch_us(ts) // 1000) AS ms
+  FROM events"""
+ORACLE["log_messages_page"] = f"""
+SELECT event_id, '{{"event_id":' || event_id || ',"common":{{"ext":{{"q":' || (user_id % 7)
+  || '}},"is_new":"' || is_new || '","mid":"' || user_id || '"}},"displays":[{{'
+  || CASE WHEN event_type = 'signup' AND is_new = '0'
+       THEN '"from":{{"page_id":"inner"}},"item":"' || event_id || '","page_id":"old"}}'
+       ELSE '"item":"' || event_id || '","from":{{"page_id":"inner"}},"page_id":"old"}}' END
+  || ',{{"note":[{{"b":1}},null]}}],"page":{{"page_id":"' || event_type || '"}},"sid":"s{{'
+  || event_id || '}}","ts":' || ms || '}}' AS value
+FROM ({_LINE})"""
+ORACLE["log_messages_display"] = """
+SELECT event_id, '{"from":{"page_id":"inner"},"item":"' || event_id || '","page_id":"'
+  || event_type || '"}' AS value FROM events"""
+ORACLE["unreadable_changes"] = """
+SELECT c_custkey AS seq, 'customer' AS "table",
+  CASE WHEN c_custkey % 7 <> 0 THEN ['insert', 'update', 'delete', 'read'][c_custkey % 4 + 1]
+    END AS type,
+  CASE WHEN c_custkey % 7 = 0 THEN 'cut ' || c_custkey || ' {' END AS text
+FROM customer"""

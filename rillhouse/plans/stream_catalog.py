@@ -12,10 +12,11 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rillhouse.functions import scalar
-from rillhouse.operators import cdc, dims, joins, logs, summaries
+from rillhouse.operators import cdc, dims, handover, joins, keyed, logs, summaries
 from rillhouse.operators.themes import visitor_rows, visitor_stats
 from rillhouse.operators.wide import (
     enrich_order_wide,
@@ -34,10 +35,18 @@ from rillhouse.plans.catalog import (
     topic_summary,
 )
 from rillhouse.session import is_folder, scratch, stream_session
+from rillhouse.sources import readers
 from rillhouse.sources.readers import Endpoint
-from rillhouse.sources.writers import buffered_stream
+from rillhouse.sources.writers import buffered_stream, write_batch_topics
 from rillhouse.streaming import forms, jobs
-from rillhouse.streaming.run import drain, drain_updates, finish, start
+from rillhouse.streaming.run import (
+    drain,
+    drain_paced,
+    drain_updates,
+    finish,
+    run_paced,
+    start,
+)
 
 # Far behind every record of the tables.
 END = datetime(2100, 1, 1)
@@ -196,11 +205,45 @@ def session_count(spark: SparkSession, sf: str) -> DataFrame:
     return facade.ntz(out, "session_start", "session_end")
 
 
+def _paced(
+    spark: SparkSession, job, schema, label: str, parts: tuple[str, ...] = ("data",),
+    stop_after: int | None = None,
+) -> list[DataFrame]:
+    """Run ``job(write, checkpoint)`` until nothing is left and give what it wrote.
+
+    ``write`` takes a DataFrame for each of ``parts`` and the number of the batch; a repeated batch
+    replaces its own rows.
+    """
+    out = scratch(spark, label)
+
+    def write(*given) -> None:
+        *found, batch_id = given
+        for part, rows in zip(parts, found, strict=True):
+            rows.write.mode("overwrite").parquet(f"{out}/{part}/batch={batch_id}")
+
+    run_paced(job(write, f"{out}/state").queryName(label), stop_after)
+    return [spark.read.schema(schema).parquet(f"{out}/{part}") for part in parts]
+
+
+def _numbered(session: SparkSession, sf: str, batches: int) -> DataFrame:
+    """The events in their order, in so many micro-batches."""
+    path = f"{sf}/events.parquet"
+    share = -(-session.read.parquet(path).count() // batches)
+    return facade.utc(readers.counter_stream(session, path, max(1, share), "place"))
+
+
 def _running(spark: SparkSession, sf: str, name: str, value) -> DataFrame:
     s = stream_session(spark)
-    rows = _stream(s, sf, "events").select("event_id", "user_id", "ts", "props")
-    found = forms.running(rows, "user_id", "ts", "event_id", {name: value})
-    return drain(spark, found.select("event_id", "user_id", name), name)
+    rows = _numbered(s, sf, 4).select("event_id", "user_id", "ts", "props")
+    schema = f"event_id long, user_id long, {name} long"
+
+    def job(write, checkpoint):
+        def slim(done: DataFrame, batch_id: int) -> None:
+            write(done.select("event_id", "user_id", name), batch_id)
+
+        return jobs.running_job(rows, "user_id", "ts", "event_id", {name: value}, slim, checkpoint)
+
+    return _paced(spark, job, schema, name)[0].select("event_id", "user_id", name)
 
 
 def running_total(spark: SparkSession, sf: str) -> DataFrame:
@@ -211,6 +254,117 @@ def running_count(spark: SparkSession, sf: str) -> DataFrame:
     return _running(spark, sf, "n", F.lit(1))
 
 
+def late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily sums of what came in time, and each record that came too late.
+
+    A tenth of the events carries a time three days back.
+    """
+    s = stream_session(spark)
+    shift = F.when(F.col("event_id") % 10 == 3, F.expr("INTERVAL 3 DAYS")).otherwise(
+        F.expr("INTERVAL 0 DAYS")
+    )
+    rows = _numbered(s, sf, 5).select("event_id", (F.col("ts") - shift).alias("ts"), "props")
+    marks = scratch(spark, "marks")
+
+    def job(write, checkpoint):
+        return jobs.late_rows_job(rows, "ts", DAY, timedelta(hours=1), write, marks, checkpoint)
+
+    found = _paced(spark, job, rows.schema, "late_rows", ("on_time", "late"), stop_after=2)
+    day = F.date_format("ts", "yyyy-MM-dd")
+    sums = found[0].groupBy(day.alias("day")).agg(
+        F.count("*").alias("n"), F.sum(F.length("props")).alias("size")
+    )
+    late = found[1].select(
+        F.lit("late").alias("kind"), day.alias("day"), "event_id",
+        F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("size"),
+    )
+    return late.unionByName(
+        sums.select(
+            F.lit("on time").alias("kind"), "day", F.lit(None).cast("long").alias("event_id"),
+            "n", "size",
+        )
+    )
+
+
+def lookup_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with attributes of their customer, while the dimension changes between the batches.
+
+    Before batch ``b`` every fifth customer, those with remainder ``b``, gets another segment.
+    """
+    s = stream_session(spark)
+    path, key = scratch(spark, "customers"), "c_custkey"
+    customers = facade.table(spark, sf, "customer").select(key, "c_name", "c_mktsegment")
+    buckets = 16
+    keyed.write_keyed(customers, path, key, buckets)
+
+    def update(batch: int) -> None:
+        changed = customers.where(F.col(key) % 5 == batch)
+        segment = F.lit(f"changed {batch}").alias("c_mktsegment")
+        keyed.update_keyed(spark, path, changed.select(key, "c_name", segment), key, buckets)
+
+    update(0)
+    rows = _numbered(s, sf, 5).where("event_type = 'purchase'").select("event_id", "user_id")
+    schema = "event_id long, user_id long, name string, segment string"
+
+    def job(write, checkpoint):
+        def then(done: DataFrame, batch_id: int) -> None:
+            write(done, batch_id)
+            update(batch_id + 1)
+
+        return jobs.lookup_job(
+            rows, path, customers.schema, "user_id", key,
+            {"name": "c_name", "segment": "c_mktsegment"}, then, checkpoint, buckets,
+        )
+
+    found = _paced(spark, job, schema, "lookup_pruned")[0]
+    return found.select("event_id", "user_id", "name", "segment")
+
+
+def cdc_handover(spark: SparkSession, sf: str) -> DataFrame:
+    """Each customer's last order, from a snapshot in four chunks that is taken while orders go on
+    coming, and from the log that follows; with the number of records handed on of either kind."""
+    s = stream_session(spark)
+    orders = facade.table(spark, sf, "orders")
+    log = orders.select(
+        F.col("o_custkey").alias("id"),
+        F.col("o_orderkey").alias("pos"),
+        F.when(F.col("o_orderkey") % 13 == 0, "delete").otherwise("update").alias("type"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("priority"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("last_day"),
+    )
+    chunk = (F.col("id") % 4).cast("int").alias("chunk")
+    last, ticks = orders.agg(F.max("o_orderkey")).first()[0], []
+
+    def position() -> int:
+        ticks.append(last * (len(ticks) + 1) // 9)
+        return ticks[-1]
+
+    def read(number: int) -> DataFrame:
+        """The table as it is half-way to the position after the chunk."""
+        known = log.where((F.col("id") % 4 == number) & (F.col("pos") <= ticks[-1] + last // 18))
+        return handover.latest(known, "id", "pos")
+
+    rows, marks = handover.read_chunks(spark, range(4), read, position)
+    between = log.where(F.col("pos").between(ticks[0], ticks[-1])).select("*", chunk)
+    standing = handover.reconciled(rows, marks, between, "id", "pos")
+
+    target = Endpoint("files", scratch(spark, "binlog"))
+    lines = log.repartitionByRange(8, "pos").sortWithinPartitions("pos")
+    value = F.to_json(F.struct(*log.columns)).alias("value")
+    write_batch_topics(lines.select(F.lit("orders_log").alias("topic"), value), target, 0, "log")
+    followed = readers.topic_stream(s, target, "orders_log", per_batch=orders.count() * 40)
+    changes = followed.select(F.from_json("value", log.schema).alias("r")).select("r.*", chunk)
+    fresh = handover.after_snapshot(changes, marks, "pos")
+    handed = drain_paced(spark, fresh, "cdc_handover", stop_after=1)
+    records = handed.unionByName(standing)
+    reading = F.col("type") == handover.READ
+    counts = records.groupBy("id").agg(
+        F.count(F.when(reading, 1)).alias("n_reads"), F.count(F.when(~reading, 1)).alias("n_changes")
+    )
+    return handover.latest(records, "id", "pos").join(counts, "id")
+
+
 def key_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Updated counts; the last update of a key is its count."""
     s = stream_session(spark)
@@ -315,7 +469,45 @@ def buffered_sink(spark: SparkSession, sf: str) -> DataFrame:
     return back
 
 
+def counter_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbered events, a fifth of the table in each micro-batch, stopped after two of them."""
+    s = stream_session(spark)
+    path = f"{sf}/events.parquet"
+    share = s.read.parquet(path).count() // 5 + 1
+    rows = readers.counter_stream(s, path, share, "place").select(
+        F.col("place").alias("value"), "event_id", "user_id", "event_type"
+    )
+    return drain_paced(spark, rows, "numbered_events", stop_after=2)
+
+
+def topic_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Events sent to two topics in five batches, followed by position, and their places."""
+    s = stream_session(spark)
+    target = Endpoint("files", scratch(spark, "positions"))
+    events = facade.table(spark, sf, "events").select("event_id", "user_id")
+    topic = F.when(F.col("user_id") % 2 == 1, "odd_events").otherwise("even_events")
+    for batch in range(5):
+        mine = events.where(F.col("event_id") % 5 == batch)
+        ordered = mine.repartitionByRange(3, "event_id").sortWithinPartitions("event_id")
+        lines = ordered.select(topic.alias("topic"), F.to_json(F.struct("event_id")).alias("value"))
+        write_batch_topics(lines, target, batch, "first")
+    share = events.count() * 20 // 5
+    found = readers.topic_stream(s, target, "odd_events", "even_events", per_batch=share)
+    back = drain_paced(spark, found, "topic_offsets", stop_after=2)
+    order = W.partitionBy("topic", "run").orderBy("offset")
+    return back.select(
+        "topic",
+        F.get_json_object("value", "$.event_id").cast("long").alias("event_id"),
+        F.row_number().over(order).cast("long").alias("place"),
+    )
+
+
 QUERIES = {
+    "stream_counter_source": counter_source,
+    "stream_topic_offsets": topic_offsets,
+    "stream_late_rows": late_rows,
+    "stream_lookup_pruned": lookup_pruned,
+    "stream_cdc_handover": cdc_handover,
     "stream_interval_join_orders": interval_join_orders,
     "stream_interval_join_payment": interval_join_payment,
     "stream_order_wide": order_wide,

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from rillhouse import schemas
+from rillhouse.functions.scalar import micros, time_cell
+from rillhouse.operators import ordered
 from rillhouse.operators.cdc import (
     SINK_DIM,
     SINK_KAFKA,
@@ -21,6 +24,7 @@ from rillhouse.operators.cdc import (
     sink_schema,
 )
 from rillhouse.operators.dims import DimStore
+from rillhouse.operators.keyed import lookup_keyed
 from rillhouse.operators.logs import is_entry, parse_all, route_log
 from rillhouse.operators.themes import visitor_rows, visitor_stats
 from rillhouse.operators.wide import (
@@ -79,12 +83,15 @@ def base_db_job(
 
     ``rules`` gives the rules in force and is called for every micro-batch, before its records
     are routed, so a rule change takes effect while the job runs and no record overtakes its rule.
-    Records without a rule, and those of a dimension without its key, go to a topic of their own.
+    Records without a rule, and those of a dimension without its key, go to a topic of their own;
+    so does, as it came, a text that is no change record.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
         in_force = rules()
-        routed = route_by_rules(drop_deletes(normalize_cdc(batch)), in_force)
+        routed = route_by_rules(
+            drop_deletes(normalize_cdc(batch, unreadable="unreadable")), in_force
+        )
         routed.persist()
         try:
             run = run_of(batch)
@@ -96,7 +103,9 @@ def base_db_job(
                 routed_messages(sent).unionByName(
                     lost.select(
                         F.lit(TOPIC_UNMATCHED).alias("topic"),
-                        F.to_json(F.struct("table", "type", "after")).alias("value"),
+                        F.coalesce(
+                            "unreadable", F.to_json(F.struct("table", "type", "after"))
+                        ).alias("value"),
                     )
                 ),
                 target,
@@ -123,9 +132,10 @@ def base_db_job(
 
 
 def records(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Records of a topic that an earlier layer wrote, with the source's record time."""
+    """Records of a topic that an earlier layer wrote, with the source's record time; null where
+    the source has none, as a clock would give another at each replay."""
     rows = lines if "record_ts" in lines.columns else lines.withColumn(
-        "record_ts", F.current_timestamp()
+        "record_ts", F.lit(None).cast("timestamp")
     )
     return rows.select("record_ts", F.from_json("value", schema).alias("__r")).select(
         "record_ts", "__r.*"
@@ -222,6 +232,124 @@ def dimension_job(
     return for_each_batch(changes, work, checkpoint)
 
 
+def running_job(
+    rows: DataFrame,
+    key: str,
+    ts: str,
+    tie: str,
+    sums: Mapping[str, Column],
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+) -> DataStreamWriter:
+    """Running whole-number sums per key, continued over micro-batches; no Python sees a row.
+
+    The engine keeps one total a key: a built-in aggregate, combined per task before the shuffle.
+    Its new totals come along with the batch's records. What a key had before the batch is its
+    total less the batch's own sum; the records themselves are summed up by (key, time cell) as in
+    the batch form, so a key that holds half of a batch is spread over its cells. ``write`` gets the
+    records with their sums; a batch that is repeated after a failure has the same ones.
+
+    Records are in time order within a batch, and batches in the order of their arrival.
+    """
+    names = list(sums)
+    values = {n: f"__v_{n}" for n in names}
+    valued = rows.drop(*names).withColumns({values[n]: e.cast("long") for n, e in sums.items()})
+    # an empty sum is null; a key's total is a number from its first record on
+    totals = valued.groupBy(F.col(key).alias("__k")).agg(
+        *[F.coalesce(F.sum(v), F.lit(0)).alias(f"__t_{n}") for n, v in values.items()]
+    )
+    record = F.struct(*[F.col(f"`{c}`") for c in valued.columns])
+    shape = valued.select(record.alias("r")).schema["r"].dataType
+    both = valued.select(
+        record.alias("__r"), F.lit(None).cast(valued.schema[key].dataType).alias("__k"),
+        *[F.lit(None).cast("long").alias(f"__t_{n}") for n in names],
+    ).unionByName(
+        totals.select(F.lit(None).cast(shape).alias("__r"), "__k", *[f"__t_{n}" for n in names])
+    )
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            records = batch.where("__r is not null").select("__r.*")
+            known = batch.where("__r is null").select(
+                F.col("__k").alias(key), *[F.col(f"__t_{n}").alias(n) for n in names]
+            )
+            own = {n: F.col(v) for n, v in values.items()}
+            done = ordered.running(records, key, ts, tie, own, totals=known)
+            write(done.drop(*values.values()), batch_id)
+        finally:
+            batch.unpersist()
+
+    return for_each_batch(both, work, checkpoint, mode="update")
+
+
+def late_rows_job(
+    rows: DataFrame,
+    ts: str,
+    width: timedelta,
+    lateness: timedelta,
+    write: Callable[[DataFrame, DataFrame, int], None],
+    marks: str,
+    checkpoint: str,
+) -> DataStreamWriter:
+    """Records split into those in time for their window and those that come after it was closed.
+
+    A window of ``width`` is closed for a batch if it ends at or before the watermark, which is the
+    latest time of all earlier batches less ``lateness``: the rule by which windowed aggregates drop
+    records. ``write`` gets both parts. The latest time is kept below ``marks``, one row a batch;
+    a batch only reads the one before it, so that a repeated batch splits in the same way.
+    """
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            before = None
+            if batch_id:
+                before = spark.read.schema("mark long").parquet(f"{marks}/{batch_id - 1}").first()[0]
+            latest = batch.agg(F.max(F.unix_micros(ts))).first()[0]
+            seen = [m for m in (before, latest) if m is not None]
+            spark.createDataFrame([(max(seen, default=None),)], "mark long").coalesce(
+                1
+            ).write.mode("overwrite").parquet(f"{marks}/{batch_id}")
+            mark = None if before is None else before - micros(lateness)
+            closed = F.lit(False)
+            if mark is not None:
+                end = time_cell(ts, width) + F.lit(micros(width))
+                closed = F.coalesce(end <= F.lit(mark), F.lit(False))
+            write(batch.where(~closed), batch.where(closed), batch_id)
+        finally:
+            batch.unpersist()
+
+    return for_each_batch(rows, work, checkpoint)
+
+
+def lookup_job(
+    facts: DataFrame,
+    path: str,
+    schema: T.StructType,
+    key: str,
+    dim_key: str,
+    columns: Mapping[str, str],
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    buckets: int = 256,
+) -> DataStreamWriter:
+    """Facts with attributes of a keyed dimension as it is at each batch, of which only the buckets
+    that the batch asks for are read."""
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            write(
+                lookup_keyed(batch, path, schema, key, dim_key, columns, buckets=buckets), batch_id
+            )
+        finally:
+            batch.unpersist()
+
+    return for_each_batch(facts, work, checkpoint)
+
+
 def enrich_job(
     wide: DataFrame,
     dimensions: Callable[[], Mapping[str, DataFrame]],

@@ -348,6 +348,7 @@ def facade_wide(spark, sf):
 
 def test_counter_stream_continues_after_a_restart(spark, session, tmp_path):
     seen = []
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
 
     def go(n):
         got = []
@@ -356,7 +357,7 @@ def test_counter_stream_continues_after_a_restart(spark, session, tmp_path):
             got.extend(r.value for r in batch.collect())
 
         query = (
-            for_each_batch(counter_stream(session, 10), work, str(tmp_path / "c"))
+            for_each_batch(counter_stream(session, str(tmp_path / "t"), 10), work, str(tmp_path / "c"))
             .trigger(processingTime="0 seconds").start()
         )
         until = time.time() + 30
