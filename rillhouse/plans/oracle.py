@@ -467,10 +467,11 @@ FROM visitor_ GROUP BY GROUPING SETS ((ch, ar), ())"""
 ORACLE["ads_visits_new"] = f"""
 {_VISITOR} SELECT vc, ch, {_VISITS} FROM visitor_ WHERE is_new = '1' GROUP BY vc, ch"""
 ORACLE["stream_buffered_sink"] = "SELECT event_id, user_id, event_type FROM events"
-# Which of a day's first records arrives first is not fixed; that there is one is.
-ORACLE["stream_unique_visit"] = f"""
-WITH {_PAGES}
-SELECT DISTINCT mid, strftime(event_ts, '%Y-%m-%d') AS day FROM pages_ WHERE entry"""
+ORACLE["stream_unique_visit"] = ORACLE["unique_visit"]
+ORACLE["stream_committed_sink"] = ORACLE["stream_buffered_sink"]
+ORACLE["stream_buffered_exact"] = """
+SELECT event_id, user_id, event_type, count(*) OVER (PARTITION BY event_id // 500) AS file_rows
+FROM events"""
 ORACLE["stream_base_db"] = f"""
 WITH {_CHANGES}
 SELECT CASE WHEN type = 'update' THEN 'olap_orders' ELSE 'dwd_order_info' END AS topic,

@@ -35,9 +35,15 @@ from rillhouse.plans.catalog import (
     topic_summary,
 )
 from rillhouse.session import is_folder, scratch, stream_session
-from rillhouse.sources import readers
+from rillhouse.sources import committed, readers
 from rillhouse.sources.readers import Endpoint
-from rillhouse.sources.writers import buffered_stream, write_batch_topics
+from rillhouse.sources.writers import (
+    buffered_exact,
+    buffered_stream,
+    committed_stream,
+    flush_held,
+    write_batch_topics,
+)
 from rillhouse.streaming import forms, jobs
 from rillhouse.streaming.run import (
     drain,
@@ -154,23 +160,40 @@ def payment_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def new_visitor_fix(spark: SparkSession, sf: str) -> DataFrame:
+    """Flags over four micro-batches and a restart; only the first claim of a device keeps its."""
     s = stream_session(spark)
-    flat = facade.page_records(_stream(s, sf, "events")).select(
+    flat = facade.page_records(_numbered(s, sf, 4)).select(
         "event_id", "event_ts", F.col("common.mid").alias("mid"),
         F.col("common.is_new").alias("is_new"),
-    )
-    fixed = forms.correct_new_flag(flat, "mid", "is_new", "event_ts", "event_id")
-    return facade.ntz(drain(spark, fixed, "new_flag"), "event_ts")
+    )
+    claims = flat.withColumn("claim", F.when(F.col("is_new") == "1", F.col("mid")))
+    kept = F.when(F.col("first") & F.col("claim").isNotNull(), "1").otherwise("0")
+
+    def job(write, checkpoint):
+        def fixed(marked: DataFrame, batch_id: int) -> None:
+            write(marked.withColumn("is_new", kept).select(*flat.columns), batch_id)
+
+        return jobs.first_job(claims, ["claim"], "event_ts", "event_id", fixed, checkpoint)
+
+    found = _paced(spark, job, flat.schema, "new_flag", stop_after=2)[0]
+    return facade.ntz(found.select(*flat.columns), "event_ts")
 
 
 def unique_visit(spark: SparkSession, sf: str) -> DataFrame:
+    """The first entry of each device and day over four micro-batches and a restart."""
     s = stream_session(spark)
-    pages = facade.page_records(_stream(s, sf, "events"))
-    first = forms.first_per_day(
-        pages.withColumn("mid", F.col("common.mid")), "mid", "event_ts", logs.is_entry()
+    entries = facade.page_records(_numbered(s, sf, 4)).where(logs.is_entry()).select(
+        "event_id", F.col("common.mid").alias("mid"), "event_ts", "ts"
     )
-    out = first.select("mid", F.col("day").cast("string").alias("day"))
-    return drain(spark, out, "unique_visit")
+
+    def job(write, checkpoint):
+        def first(marked: DataFrame, batch_id: int) -> None:
+            write(marked.where("first").drop("first"), batch_id)
+
+        return jobs.first_job(entries, ["mid"], "event_ts", "event_id", first, checkpoint, DAY)
+
+    found = _paced(spark, job, entries.schema, "unique_visit", stop_after=2)[0]
+    return found.select("event_id", "mid", F.to_date("event_ts").cast("string").alias("day"), "ts")
 
 
 def _jumps(s: SparkSession, sf: str, form=forms.entry_pattern) -> DataFrame:
@@ -502,7 +525,32 @@ def topic_offsets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def buffered_exactly(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in files of 500, over five micro-batches and a restart, with their file's size."""
+    s = stream_session(spark)
+    rows = _numbered(s, sf, 5).select("event_id", "user_id", "event_type")
+    out, held, state = scratch(spark, "exact"), scratch(spark, "held"), scratch(spark, "state")
+    run_paced(buffered_exact(rows, ["event_id"], out, held, state, 500), stop_after=2)
+    flush_held(spark, rows.schema, out, held, 4)
+    back = spark.read.schema(rows.schema).option("recursiveFileLookup", "true").json(out)
+    file = F.col("_metadata.file_path")
+    size = F.count("*").over(W.partitionBy("__file"))
+    return back.select("*", file.alias("__file")).withColumn("file_rows", size).drop("__file")
+
+
+def committed_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Events through the sink of whole batches, a transient field left out, with a restart."""
+    s = stream_session(spark)
+    rows = _numbered(s, sf, 4).select("event_id", "user_id", "event_type", "place")
+    out = scratch(spark, "committed")
+    run_paced(committed_stream(rows, out, scratch(spark, "state"), ["place"]), stop_after=2)
+    schema = rows.drop("place").schema
+    return committed.read_committed(spark, out, schema)
+
+
 QUERIES = {
+    "stream_buffered_exact": buffered_exactly,
+    "stream_committed_sink": committed_sink,
     "stream_counter_source": counter_source,
     "stream_topic_offsets": topic_offsets,
     "stream_late_rows": late_rows,

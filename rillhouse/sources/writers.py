@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from rillhouse.session import exists, stream_of, touch
-from rillhouse.sources.readers import Endpoint
+from rillhouse.sources import committed
+from rillhouse.sources.readers import Endpoint, counter
+
+cloudpickle.register_pickle_by_value(committed)
 
 
 def messages(df: DataFrame, topic: str) -> DataFrame:
@@ -153,5 +158,87 @@ def buffered_stream(df: DataFrame, path: str, checkpoint: str, threshold: int) -
     )
 
 
+def committed_stream(
+    df: DataFrame, path: str, checkpoint: str, exclude: Iterable[str] = ()
+) -> DataStreamWriter:
+    """Batches that count as a whole and once, fields marked transient left out; read them with
+    ``committed.read_committed``."""
+    # a sink's name is looked up in the session that is active, which may be another
+    for session in (df.sparkSession, SparkSession.getActiveSession() or df.sparkSession):
+        session.dataSource.register(committed.CommittedBatches)
+    bound_columns(df.columns, exclude)
+    return (
+        df.writeStream.format("committed_batches")
+        .outputMode("append")
+        .option("path", path)
+        .option("transient", ",".join(exclude))
+        .option("checkpointLocation", checkpoint)
+    )
+
+
+def buffered_exact(
+    df: DataFrame,
+    order: Sequence[str],
+    path: str,
+    held: str,
+    checkpoint: str,
+    threshold: int,
+    ts: str | None = None,
+    timeout: timedelta | None = None,
+) -> DataStreamWriter:
+    """JSON files of exactly ``threshold`` records, in the order of ``order`` within a batch.
+
+    Records that do not fill a file wait below ``held``, fewer than ``threshold`` of them, and come
+    first in the next batch. With ``ts`` and ``timeout`` they are written as a shorter file once the
+    latest time is that much behind theirs. A batch that is repeated starts from the same held
+    records and replaces its own files. ``flush_held`` writes what waits when a stream is over.
+    """
+    own = df.schema
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        rows = _waiting(batch.sparkSession, held, batch_id - 1, own)
+        rows = rows.withColumn("__new", F.lit(0)).unionByName(batch.withColumn("__new", F.lit(1)))
+        rows = counter(rows, "__new", *order).persist()
+        try:
+            n = rows.count()
+            full = n - n % threshold
+            if ts is not None and timeout is not None and n:
+                first = rows.where(F.col("value") >= full).agg(F.min(ts)).first()[0]
+                last = rows.agg(F.max(ts)).first()[0]
+                full = n if first is not None and last - first >= timeout else full
+            _files(rows.where(F.col("value") < full), threshold, f"{path}/batch={batch_id}", own)
+            rest = rows.where(F.col("value") >= full).select(*own.names)
+            rest.write.mode("overwrite").parquet(f"{held}/{batch_id}")
+        finally:
+            rows.unpersist()
+
+    return df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(work)
+
+
+def _waiting(spark: SparkSession, held: str, batch_id: int, schema) -> DataFrame:
+    if batch_id < 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{held}/{batch_id}")
+
+
+def _files(numbered: DataFrame, threshold: int, path: str, schema) -> None:
+    file = F.floor(F.col("value") / threshold)
+    (
+        numbered.withColumn("file", file)
+        .repartition("file")
+        .sortWithinPartitions("file", "value")
+        .select(*schema.names, "file")
+        .write.mode("overwrite")
+        .partitionBy("file")
+        .json(path)
+    )
+
+
+def flush_held(spark: SparkSession, schema, path: str, held: str, batch_id: int) -> None:
+    """Write the records that wait behind a batch as the last file."""
+    rest = _waiting(spark, held, batch_id, schema)
+    rest.coalesce(1).write.mode("overwrite").json(f"{path}/batch={batch_id}/file=last")
+
+
 def console_stream(df: DataFrame, rows: int = 20) -> DataStreamWriter:
     return df.writeStream.format("console").option("numRows", rows).option("truncate", False)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +28,7 @@ from rillhouse.operators.cdc import (
 from rillhouse.operators.dims import DimStore
 from rillhouse.operators.keyed import lookup_keyed
 from rillhouse.operators.logs import is_entry, parse_all, route_log
-from rillhouse.operators.themes import visitor_rows, visitor_stats
+from rillhouse.operators.themes import span_text, visitor_rows, visitor_stats
 from rillhouse.operators.wide import (
     enrich_order_wide,
     merge_order_detail,
@@ -232,6 +234,73 @@ def dimension_job(
     return for_each_batch(changes, work, checkpoint)
 
 
+def first_job(
+    rows: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    tie: str,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    per: timedelta | None = None,
+    lateness: timedelta = timedelta(0),
+) -> DataStreamWriter:
+    """Records with ``first``: whether one is the first of its keys, over all micro-batches.
+
+    The engine keeps one count for each combination of keys, a built-in aggregate that is combined
+    per task before the shuffle. Where a batch's own count is the whole count, the keys are new, and
+    the earliest record of the batch by ``ts`` and ``tie`` is the first. ``(*keys, ts, tie)`` must
+    identify a record. With ``per``, there is a first for each such span of event time; a span's keys
+    are forgotten once the latest time less ``lateness`` has passed it, and what comes later for it
+    is never first.
+    """
+    at = None if per is None else time_cell(ts, per)
+    cells = [] if at is None else ["__cell"]
+    slim = rows.select(*keys, ts)
+    if at is not None:
+        slim = slim.withWatermark(ts, span_text(lateness))
+    span = [] if per is None else [F.window(ts, span_text(per)).alias("__w")]
+    counts = slim.groupBy(*keys, *span).agg(F.count(F.lit(1)).alias("__n"))
+    cell = [] if per is None else [F.unix_micros("__w.start").alias("__cell")]
+    counts = counts.select(F.struct(*keys, *cell).alias("__k"), "__n")
+    shapes = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("__r"))
+    whole = shapes.schema["__r"].dataType
+    both = shapes.select(
+        "__r", F.lit(None).cast(counts.schema["__k"].dataType).alias("__k"),
+        F.lit(None).cast("long").alias("__n"),
+    ).unionByName(counts.select(F.lit(None).cast(whole).alias("__r"), "__k", "__n"))
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            records = batch.where("__r is not null").select("__r.*")
+            if at is not None:
+                records = records.withColumn("__cell", at)
+            by = [*keys, *cells]
+            named = [f"__k{i}" for i in range(len(by))]
+            known = batch.where("__r is null").select(
+                *[F.col(f"__k.{c}").alias(n) for c, n in zip(by, named, strict=True)], "__n"
+            )
+            own = records.groupBy(*by).agg(
+                F.min(F.struct(ts, tie)).alias("__f"), F.count(F.lit(1)).alias("__own")
+            )
+            same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, named, strict=True)]
+            fresh = own.join(known, reduce(and_, same)).where("__own = __n")
+            firsts = fresh.select(
+                *[F.col(c).alias(n) for c, n in zip(by, named, strict=True)],
+                F.col(f"__f.{ts}").alias("__ts"), F.col(f"__f.{tie}").alias("__tie"),
+            ).withColumn("first", F.lit(True))
+            place = [F.col(ts).eqNullSafe(F.col("__ts")), F.col(tie).eqNullSafe(F.col("__tie"))]
+            marked = records.join(firsts, reduce(and_, [*same, *place]), "left")
+            write(
+                marked.select(*rows.columns, F.coalesce("first", F.lit(False)).alias("first")),
+                batch_id,
+            )
+        finally:
+            batch.unpersist()
+
+    return for_each_batch(both, work, checkpoint, mode="update")
+
+
 def running_job(
     rows: DataFrame,
     key: str,

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from rillhouse.operators import cdc, logs
 from rillhouse.operators.ordered import running
 from rillhouse.session import stream_session
-from rillhouse.sources import readers
+from rillhouse.sources import committed, readers
+from rillhouse.sources.writers import buffered_exact, flush_held
 from rillhouse.streaming import jobs
 from rillhouse.streaming.run import run_paced
 from tests.conftest import at, rows
@@ -128,3 +129,90 @@ def test_unreadable_changes_keep_their_text(spark):
     got = cdc.normalize_cdc(spark.createDataFrame(raw, "topic string, value string"), unreadable="text")
     want = [("insert", None), (None, "[]"), (None, None), (None, "{cut")]
     assert sorted(rows(got, "type", "text"), key=str) == sorted(want, key=str)
+
+
+def test_first_of_keys_over_batches(spark, session, tmp_path):
+    rng = random.Random(9)
+    data = [
+        (n, None if n % 40 == 3 else f"k{rng.randrange(25)}", at(n * 900 - (n % 4) * 600), n)
+        for n in range(400)
+    ]
+    table(spark, tmp_path / "t", data, "n long, key string, ts timestamp, v long")
+
+    def marked(name, **options):
+        stream = readers.counter_stream(session, str(tmp_path / "t"), 90, "place").drop("place")
+
+        def write(done, batch):
+            done.write.mode("overwrite").parquet(f"{tmp_path}/{name}/batch={batch}")
+
+        job = jobs.first_job(stream, ["key"], "ts", "n", write, f"{tmp_path}/{name}-c", **options)
+        run_paced(job, stop_after=2)
+        back = spark.read.parquet(f"{tmp_path}/{name}").where("n is not null")
+        assert back.count() == len(data)
+        return {n for n, first in rows(back, "n", "first") if first}
+
+    def wanted(cell):
+        seen, want = set(), set()
+        for begin in range(0, 400, 90):
+            part = sorted(data[begin : begin + 90], key=lambda r: (r[2], r[0]))
+            new = {}
+            for n, key, ts, _ in part:
+                new.setdefault((key, cell(ts)), n)
+            want |= {n for k, n in new.items() if k not in seen}
+            seen |= set(new)
+        return want
+
+    assert marked("ever") == wanted(lambda ts: 0)
+    day = timedelta(days=1)
+    per_day = marked("daily", per=day, lateness=timedelta(hours=2))
+    assert per_day == wanted(lambda ts: ts.date())
+
+
+@pytest.mark.parametrize("stop_after", [None, 2])
+def test_files_of_exactly_the_threshold(spark, session, tmp_path, stop_after):
+    data = [(n, at(n)) for n in range(107)]
+    df = table(spark, tmp_path / "t", data, "n long, ts timestamp")
+    stream = readers.counter_stream(session, str(tmp_path / "t"), 23, "place").drop("place")
+    out, held = str(tmp_path / "out"), str(tmp_path / "held")
+    run_paced(buffered_exact(stream, ["n"], out, held, f"{tmp_path}/c", 10), stop_after)
+    flush_held(spark, df.schema, out, held, 4)
+    sizes = sorted(len(f.read_text().splitlines()) for f in (tmp_path / "out").rglob("*.json"))
+    assert [n for n in sizes if n] == [7, *[10] * 10]
+    back = spark.read.schema(df.schema).option("recursiveFileLookup", "true").json(out)
+    assert sorted(n for (n,) in rows(back, "n")) == list(range(107))
+
+
+def test_a_held_buffer_is_flushed_by_time(spark, session, tmp_path):
+    table(spark, tmp_path / "t", [(n, at(n * 10)) for n in range(12)], "n long, ts timestamp")
+    stream = readers.counter_stream(session, str(tmp_path / "t"), 3, "place").drop("place")
+    out = str(tmp_path / "out")
+    run_paced(buffered_exact(
+        stream, ["n"], out, str(tmp_path / "h"), f"{tmp_path}/c", 100, "ts", timedelta(seconds=45)))
+    files = [sorted(spark.read.json(str(f)).toPandas()["n"]) for f in (tmp_path / "out").rglob("*.json")
+             if f.stat().st_size]
+    assert sorted(files) == [[0, 1, 2, 3, 4, 5], [6, 7, 8, 9, 10, 11]]
+
+
+def test_batches_count_as_a_whole_and_once(spark, session, tmp_path):
+    import pyarrow as pa
+
+    path = str(tmp_path / "sink")
+    writer = committed.BatchWriter({"path": path, "transient": "t"}, ["a", "t"])
+    batch = pa.RecordBatch.from_pydict({"a": [1, 2], "t": ["x", "y"]})
+    schema = spark.createDataFrame([(1,)], "a long").schema
+
+    def read():
+        return sorted(r.a for r in committed.read_committed(spark, path, schema).collect())
+
+    one, none = writer.write(iter([batch, batch])), writer.write(iter([]))
+    lost = writer.write(iter([batch]))
+    writer.commit([one, none], 0)
+    assert read() == [1, 1, 2, 2]
+    writer.abort([lost, None], 1)  # a batch that failed
+    assert read() == [1, 1, 2, 2] and len(list((tmp_path / "sink" / "rows").iterdir())) == 1
+    writer.commit([writer.write(iter([batch]))], 0)  # the batch comes again
+    assert read() == [1, 1, 2, 2] and len(list((tmp_path / "sink" / "rows").iterdir())) == 1
+    writer.commit([writer.write(iter([batch]))], 1)
+    assert read() == [1, 1, 1, 2, 2, 2]
+    with pytest.raises(ValueError, match="not in the record"):
+        committed.BatchWriter({"path": path, "transient": "z"}, ["a"])
