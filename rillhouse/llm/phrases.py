@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from rillhouse.llm.common import arrow_rows, stored, tidy
 
 #: About so many bytes of text make up one block, within which equal n-grams are counted first.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: Blocks that are sent to a worker at once.
-BATCH_BLOCKS = 4
+BATCH_BLOCKS = 8
 #: The filter of frequent n-grams that is sent to the workers has 2^26 bits, which are 8 MB.
 FILTER_BITS = 26
 #: Bits of one native bitmap (a fixed value of the aggregate that builds them).
@@ -369,16 +369,16 @@ def mine(
     as they come; long texts are cut where no phrase reaches over. Words of any length are whole.
 
     Numpy prefix polynomials give the fingerprint of every n-gram of a block at once, and only
-    fingerprints, cut to 32 bits, and counts are shuffled: those of words, then those of pairs of frequent words,
-    then those of longer n-grams all of whose pairs are frequent. A block sends a fingerprint once,
-    so none is hot. A filter of fixed size tells which n-grams are frequent; its errors cost rows
+    fingerprints, cut to 32 bits, and counts are shuffled: those of all words and pairs of words,
+    which grow as the input does, then those of longer n-grams all of whose pairs are frequent. A
+    block sends a fingerprint once, so none is hot. A filter of fixed size tells which n-grams are frequent; its errors cost rows
     but never a phrase. At last blocks verify the frequent ones against their text.
     """
     spark = docs.sparkSession
     known = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     rows = stored(blocks(docs, block_bytes), "phrase-blocks")
     with arrow_rows(spark, BATCH_BLOCKS):
-        for lengths in (range(1, 2), range(2, min(2, longest) + 1), range(3, longest + 1)):
+        for lengths in (range(1, min(2, longest) + 1), range(3, longest + 1)):
             if lengths:
                 known |= frequent(rows, lengths, known, least, bits)
         counts = stored(materialised(rows, known, least, longest, bits), "phrase-counts")
