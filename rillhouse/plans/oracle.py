@@ -559,3 +559,4 @@ SELECT c_custkey AS seq, 'customer' AS "table",
     END AS type,
   CASE WHEN c_custkey % 7 = 0 THEN 'cut ' || c_custkey || ' {' END AS text
 FROM customer"""
+ORACLE["stream_rescaled"] = ORACLE["running_total"]

@@ -277,6 +277,35 @@ def running_count(spark: SparkSession, sf: str) -> DataFrame:
     return _running(spark, sf, "n", F.lit(1))
 
 
+def rescaled(spark: SparkSession, sf: str) -> DataFrame:
+    """Running totals by two jobs: the second goes on from the state of the first, which had another
+    number of partitions."""
+    events = facade.table(spark, sf, "events").select("event_id", "user_id", "ts", "props")
+    half, value = events.count() // 2, scalar.text_length("props")
+    field = events.schema["user_id"]
+    found, base = [], scratch(spark, "totals")
+    for first, partitions in ((True, 3), (False, 5)):
+        path, state = scratch(spark, "half"), scratch(spark, "state")
+        mine = F.col("event_id") < half if first else F.col("event_id") >= half
+        events.where(mine).coalesce(1).sortWithinPartitions("event_id").write.parquet(path)
+        s = stream_session(spark, partitions)
+        stream = readers.counter_stream(s, path, half // 2 + 1, "place").drop("place")
+        rows, start_from = facade.utc(stream), None if first else base
+
+        def job(write, _, rows=rows, state=state, start_from=start_from):
+            def slim(done: DataFrame, batch_id: int) -> None:
+                write(done.select("event_id", "user_id", "total"), batch_id)
+
+            return jobs.running_job(
+                rows, "user_id", "ts", "event_id", {"total": value}, slim, state, start_from
+            )
+
+        found += _paced(spark, job, "event_id long, user_id long, total long", "rescaled")
+        if first:
+            jobs.save_totals(spark, state, field, ["total"], base)
+    return found[0].unionByName(found[1]).select("event_id", "user_id", "total")
+
+
 def late_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Daily sums of what came in time, and each record that came too late.
 
@@ -554,6 +583,7 @@ QUERIES = {
     "stream_counter_source": counter_source,
     "stream_topic_offsets": topic_offsets,
     "stream_late_rows": late_rows,
+    "stream_rescaled": rescaled,
     "stream_lookup_pruned": lookup_pruned,
     "stream_cdc_handover": cdc_handover,
     "stream_interval_join_orders": interval_join_orders,

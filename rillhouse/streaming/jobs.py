@@ -7,7 +7,7 @@ from datetime import timedelta
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -26,7 +26,7 @@ from rillhouse.operators.cdc import (
     sink_schema,
 )
 from rillhouse.operators.dims import DimStore
-from rillhouse.operators.keyed import lookup_keyed
+from rillhouse.operators.keyed import lookup_keyed, write_keyed
 from rillhouse.operators.logs import is_entry, parse_all, route_log
 from rillhouse.operators.themes import span_text, visitor_rows, visitor_stats
 from rillhouse.operators.wide import (
@@ -309,6 +309,7 @@ def running_job(
     sums: Mapping[str, Column],
     write: Callable[[DataFrame, int], None],
     checkpoint: str,
+    base: str | None = None,
 ) -> DataStreamWriter:
     """Running whole-number sums per key, continued over micro-batches; no Python sees a row.
 
@@ -319,6 +320,9 @@ def running_job(
     records with their sums; a batch that is repeated after a failure has the same ones.
 
     Records are in time order within a batch, and batches in the order of their arrival.
+
+    ``base`` is a place that ``save_totals`` wrote: the job goes on from the totals of another one,
+    whose state may have had any number of partitions. A batch only reads the buckets of its keys.
     """
     names = list(sums)
     values = {n: f"__v_{n}" for n in names}
@@ -343,6 +347,9 @@ def running_job(
             known = batch.where("__r is null").select(
                 F.col("__k").alias(key), *[F.col(f"__t_{n}").alias(n) for n in names]
             )
+            if base is not None:
+                known = known.persist()
+                known = _with_base(known, base, key, names, valued.schema[key])
             own = {n: F.col(v) for n, v in values.items()}
             done = ordered.running(records, key, ts, tie, own, totals=known)
             write(done.drop(*values.values()), batch_id)
@@ -352,6 +359,52 @@ def running_job(
     return for_each_batch(both, work, checkpoint, mode="update")
 
 
+def _with_base(
+    totals: DataFrame, base: str, key: str, names: Sequence[str], field: T.StructField
+) -> DataFrame:
+    """A batch's totals and what the job before had summed up for their keys."""
+    schema = T.StructType(
+        [T.StructField("__b", field.dataType), *[T.StructField(n, T.LongType()) for n in names]]
+    )
+    before = lookup_keyed(totals, base, schema, key, "__b", {f"__b_{n}": n for n in names})
+    # what the null key had is one row
+    null = totals.sparkSession.read.schema(schema).parquet(f"{base}_null").first()
+    given = {
+        n: F.col(n) + F.when(F.col(key).isNull(), F.lit(null[n])).otherwise(
+            F.coalesce(f"__b_{n}", F.lit(0))
+        )
+        for n in names
+    }
+    return before.select(key, *[total.alias(n) for n, total in given.items()])
+
+
+def totals_of(spark: SparkSession, checkpoint: str, key: T.StructField, names: Sequence[str]):
+    """``(key, *names)``: the totals that a running job keeps, read from its checkpoint's state."""
+    state = spark.read.format("statestore").option("path", checkpoint).load()
+    sums = ", ".join(f"`{n}`: bigint" for n in names)
+    own = F.col("key").cast(T.StructType([T.StructField("k", key.dataType)]))
+    cells = F.col("value").cast(f"struct<{sums}>")
+    return state.select(own["k"].alias(key.name), cells.alias("t")).select(
+        key.name, *[F.coalesce(F.col(f"t.`{n}`"), F.lit(0)).alias(n) for n in names]
+    )
+
+
+def save_totals(
+    spark: SparkSession, checkpoint: str, key: T.StructField, names: Sequence[str], base: str
+) -> None:
+    """Hand a stopped running job's totals over: ``running_job`` with this ``base`` goes on from them.
+
+    They lie by bucket of the key. A key that is null has a place of its own.
+    """
+    totals = totals_of(spark, checkpoint, key, names).withColumnRenamed(key.name, "__b")
+    write_keyed(totals.where("__b is not null"), base, "__b")
+    null = totals.where("__b is null")
+    zero = spark.createDataFrame([(None, *[0] * len(names))], totals.schema)
+    null.unionByName(zero).groupBy("__b").agg(*[F.sum(n).alias(n) for n in names]).write.parquet(
+        f"{base}_null"
+    )
+
+
 def late_rows_job(
     rows: DataFrame,
     ts: str,

@@ -216,3 +216,34 @@ def test_batches_count_as_a_whole_and_once(spark, session, tmp_path):
     assert read() == [1, 1, 1, 2, 2, 2]
     with pytest.raises(ValueError, match="not in the record"):
         committed.BatchWriter({"path": path, "transient": "z"}, ["a"])
+
+
+def test_a_job_goes_on_from_the_state_of_another(spark, session, tmp_path):
+    data = [
+        (n, None if n % 9 == 0 else "hot" if n % 2 else f"k{n % 7}", at(n), n % 5) for n in range(120)
+    ]
+    schema = "n long, key string, ts timestamp, v int"
+    whole = spark.createDataFrame(data, schema)
+    sums = {"total": F.col("v"), "count": F.lit(1)}
+    base, got = str(tmp_path / "base"), []
+    for name, part, partitions in (("a", data[:70], 2), ("b", data[70:], 5)):
+        table(spark, tmp_path / name, part, schema)
+        own = stream_session(spark, partitions)
+        stream = readers.counter_stream(own, str(tmp_path / name), 40, "place").drop("place")
+
+        def write(done, batch, name=name):
+            done.write.mode("overwrite").parquet(f"{tmp_path}/{name}-out/batch={batch}")
+
+        state = f"{tmp_path}/{name}-state"
+        start = base if got else None
+        run_paced(jobs.running_job(stream, "key", "ts", "n", sums, write, state, start), 1)
+        got.append(spark.read.parquet(f"{tmp_path}/{name}-out"))
+        if name == "a":
+            totals = jobs.totals_of(spark, state, whole.schema["key"], list(sums))
+            assert rows(totals) == rows(
+                spark.createDataFrame(data[:70], schema).groupBy("key").agg(
+                    F.sum("v"), F.count("*")))
+            jobs.save_totals(spark, state, whole.schema["key"], list(sums), base)
+    columns = ["n", "key", "total", "count"]
+    found = got[0].unionByName(got[1])
+    assert rows(found, *columns) == rows(running(whole, "key", "ts", "n", sums), *columns)
