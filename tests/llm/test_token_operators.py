@@ -146,3 +146,23 @@ def test_queries(spark, sf, texts):
         r = found[doc_id]
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+
+
+@pytest.mark.parametrize("name,spaces", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_another_vocabulary_goes_to_the_library_whole(tmp_path, name, spaces):
+    import json
+
+    from tokenizers import Tokenizer
+
+    from rillhouse.llm.queries import vocabulary
+    from rillhouse.llm.tokens import Encoder, known
+
+    assert known(vocabulary(name), spaces)
+    assert not known(vocabulary(name), not spaces)
+    says = json.loads(open(vocabulary(name), encoding="utf-8").read())
+    says["normalizer"] = {"type": "Replace", "pattern": {"String": "a"}, "content": "b"}
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(says))
+    text = "a banana  and\n it's Ünïcode"
+    plain = Tokenizer.from_file(str(other)).encode(text, add_special_tokens=False).ids
+    assert not known(str(other), spaces) and Encoder(str(other), spaces).encode(text).tolist() == plain
