@@ -21,24 +21,33 @@ PER_TASK = 20_000
 GROUPS = 1 << 16
 
 
+def id_type(tokenizer: str, end_id: int) -> str:
+    """How ids are kept on the way: in 16 bits if all of the vocabulary fit."""
+    from tokenizers import Tokenizer
+
+    size = Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True)
+    return "<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4"
+
+
 def encoded(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
-    """``(key, doc_id, source, tokens, ids)``: a document's ids and ``end_id``; 32-bit numbers.
+    """``(key, doc_id, source, tokens, ids)``: a document's ids and ``end_id``, of ``id_type``.
 
     ``key`` differs for all rows. A null or empty text is its end alone; ids and sources may be
     null or repeat.
     """
+    kind = id_type(tokenizer, end_id)
 
     def run(batches):
         from pyspark import TaskContext
 
         key = TaskContext.get().partitionId() << 40
         encode = encoder(tokenizer, True).encode
-        end = np.uint32(end_id).astype("<u4").tobytes()
+        end = np.array([end_id], kind).tobytes()
         for batch in batches:
             names, sources = batch.column("doc_id"), batch.column("source")
             begin, size, ids = 0, 0, []
             for text in batch.column("text"):
-                ids.append(encode(text.as_py()).tobytes() + end)
+                ids.append(encode(text.as_py()).astype(kind).tobytes() + end)
                 size += len(ids[-1])
                 if size > 16 << 20 or begin + len(ids) == len(names):
                     n = len(ids)
@@ -47,7 +56,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
                             pa.array(np.arange(key, key + n)),
                             names.slice(begin, n),
                             sources.slice(begin, n),
-                            pa.array([len(x) // 4 for x in ids], pa.int64()),
+                            pa.array([len(x) // len(end) for x in ids], pa.int64()),
                             pa.array(ids, pa.binary()),
                         ],
                         ["key", "doc_id", "source", "tokens", "ids"],
@@ -180,10 +189,11 @@ def tail_edges(total: int, capacity: int) -> list[int]:
 
 
 def place(
-    cut: DataFrame, capacity: int = 2048, packet: int = PACKET, weights: DataFrame | None = None
-) -> DataFrame:
+    cut: DataFrame, capacity: int = 2048, packet: int = PACKET, weights: DataFrame | None = None,
+    kind: str = "<u4",
+) -> DataFrame:
     """Stored ``encoded`` rows as pieces: ``(doc_id, source, start, length, ids, doc_tokens,
-    sequence_id, offset)``."""
+    sequence_id, offset)``; ``kind`` is the type of the stored ids, the pieces have 32-bit ids."""
     slim = cut.select("key", "doc_id", "source", "tokens", F.crc32("ids").alias("crc"))
     totals = stored(
         slim.groupBy("source").agg(F.sum("tokens").alias("total")), "mixture-totals"
@@ -192,30 +202,34 @@ def place(
     queue = queued(slim).join(given, F.col("source").eqNullSafe(F.col("given")))
     served = stored(packets(queue, packet), "mixture-packets")
     total = totals.agg(F.sum("total")).first()[0] or 0
-    full = total - total % capacity
-    edges = np.array([full, *tail_edges(total, capacity)], np.int64)
+    begins = Sequences(total, capacity)
     lists = positions(served).groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("start", "length", "position"))).alias("packets")
     )
 
     def run(batches):
         for batch in batches:
-            rows, out = batch.to_pylist(), []
-            for row in rows:
-                for start, length, position in joined(row["packets"]):
-                    end = position + length
-                    stops = np.arange(position // capacity + 1, -(-min(end, full) // capacity))
-                    tail = edges[(edges > position) & (edges < end)]
-                    cuts = np.union1d(stops * capacity, tail)
-                    for a, b in zip([position, *cuts], [*cuts, end], strict=True):
-                        ids = row["ids"][4 * (start + a - position) : 4 * (start + b - position)]
-                        number, offset = divmod(a, capacity)
-                        if a >= full and len(edges) > 1:
-                            k = int(np.searchsorted(edges, a, side="right")) - 1
-                            number, offset = full // capacity + k, a - edges[k]
-                        out.append((row["doc_id"], row["source"], start + a - position, b - a, ids,
-                                    row["tokens"], number, offset))
-            yield pieces_batch(out)
+            row, start, number, offset, length = pieces_of(batch.column("packets"), begins)
+            ids = [
+                np.frombuffer(x.as_buffer(), kind).astype("<u4").tobytes()
+                for x in batch.column("ids")
+            ]
+            spans = zip(row.tolist(), (4 * start).tolist(), (4 * (start + length)).tolist(),
+                        strict=True)
+            rows = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(rows),
+                    batch.column("source").take(rows),
+                    pa.array(start),
+                    pa.array(length),
+                    pa.array([ids[r][a:b] for r, a, b in spans], pa.binary()),
+                    batch.column("tokens").take(rows),
+                    pa.array(number),
+                    pa.array(offset),
+                ],
+                ["doc_id", "source", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
+            )
 
     whole = cut.join(lists, "key").select("doc_id", "source", "tokens", "ids", "packets")
     return whole.mapInArrow(
@@ -225,26 +239,44 @@ def place(
     )
 
 
-def joined(packets: list[dict]) -> list[list[int]]:
-    """Packets of one document, those that follow each other in the document and the stream as one."""
-    out: list[list[int]] = []
-    for p in packets:
-        start, length, position = p["start"], p["length"], p["position"]
-        if out and out[-1][0] + out[-1][1] == start and out[-1][2] + out[-1][1] == position:
-            out[-1][1] += length
-        else:
-            out.append([start, length, position])
-    return out
-
-
-def pieces_batch(rows: list[tuple]) -> pa.RecordBatch:
-    whole = pa.int64()
-    kinds = [whole, pa.string(), whole, whole, pa.binary(), whole, whole, whole]
-    names = ["doc_id", "source", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
-    )
+class Sequences:
+    """Where the sequences of a stream begin: full ones first, then those of the tail."""
+
+    def __init__(self, total: int, capacity: int) -> None:
+        self.capacity, self.full = capacity, total // capacity
+        self.tail = np.array([self.full * capacity, *tail_edges(total, capacity)], np.int64)
+
+    def begin(self, number: np.ndarray) -> np.ndarray:
+        last = np.clip(number - self.full, 0, len(self.tail) - 1)
+        return np.where(number < self.full, number * self.capacity, self.tail[last])
+
+    def number(self, position: np.ndarray) -> np.ndarray:
+        behind = self.full + np.searchsorted(self.tail, position, side="right") - 1
+        return np.where(position < self.tail[0], position // self.capacity, behind)
+
+
+def pieces_of(packets: pa.ListArray, sequences: Sequences) -> tuple[np.ndarray, ...]:
+    """``(row, start, sequence, offset, length)`` of the pieces of some documents' packets.
+
+    Packets that follow each other in the document and in the stream are one piece, which ends
+    where a sequence does.
+    """
+    flat = packets.flatten()
+    start, length, position = (flat.field(k).to_numpy() for k in range(3))
+    row = np.repeat(np.arange(len(packets)), packets.value_lengths().to_numpy())
+    follows = (row[1:] == row[:-1]) & (start[1:] == start[:-1] + length[:-1])
+    follows &= position[1:] == position[:-1] + length[:-1]
+    first = np.flatnonzero(np.r_[True, ~follows][: len(row)])
+    row, start, position = row[first], start[first], position[first]
+    end = position + (np.add.reduceat(length, first) if len(first) else length)
+    low, high = sequences.number(position), sequences.number(end - 1)
+    which = np.repeat(np.arange(len(row)), high - low + 1)
+    number = np.arange(len(which)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1) - low,
+                                               high - low + 1)
+    begin = sequences.begin(number)
+    a = np.maximum(position[which], begin)
+    b = np.minimum(end[which], sequences.begin(number + 1))
+    return row[which], start[which] + a - position[which], number, a - begin, b - a
 
 
 def pack(
@@ -264,4 +296,5 @@ def pack(
     ``weights(source, weight)`` sets other shares than those of the tokens that the sources have.
     Repeated documents are packed as often as they come; of an empty table there is no piece.
     """
-    return place(stored(encoded(docs, tokenizer, end_id), "mixture-ids"), capacity, packet, weights)
+    cut = stored(encoded(docs, tokenizer, end_id), "mixture-ids")
+    return place(cut, capacity, packet, weights, id_type(tokenizer, end_id))
