@@ -84,6 +84,14 @@ def row_bytes(df: DataFrame) -> int:
     return fixed + sum(v or 0 for v in longest)
 
 
+def unused(base: str, *sides: DataFrame) -> str:
+    """A column name that none of the tables has, in any case."""
+    taken = {c.lower() for side in sides for c in side.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def lookup(
     facts: DataFrame, small: DataFrame, key: str, how: str = "left", salts: int = 32
 ) -> DataFrame:
@@ -93,17 +101,18 @@ def lookup(
     otherwise its rows are repeated over ``salts`` salts and both sides are shuffled, so that a key
     with a third of all facts meets in ``salts`` tasks. Both ways give the same rows.
     """
-    right = small.withColumnRenamed(key, "_key")
-    same = facts[key].eqNullSafe(F.col("_key"))
+    its_key, salt, other = (unused(n, facts, small) for n in ("_key", "_salt", "_right"))
+    right = small.withColumnRenamed(key, its_key)
+    same = facts[key].eqNullSafe(F.col(its_key))
     if small.count() * row_bytes(small) <= BROADCAST_BYTES:
-        return facts.join(F.broadcast(right), same, how).drop("_key")
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)))
-    right = right.withColumn("_right", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return facts.join(F.broadcast(right), same, how).drop(its_key)
+    salted = facts.withColumn(salt, F.pmod(F.xxhash64(*facts.columns), F.lit(salts)))
+    right = right.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(
         right,
-        salted[key].eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_right")),
+        salted[key].eqNullSafe(F.col(its_key)) & (F.col(salt) == F.col(other)),
         how,
-    ).drop("_key", "_salt", "_right")
+    ).drop(its_key, salt, other)
 
 
 def tidy(run):

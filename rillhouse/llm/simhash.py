@@ -7,11 +7,11 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
-from rillhouse.llm.common import components, stored, tidy
+from rillhouse.llm.common import components, stored, tidy, unused
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -29,18 +29,21 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(most, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of whole texts; null and blank texts have fingerprint zero."""
+def fingerprints(docs: DataFrame, shingle: int = 3, *keep: str) -> DataFrame:
+    """``(doc_id, fp)`` of whole texts, and further long columns; null and blank texts have
+    fingerprint zero."""
 
     def run(batches):
         for batch in batches:
             marks = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(marks, pa.int64())], ["doc_id", "fp"]
+                [batch.column("doc_id"), pa.array(marks, pa.int64()), *map(batch.column, keep)],
+                ["doc_id", "fp", *keep],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(tidy(run), "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
+    schema = ", ".join(["doc_id long", "fp long", *[f"`{c}` long" for c in keep]])
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def close_pairs(marks: DataFrame, max_bits: int = 2) -> DataFrame:
@@ -76,14 +79,9 @@ def close_pairs(marks: DataFrame, max_bits: int = 2) -> DataFrame:
     return met.select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """``(doc_id, fp, component_id)`` per row of ``docs``, repeats and nulls included.
-
-    Equal fingerprints are one class from the start, so thousands of copies never meet in pairs.
-    The component is named by its smallest id; a group whose ids are all null has a null name.
-    Null, empty and blank texts share fingerprint zero and link like any other.
-    """
-    marked = stored(fingerprints(docs, shingle), "simhash-marks")
+def groups(marked: DataFrame, max_bits: int) -> DataFrame:
+    """``(fp, root, component_id)`` of stored ``marked(doc_id, fp)``: its group's own fingerprint and
+    smallest id. Equal fingerprints are one class, so thousands of copies never meet in pairs."""
     classes = stored(
         marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes"
     )
@@ -91,38 +89,45 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     rooted = linked.join(classes, linked.node == classes.fp).select("fp", "root", "first")
     named = rooted.join(
         rooted.groupBy("root").agg(F.min("first").alias("smallest")), "root"
-    ).select("fp", "smallest")
-    names = classes.join(named, "fp", "left").select(
-        "fp", F.coalesce("smallest", "first").alias("component_id")
+    ).select("fp", "root", "smallest")
+    return classes.join(named, "fp", "left").select(
+        "fp",
+        F.coalesce("root", "fp").alias("root"),
+        F.coalesce("smallest", "first").alias("component_id"),
     )
-    return marked.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """One document of each group: the one with the smallest id, once.
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``(doc_id, fp, component_id)`` per row of ``docs``, repeats and nulls included.
 
-    Rows without an id stay one by fingerprint, unless their group has a row with an id.
+    The component is named by its smallest id; a group whose ids are all null has a null name.
+    Null, empty and blank texts share fingerprint zero and link like any other.
     """
-    marked = near_duplicates(docs, shingle, max_bits)
-    kept = stored(
-        marked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("fp"))
-        .distinct(),
-        "simhash-kept",
-    )
-    known = docs.where("doc_id is not null")
-    stay = known.join(kept.where("doc_id is not null").select("doc_id"), "doc_id", "left_semi")
-    out = stay.dropDuplicates(["doc_id"]).select(*docs.columns)
-    unknown = kept.where("doc_id is null").select("fp")
-    if unknown.isEmpty():
-        return out
+    marked = stored(fingerprints(docs, shingle), "simhash-marks")
+    return marked.join(groups(marked, max_bits), "fp").select("doc_id", "fp", "component_id")
 
-    def run(batches):
-        for batch in batches:
-            marks = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
-            yield batch.append_column("_fp", pa.array(marks, pa.int64()))
 
-    schema = StructType([*docs.schema.fields, StructField("_fp", LongType())])
-    nameless = docs.where("doc_id is null").mapInArrow(tidy(run), schema)
-    more = nameless.join(unknown.withColumnRenamed("fp", "_fp"), "_fp", "left_semi")
-    return out.unionByName(more.dropDuplicates(["_fp"]).select(*docs.columns))
+def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """One document of each group: the one with the smallest id.
+
+    Rows that share an id are documents of their own, each in the group of its text. Of several
+    rows with a group's smallest id the one with the smallest fingerprint stays, then by a hash of
+    its text, then of its other columns; ids that are null come last.
+    """
+    text, order = unused("text_hash", docs), unused("row_order", docs)
+    hashed = F.xxhash64("text")
+    marked = stored(fingerprints(docs.withColumn(text, hashed), shingle, text), "simhash-marks")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp", text)).alias("first")
+    rooted = marked.join(groups(marked.select("doc_id", "fp"), max_bits), "fp")
+    kept = rooted.groupBy("root").agg(first).select(
+        F.col("first.doc_id").alias("kept_id"), F.col(f"first.{text}").alias("kept_text")
+    )
+    kept = stored(kept, "simhash-kept")
+    rows = docs.withColumn(text, hashed)
+    same = rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (
+        rows[text] == kept["kept_text"]
+    )
+    stay = rows.join(kept, same, "left_semi")
+    repeats = W.partitionBy("doc_id", text).orderBy(F.xxhash64(*docs.columns))
+    one = stay.withColumn(order, F.row_number().over(repeats)).where(F.col(order) == 1)
+    return one.select(*docs.columns)

@@ -49,3 +49,21 @@ def test_lookup_either_way(spark, monkeypatch, limit):
     small = common.stored(spark.createDataFrame([(None, 1), ("s1", 2)], "s string, v long"), "small")
     got = {(r.i, r.s, r.v) for r in common.lookup(facts, small, "s").collect()}
     assert got == {(k, None if k % 3 == 0 else f"s{k % 3}", {0: 1, 1: 2}.get(k % 3)) for k in range(50)}
+
+
+@pytest.mark.parametrize("limit", [-1, 1 << 20])
+def test_lookup_with_clashing_names(spark, monkeypatch, limit):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+    facts = spark.createDataFrame([(1, "s1", 5, 6)], "_KEY int, s string, _salt int, _right int")
+    small = common.stored(spark.createDataFrame([("s1", 2, 9)], "s string, v int, _key_ int"), "small")
+    got = common.lookup(facts, small, "s").select("_KEY", "_salt", "_right", "v", "_key_")
+    assert [tuple(r) for r in got.collect()] == [(1, 5, 6, 2, 9)]
+
+
+def test_arrow_rows_are_given_back(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError), common.arrow_rows(spark, 3):
+        assert spark.conf.get(name) == "3"
+        raise ValueError
+    assert spark.conf.get(name) == before

@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from rillhouse.llm import mixing, queries, simhash
@@ -79,6 +80,15 @@ def test_one_of_each_group_stays(spark, documents):
     assert [t for i, t in kept if not i] == ["alone here it is"]
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_rows_of_one_id_are_documents_of_their_own(spark, documents, parts):
+    a, b = "alpha beta gamma delta epsilon", "one two three four five six seven"
+    rows = [(1, a), (2, a), (2, b), (3, b), (3, b), (None, "zeta eta theta"), (None, "zeta eta theta")]
+    docs = documents(rows).withColumn("text_hash", F.lit(7)).repartition(parts)
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_first(docs).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (None, "zeta eta theta")], key=str)
+
+
 MIX = [
     (1, "a b c", "s1"), (2, "a " * 700, "s2"), (3, None, "s3"), (4, "", "s3"), (5, "x y", None),
     (6, "q " * 40, ""), (None, "no id here", "s1"), (None, None, None), (2, "a " * 700, "s2"),
