@@ -17,6 +17,8 @@ from rillhouse.llm.vectors import (
 PROBED, BLOCK, WIDTH = 0.8, 8, 2.1
 #: Index rows that one group holds at most, about.
 PER_GROUP = 4096
+#: Pairs of a query and a row that are compared at once.
+PAIRS = 1 << 19
 
 
 def rotation(dims: int, seed: int = 11) -> np.ndarray:
@@ -26,31 +28,40 @@ def rotation(dims: int, seed: int = 11) -> np.ndarray:
 
 
 def scan(blocks: list[np.ndarray], query: np.ndarray, k: int, width: float = WIDTH) -> np.ndarray:
-    """Rows that may be among the ``k`` nearest to ``query``, from column ``blocks``.
+    """Rows that may be among the ``k`` nearest to ``query``, from column ``blocks``."""
+    return scan_all(blocks, query[None], k, width)[1]
 
-    The ``k``-th distance over the first rows is the bar. After each block of dimensions a row's
-    partial squared distance, scaled to all dimensions, is tested against the bar: if it is larger
-    by more than chance allows at this many dimensions, the row is abandoned.
+
+def scan_all(
+    blocks: list[np.ndarray], queries: np.ndarray, k: int, width: float = WIDTH
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a query and a row that may be among its ``k`` nearest, from column ``blocks``.
+
+    A query's ``k``-th distance over the first rows is its bar. After each block of dimensions a
+    pair's partial squared distance, scaled to all dimensions, is tested against the bar: if it is
+    larger by more than chance allows at this many dimensions, the pair is abandoned. Many pairs are
+    compared as a product of matrices, the few that are left one by one.
     """
-    n, dims = len(blocks[0]), len(query)
+    n, dims = len(blocks[0]), queries.shape[1]
+    ends = np.cumsum([b.shape[1] for b in blocks])
+    asked = np.split(queries, ends[:-1], axis=1)
     first = min(n, max(8 * k, 64))
-    full, at = np.zeros(first), 0
-    for block in blocks:
-        part = block[:first] - query[at : at + block.shape[1]]
-        full += (part * part).sum(axis=1)
-        at += block.shape[1]
+    q, r = (v.ravel() for v in np.indices((len(queries), n)))
     if first <= k:
-        return np.arange(n)
-    bar = np.partition(full, k - 1)[k - 1]
-    alive, partial, at = np.arange(n), np.zeros(n), 0
-    for block in blocks:
-        part = block[alive] - query[at : at + block.shape[1]]
-        partial = partial + (part * part).sum(axis=1)
-        at += block.shape[1]
+        return q, r
+    full = sum(squared(a, b[:first]) for a, b in zip(asked, blocks, strict=True))
+    bar = np.partition(full, k - 1, axis=1)[:, k - 1]
+    partial = np.zeros(len(q))
+    for a, block, at in zip(asked, blocks, ends.tolist(), strict=True):
+        if 8 * len(q) > len(queries) * n:
+            partial = partial + squared(a, block)[q, r]
+        else:
+            part = block[r] - a[q]
+            partial = partial + (part * part).sum(axis=1)
         slack = (1 + width / np.sqrt(at)) ** 2 if at < dims else 1 + 1e-9
-        stay = partial <= bar * (at / dims) * slack + 1e-12
-        alive, partial = alive[stay], partial[stay]
-    return alive
+        stay = partial <= (bar * (at / dims) * slack)[q] + 1e-12
+        q, r, partial = q[stay], r[stay], partial[stay]
+    return q, r
 
 
 def probes(vectors: np.ndarray, centres: np.ndarray, sizes: np.ndarray, k: int, share: float):
@@ -128,12 +139,18 @@ def search(
             blocks = [np.ascontiguousarray(turned[:, a : a + BLOCK]) for a in edges]
             asked_raw = matrix(queries["vector"])
             asked_turned = units(asked_raw) @ turn
-            for q, query_id in enumerate(queries["vec_id"].to_numpy()):
-                rows = scan(blocks, asked_turned[q], k + 1)
-                rows = rows[own[rows] != query_id]
-                score = cosines(raw[rows], np.broadcast_to(asked_raw[q], raw[rows].shape))
-                best = np.lexsort((own[rows], -score))[:k]
-                found.append((np.full(len(best), query_id), own[rows][best], score[best]))
+            asked_ids = queries["vec_id"].to_numpy()
+            step = max(1, PAIRS // len(own))
+            for at in range(0, len(asked_ids), step):
+                q, r = scan_all(blocks, asked_turned[at : at + step], k + 1)
+                q = q + at
+                other = own[r] != asked_ids[q]
+                q, r = q[other], r[other]
+                score = cosines(raw[r], asked_raw[q])
+                order = np.lexsort((own[r], -score, q))
+                q, r, score = q[order], r[order], score[order]
+                best = np.arange(len(q)) - np.searchsorted(q, q) < k
+                found.append((asked_ids[q][best], own[r][best], score[best]))
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [[], [], []]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 
