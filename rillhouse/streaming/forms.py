@@ -185,52 +185,47 @@ def entry_pattern_timed(
     keep: list[str],
     lateness: timedelta = PATTERN_LATENESS,
     cell: timedelta | None = None,
+    buckets: int = 256,
 ) -> DataFrame:
     """The same by event-time timers, for results within the horizon instead of within a window.
 
-    Each record makes calls from a Python worker to the state store, which is many times slower
-    than the windowed form.
+    Calls from a Python worker to the state store are many times slower than the windowed form, so
+    keys share ``buckets``: calls are made for the records of a bucket and not for each record.
 
-    State is kept per key and time cell, and each cell also sees the first ``horizon`` of the next
+    State is kept per bucket and time cell, and each cell also sees the first ``horizon`` of the next
     one, as in the batch form: a hot key is spread and a finished cell leaves no state.
     """
     cell = cell or max(16 * horizon, DAY)
     own = time_cell(ts, cell)
     early = F.unix_micros(ts) - own < micros(horizon)
-    rows = (
-        watermarked(df, ts, lateness)
-        .select(
-            *[F.col(c).alias(c) for c in dict.fromkeys([key, *keep, ts])],
-            F.unix_micros(ts).alias("__us"),
-            F.col(tie).cast("long").alias("__tie"),
-            F.coalesce(entry, F.lit(False)).alias("__entry"),
-            own.alias("__own"),
-            early.alias("__early"),
-        )
-        .withColumn(
-            "__cell",
-            F.explode(
-                F.when(
-                    F.col("__early"), F.array(F.col("__own"), F.col("__own") - micros(cell))
-                ).otherwise(F.array(F.col("__own")))
-            ),
-        )
-        .withColumn("__mine", F.col("__own") == F.col("__cell"))
-        .drop("__own", "__early")
+    mine = F.col("__own") == F.col("__cell")
+    rows = watermarked(df, ts, lateness).select(
+        "*", F.coalesce(entry, F.lit(False)).alias("__entry"), own.alias("__own"),
+        early.alias("__early"),
     )
-    kept = T.StructType([df.schema[c] for c in keep])
-    state = (
-        T.StructType()
-        .add("us", T.LongType())
-        .add("tie", T.LongType())
-        .add("entry", T.BooleanType())
-        .add("mine", T.BooleanType())
+    rows = rows.withColumn(
+        "__cell",
+        F.explode(
+            F.when(
+                F.col("__early"), F.array(F.col("__own"), F.col("__own") - micros(cell))
+            ).otherwise(F.array(F.col("__own")))
+        ),
+    )
+    lead = [F.pmod(F.xxhash64(key), F.lit(buckets)).alias("__bucket"), F.col("__cell"), F.col(ts)]
+    rows = rows.select(
+        *lead,
+        F.unix_micros(ts).alias("__us"),
+        F.col(tie).cast("long").alias("__tie"),
+        "__entry",
+        mine.alias("__mine"),
+        F.col(key).alias("__key"),
+        # only entries of this cell are given out
+        *[F.when(F.col("__entry") & mine, F.col(c)).alias(f"__c{i}") for i, c in enumerate(keep)],
     )
-    for i, f in enumerate(kept.fields):
-        state = state.add(f"c{i}", f.dataType)
+    kept = T.StructType([df.schema[c] for c in keep])
     out = T.StructType(list(kept.fields)).add("how", T.StringType())
-    return rows.groupBy(key, "__cell").transformWithState(
-        statefulProcessor=processors.EntryPattern(list(keep), state, micros(horizon)),
+    return rows.groupBy("__bucket", "__cell").transformWithState(
+        statefulProcessor=processors.EntryPattern(list(keep), len(lead), micros(horizon)),
         outputStructType=out,
         outputMode="Append",
         timeMode="EventTime",

@@ -7,6 +7,7 @@ trigger. None of them keeps records longer than its result needs.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 from pyspark.sql import Row
@@ -84,60 +85,71 @@ class Running(StatefulProcessor):
 class EntryPattern(StatefulProcessor):
     """Entry records left without a following non-entry record within the horizon.
 
-    Waiting records are kept until the watermark has passed the successor, or the horizon where
-    there is none; then they are decided and dropped. One timer per key is enough: it is set to
-    the next moment at which a decision can fall.
+    One processor sees the records of many keys, so that calls to the state store are made for a
+    bucket of keys and not for a record. Waiting records are kept, as one value, until the watermark
+    has passed the successor, or the horizon where there is none; then they are decided and dropped.
+    One timer per bucket is enough: it is set to the next moment at which a decision can fall.
     """
 
-    def __init__(self, columns: list[str], state_fields: str, horizon_us: int):
-        self.columns, self.state_fields, self.horizon_us = columns, state_fields, horizon_us
+    def __init__(self, columns: list[str], lead: int, horizon_us: int):
+        # records have ``lead`` other columns before their time, tie-break, entry, whether the record
+        # belongs to this cell, key, and the columns
+        self.columns, self.lead, self.horizon_us = columns, lead, horizon_us
 
     def init(self, handle) -> None:
         self.handle = handle
-        # Fixed leading fields: time, tie-break, entry, whether the record belongs to this cell.
-        self.waiting = handle.getListState("waiting", self.state_fields)
+        self.waiting = handle.getValueState("waiting", "records BINARY")
+
+    def _held(self) -> list[tuple]:
+        return pickle.loads(self.waiting.get()[0]) if self.waiting.exists() else []
+
+    def _keep(self, records: list[tuple], due_us: int, timerValues) -> None:
+        self.waiting.update((pickle.dumps(records),))
+        self.handle.registerTimer(max(due_us // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        fresh = [
-            (r["__us"], r["__tie"], r["__entry"], r["__mine"], *(r[c] for c in self.columns))
-            for r in rows
-            if r["__us"] is not None  # no place in time, no pattern
-        ]
+        fresh = [tuple(r)[self.lead :] for r in rows]
+        fresh = [r for r in fresh if r[0] is not None]  # no place in time, no pattern
         if not fresh:
             return
-        self.waiting.appendList(fresh)
         # The first decision can fall just after the earliest record.
-        due = min(r[0] for r in fresh) // 1000 + 1
-        self.handle.registerTimer(max(due, timerValues.getCurrentWatermarkInMs() + 1))
+        self._keep(self._held() + fresh, min(r[0] for r in fresh), timerValues)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         mark_us = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted(self.waiting.get(), key=lambda r: (r[0], r[1] is not None, r[1] or 0))
-        keep_from = len(waiting)
-        for i, row in enumerate(waiting):
-            after = waiting[i + 1] if i + 1 < len(waiting) else None
-            deadline = row[0] + self.horizon_us
-            if after is not None and after[0] < deadline:
-                if after[0] > mark_us:
+        by_key: dict = {}
+        for row in self._held():
+            plain = row[4] is None or isinstance(row[4], str | int)
+            by_key.setdefault(row[4] if plain else repr(row[4]), []).append(row)
+        rest, due = [], []
+        for own in by_key.values():
+            own.sort(key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+            keep_from = len(own)
+            for i, row in enumerate(own):
+                after = own[i + 1] if i + 1 < len(own) else None
+                deadline = row[0] + self.horizon_us
+                if after is not None and after[0] < deadline:
+                    if after[0] > mark_us:
+                        keep_from = i
+                        break
+                    how = "match" if after[2] else None
+                elif deadline > mark_us:
                     keep_from = i
                     break
-                how = "match" if after[2] else None
-            elif deadline > mark_us:
-                keep_from = i
-                break
-            else:
-                how = "timeout"
-            if how and row[2] and row[3]:
-                yield Row(**dict(zip(self.columns, row[4:])), how=how)
-        rest = waiting[keep_from:]
-        if not rest:
+                else:
+                    how = "timeout"
+                if how and row[2] and row[3]:
+                    yield Row(**dict(zip(self.columns, row[5:])), how=how)
+            if keep_from < len(own):
+                follower = own[keep_from + 1][0] if keep_from + 1 < len(own) else None
+                deadline = own[keep_from][0] + self.horizon_us
+                due.append(deadline if follower is None else min(follower, deadline))
+                rest += own[keep_from:]
+        if rest:
+            self._keep(rest, min(due), timerValues)
+        else:
             self.waiting.clear()
-            return
-        self.waiting.put(rest)
-        follower = rest[1][0] if len(rest) > 1 else rest[0][0] + self.horizon_us
-        due = min(follower, rest[0][0] + self.horizon_us) // 1000 + 1
-        self.handle.registerTimer(max(due, timerValues.getCurrentWatermarkInMs() + 1))
 
     def close(self) -> None:
         pass
