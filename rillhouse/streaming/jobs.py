@@ -53,7 +53,8 @@ from rillhouse.sources.writers import (
     write_batch_topics,
 )
 from rillhouse.streaming import forms
-from rillhouse.streaming.run import for_each_batch
+from rillhouse.streaming.held import Held, watermark
+from rillhouse.streaming.run import adaptive, for_each_batch
 
 # Snapshots are folded after this many batches.
 COMPACT_EVERY = 50
@@ -446,6 +447,127 @@ def late_rows_job(
     return for_each_batch(rows, work, checkpoint)
 
 
+def interval_job(
+    left: DataFrame,
+    right: DataFrame,
+    left_ts: str,
+    right_ts: str,
+    lower: timedelta,
+    upper: timedelta,
+    pairs: Callable[[DataFrame, DataFrame], DataFrame],
+    write: Callable[[DataFrame, int], None],
+    held: str,
+    checkpoint: str,
+    lateness: timedelta = timedelta(0),
+) -> DataStreamWriter:
+    """Two streams joined in time, as two watermarked streams are by the engine.
+
+    ``pairs`` joins rows of both sides, by an interval within ``lower`` and ``upper``, and may go on
+    with what it finds. It gets the batch's rows with all that can meet them: those of the batch and
+    those that earlier ones left in ``held``. Of a batch, only rows stay there that a row still to
+    come may meet, where the engine's join puts every row into its state and takes it out again.
+
+    The watermark is the least of both sides' latest times in earlier batches, less ``lateness``.
+    Rows at or behind it are late and dropped, rows without a time meet nothing. A batch is read
+    several times, so its source must give it again, as those that can be replayed do.
+    """
+    store, late = Held(held), micros(lateness)
+    one, two = (
+        df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
+        for df, name in ((left, "__l"), (right, "__r"))
+    )
+    both = one.withColumn("__r", F.lit(None).cast(two.schema[0].dataType)).unionByName(
+        two.withColumn("__l", F.lit(None).cast(one.schema[0].dataType))
+    )
+    # a row has one side, so of these times and tests one is null; how late a partner may be
+    at = [F.unix_micros(F.col(f"__l.`{left_ts}`")), F.unix_micros(F.col(f"__r.`{right_ts}`"))]
+    reach = [micros(upper), -micros(lower)]
+
+    def waiting(mark: int | None) -> Column:
+        if mark is None:
+            return at[0].isNotNull() | at[1].isNotNull()
+        return (at[0] + reach[0] > mark) | (at[1] + reach[1] > mark)
+
+    def sides(rows: DataFrame) -> list[DataFrame]:
+        return [rows.where(f"{side} is not null").select(f"{side}.*") for side in ("__l", "__r")]
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        spark = adaptive(batch)
+        before = store.before(spark, batch_id, 2)
+        old = watermark(before.latest, late)
+        tops = batch.agg(*[F.max(t) for t in at]).first()
+        latest = before.after(tops)
+        mark = watermark(latest, late)
+        fresh = batch.where(at[0].isNotNull() | at[1].isNotNull())
+        if old is not None:
+            fresh = fresh.where((at[0] > old) | (at[1] > old))
+        here = sides(fresh)
+        earlier = store.read(spark, both.schema, before.kept)
+        if earlier is None:
+            found = pairs(*here)
+        else:
+            kept = sides(earlier.where(waiting(old)))
+            found = pairs(here[0], here[1].unionByName(kept[1])).unionByName(
+                pairs(kept[0], here[1])
+            )
+        write(found, batch_id)
+        ends = [t + r for t, r in zip(tops, reach, strict=True) if t is not None]
+        until = max(ends, default=None)
+        if until is not None and (mark is None or until > mark):
+            store.keep(fresh.where(waiting(mark)), batch_id)
+        else:
+            until = None
+        store.note(spark, batch_id, before, latest, until, mark)
+
+    return for_each_batch(both, work, checkpoint)
+
+
+def closed_windows_job(
+    rows: DataFrame,
+    ts: str,
+    width: timedelta,
+    lateness: timedelta,
+    write: Callable[[DataFrame, int], None],
+    held: str,
+    checkpoint: str,
+) -> DataStreamWriter:
+    """The records of windows of ``width``, each window's all at once when the watermark closes it.
+
+    ``write`` can therefore apply any batch aggregate by window. A window is closed by the batch that
+    moves the latest time less ``lateness`` to its end or beyond; what comes later for it is late and
+    dropped, and so are records without a time. Records of open windows lie in ``held``; a batch that
+    closes no window reads none of them. A batch is read several times, so its source must give it
+    again, as those that can be replayed do.
+    """
+    store, late, span = Held(held), micros(lateness), micros(width)
+    end = time_cell(ts, width) + F.lit(span)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        spark = adaptive(batch)
+        before = store.before(spark, batch_id)
+        old = watermark(before.latest, late)
+        top = batch.agg(F.max(F.unix_micros(ts))).first()[0]
+        latest = before.after([top])
+        mark = watermark(latest, late)
+        fresh = batch.where(F.col(ts).isNotNull())
+        if old is not None:
+            fresh = fresh.where(end > old)
+        closed = fresh.where(F.lit(False) if mark is None else end <= mark)
+        if old is not None and mark // span > old // span:
+            earlier = store.read(spark, rows.schema, before.kept)
+            if earlier is not None:
+                closed = closed.unionByName(earlier.where((end > old) & (end <= mark)))
+        write(closed, batch_id)
+        until = None if top is None else top - top % span + span
+        if until is not None and until > mark:
+            store.keep(fresh.where(end > mark), batch_id)
+        else:
+            until = None
+        store.note(spark, batch_id, before, latest, until, mark)
+
+    return for_each_batch(rows, work, checkpoint)
+
+
 def lookup_job(
     facts: DataFrame,
     path: str,

@@ -37,6 +37,14 @@ def for_each_batch(
     )
 
 
+def adaptive(batch: DataFrame) -> SparkSession:
+    """The session of a micro-batch whose stream has no state in the engine: its plans may adapt, as
+    no number of partitions is frozen."""
+    session = batch.sparkSession
+    session.conf.set("spark.sql.adaptive.enabled", "true")
+    return session
+
+
 def drain(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Run an append-mode stream over its present input and give what it wrote.
 
