@@ -66,11 +66,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """The rows written to the shared folder and read again: lineage ends here."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -85,7 +85,8 @@ def blocked(docs: DataFrame, size: int) -> DataFrame:
 
     added = [StructField("_block", LongType()), StructField("_row", LongType())]
     schema = StructType([*docs.schema.fields, *added])
-    return stored(docs.mapInArrow(tidy(run), schema), "lm-blocks")
+    # the copy of the texts lies there to the end
+    return stored(docs.mapInArrow(tidy(run), schema), "lm-blocks", "zstd")
 
 
 def shared_counts(docs: DataFrame, shards: int) -> DataFrame:
@@ -169,7 +170,7 @@ def shared_counts(docs: DataFrame, shards: int) -> DataFrame:
         "block long, row long, shard int, target binary, background binary, words long, "
         "n_target long, n_background long",
     )
-    return stored(added, "lm-counts")
+    return stored(added, "lm-counts", "zstd")
 
 
 def log_probabilities(word, first, pair, total: int, words: int) -> np.ndarray:
