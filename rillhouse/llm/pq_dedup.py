@@ -2,8 +2,8 @@
 
 Vectors lie in coarse inverted lists; of each, the difference to its list's centre is kept as a few
 one-byte codes of subspaces, and the length of the error that the codes leave. A query is compared
-with the codes by sums of table entries; what may be near enough, given the error, is compared
-exactly.
+with the codes by sums of table entries over half of the subspaces; the other half is added where
+that sum is not too much already. What may be near enough, given the error, is compared exactly.
 """
 
 from __future__ import annotations
@@ -16,13 +16,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse.llm.common import components, stored
-from rillhouse.llm.vectors import (
-    cluster, cosines, list_count, matrix, sampled, squared, units, usable,
-)
+from rillhouse.llm.vectors import cluster, matrix, sampled, squared, units, usable
 
 SUBSPACES, CODES = 16, 256
-#: Index rows, and queries, that one group holds at most, about.
+#: Index rows that one group holds at most, about, and queries that it compares with them at once.
 PER_GROUP = 2048
+#: A group holds so many times these queries.
+TURNS = 4
+#: Queries whose tables are made together: with 256 code words, they stay in a core's cache.
+TABLES = 256
+#: Numbers that pairs compared at once have on either side, at most.
+NUMBERS = 1 << 22
+#: More lists than these are not made, as every vector is compared with all centres.
+MOST_LISTS = 4096
+#: What rounding to 32 bits may change of a sum, which is 16 at most, with each term that it adds.
+ROUNDING = 16 * 2.0**-24
 
 
 @dataclass
@@ -53,13 +61,54 @@ class Quantizer:
             error += (gone * gone).sum(axis=1)
         return codes, np.sqrt(error)
 
+    def summed(self, rest: np.ndarray, codes: np.ndarray, some: int) -> np.ndarray:
+        """Squared distances of coded vectors (down) to what remains of queries (across).
+
+        Over the first ``some`` subspaces, by lookup in tables of a row for each code word. A table
+        is one product: the words, their squares and 1 times -2 rests, 1 and the rests' squares.
+        """
+        total = np.zeros((len(codes), len(rest)), rest.dtype)
+        entries = np.empty_like(total)
+        for m, (a, b) in enumerate(zip(self.edges[:some], self.edges[1:], strict=False)):
+            w, r = self.words[m].astype(rest.dtype), rest[:, a:b]
+            left = np.column_stack([w, (w * w).sum(axis=1), np.ones_like(w[:, 0])])
+            right = np.column_stack([-2 * r, np.ones_like(r[:, 0]), (r * r).sum(axis=1)])
+            pick = codes[:, m].astype(np.intp)
+            total += np.take(left @ right.T, pick, axis=0, out=entries, mode="clip")
+        return total
+
     def distances(self, queries: np.ndarray, one: int, codes: np.ndarray) -> np.ndarray:
         """Squared distances of queries to coded vectors of list ``one``, by table lookup."""
-        rest = queries - self.centres[one]
-        total = np.zeros((len(queries), len(codes)))
-        for m, (a, b) in enumerate(zip(self.edges, self.edges[1:], strict=False)):
-            total += squared(rest[:, a:b], self.words[m])[:, codes[:, m]]
-        return total
+        found = self.summed(queries - self.centres[one], codes, len(self.words))
+        return np.maximum(found.T, 0)
+
+    def within(
+        self, queries: np.ndarray, one: int, codes: np.ndarray, most: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a query and a coded vector of list ``one`` at most ``most[vector]`` apart.
+
+        Some pairs may be farther by what rounding adds, none that is near enough is left out. Half
+        of the subspaces are summed for all pairs, the others for those that may still be near.
+        """
+        terms = queries.shape[1] + 3 * SUBSPACES
+        limit = (most * most + terms * ROUNDING).astype(np.float32)
+        half = (len(self.words) + 1) // 2
+        cut = self.edges[half]
+        words = [w[codes[:, m]] for m, w in enumerate(self.words)][half:]
+        words = np.concatenate([np.empty((len(codes), 0)), *words], axis=1).astype(np.float32)
+        step = NUMBERS // queries.shape[1] + 1
+        found = [(np.empty(0, np.intp), np.empty(0, np.intp))]
+        for start in range(0, len(queries), TABLES):
+            rest = (queries[start : start + TABLES] - self.centres[one]).astype(np.float32)
+            total = self.summed(rest, codes, half)
+            left = np.flatnonzero(total <= limit[:, None])
+            for a in range(0, len(left), step):
+                j, i = np.divmod(left[a : a + step], len(rest))
+                gone = rest[i, cut:] - words[j]
+                near = total[j, i] + (gone * gone).sum(axis=1) <= limit[j]
+                found.append((i[near] + start, j[near]))
+        i, j = zip(*found, strict=True)
+        return np.concatenate(i), np.concatenate(j)
 
     def probes(self, vectors: np.ndarray, reach: float) -> list[np.ndarray]:
         """Per vector its own list, and those whose border is within ``reach`` of it.
@@ -75,17 +124,16 @@ class Quantizer:
         return [np.flatnonzero(row) for row in near]
 
 
-def local_roots(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least label in each component of a two-sided graph, of its rows and of its columns.
+def local_roots(i: np.ndarray, j: np.ndarray, q: int, x: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least label in each component of a two-sided graph, of its ``q`` rows and ``x`` columns.
 
-    Rows have labels from 0, columns from the number of rows on.
+    Links join row ``i`` with column ``j``. Rows have labels from 0, columns from ``q`` on.
     """
-    q, x = near.shape
-    none = q + x
     rows, cols = np.arange(q), np.arange(q, q + x)
     while True:
-        new_cols = np.minimum(cols, np.where(near, rows[:, None], none).min(axis=0, initial=none))
-        new_rows = np.minimum(rows, np.where(near, new_cols[None, :], none).min(axis=1, initial=none))
+        new_rows, new_cols = rows.copy(), cols.copy()
+        np.minimum.at(new_cols, j, rows[i])
+        np.minimum.at(new_rows, i, new_cols[j])
         if (new_rows == rows).all() and (new_cols == cols).all():
             return rows, cols
         rows, cols = new_rows, new_cols
@@ -96,8 +144,9 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, spread: float = 4.0
 
     Vectors link from a cosine of ``least`` on. Equal vectors are one class; classes are compared,
     and links counted by the size of classes. Within a group every pair is compared by codes: as a
-    code distance differs from the true one by the error's length at most, none is lost there. A
-    vector probes its own list and every list whose border is within ``spread`` standard
+    code distance differs from the true one by the error's length at most, none is lost there.
+    Lists hold about half of ``PER_GROUP`` vectors, however many there are in all: what is compared
+    and what is sent grow alike, each slower than with the square of the vectors. A vector probes its own list and every list whose border is within ``spread`` standard
     deviations of where a partner at the largest distance lies in a random direction; a pair is
     found if either probes the other's list. Groups send counts and one link per vector at most,
     however many pairs they hold.
@@ -116,7 +165,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, spread: float = 4.0
         none = "vec_id long, n_links long, component_id long"
         return _result(vectors, spark.createDataFrame([], none))
     sample = sampled(classes)
-    book = Quantizer.fit(sample, list_count(count))
+    book = Quantizer.fit(sample, min(MOST_LISTS, 1 + 2 * count // PER_GROUP))
     dims = sample.shape[1]
     far = float(np.sqrt(2 * (1 - least)))
     reach = min(far, spread * far / np.sqrt(dims))
@@ -124,10 +173,12 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, spread: float = 4.0
     def encode(frames):
         for frame in frames:
             if len(frame):
-                v = units(matrix(frame["vector"]))
+                given = matrix(frame["vector"])
+                v = units(given)
                 lists = squared(v, book.centres).argmin(axis=1)
                 codes, error = book.encode(v, lists)
                 yield frame.assign(
+                    vector=[row.tobytes() for row in given],
                     list=lists.astype(np.int32),
                     codes=[c.tobytes() for c in codes],
                     error=error,
@@ -137,8 +188,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, spread: float = 4.0
     coded = stored(
         classes.mapInPandas(
             encode,
-            "tie long, vector array<double>, first long, n long, list int, codes binary, "
-            "error double, probed array<int>",
+            "tie long, vector binary, first long, n long, list int, codes binary, error double, "
+            "probed array<int>",
         ),
         "pq-index",
     )
@@ -150,7 +201,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, spread: float = 4.0
     for r in asked.groupBy("list").count().collect():
         asks[r[0]] = r[1]
     parts = F.array(*[F.lit(int(p)) for p in sizes // PER_GROUP + 1])
-    turns = F.array(*[F.lit(int(p)) for p in asks // PER_GROUP + 1])
+    turns = F.array(*[F.lit(int(p)) for p in asks // (TURNS * PER_GROUP) + 1])
     item = F.hash("first", "tie")
     columns = ["first", "tie", "n", "vector", "list"]
     held = coded.select(
@@ -167,46 +218,47 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, spread: float = 4.0
     )
     names = ["first", "tie", "links", "root_first", "root_tie"]
 
+    def vectors_of(frame: pd.DataFrame) -> np.ndarray:
+        return units(np.frombuffer(b"".join(frame["vector"]), np.float64).reshape(len(frame), -1))
+
     def compare(key, index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        at = int(key[0])
+        at, lists = int(key[0]), len(book.centres)
+        none = pd.DataFrame({c: np.empty(0, np.int64) for c in names})
         if not len(index) or not len(queries):
-            return pd.DataFrame({c: np.empty(0, np.int64) for c in names})
+            return none
         index = index.sort_values(["first", "tie"], ignore_index=True)
         queries = queries.sort_values(["first", "tie"], ignore_index=True)
-        x, q = matrix(index["vector"]), matrix(queries["vector"])
+        x = vectors_of(index)
         codes = np.frombuffer(b"".join(index["codes"]), np.uint8).reshape(len(x), -1)
-        rough = np.sqrt(book.distances(units(q), at, codes))
-        close = rough - index["error"].to_numpy()[None, :] <= far + 1e-9
-        ids = [f[["first", "tie"]].to_numpy() for f in (queries, index)]
-        close &= (ids[0][:, None, :] != ids[1][None, :, :]).any(axis=2)
-        near = np.zeros_like(close)
-        i, j = np.nonzero(close)
-        for a in range(0, len(i), 50_000):
-            s = slice(a, a + 50_000)
-            near[i[s], j[s]] = cosines(q[i[s]], x[j[s]]) >= least
-        # the other side counts the pair itself if it probes this query's list
-        mutual = queries["list"].to_numpy() == at
-        lists = queries["list"].to_numpy()
-        away = np.unique(lists[~mutual])
-        probing = np.stack([np.isin(away, p) for p in index["probed"]]) if len(away) else None
-        n_q, n_x = queries["n"].to_numpy(), index["n"].to_numpy()
-        links_q = near @ n_x
-        links_x = np.zeros(len(x), dtype=np.int64)
-        if len(away):
-            both = np.zeros((len(q), len(x)), dtype=bool)
-            both[~mutual] = probing.T[np.searchsorted(away, lists[~mutual])]
-            alone = near & ~both
-            alone[mutual] = False
-            links_x = n_q @ alone
-        root_q, root_x = local_roots(near)
-        all_ids = np.concatenate(ids)
-        out = np.column_stack([
-            all_ids,
-            np.concatenate([links_q, links_x]),
-            all_ids[np.concatenate([root_q, root_x])],
-        ])
-        linked = (out[:, 2] > 0) | (out[:, :2] != out[:, 3:]).any(axis=1)
-        return pd.DataFrame(out[linked].astype(np.int64), columns=names)
+        most = far + 1e-9 + index["error"].to_numpy()
+        ids_x, n_x = index[["first", "tie"]].to_numpy(), index["n"].to_numpy()
+        probing = np.repeat(np.arange(len(x)), [len(p) for p in index["probed"]]) * lists
+        probing += np.concatenate(index["probed"].to_list())
+
+        def block(queries: pd.DataFrame) -> pd.DataFrame:
+            q = vectors_of(queries)
+            ids_q, n_q = queries[["first", "tie"]].to_numpy(), queries["n"].to_numpy()
+            i, j = book.within(q, at, codes, most)
+            near = (ids_q[i] != ids_x[j]).any(axis=1)
+            step = NUMBERS // x.shape[1] + 1
+            for a in range(0, len(i), step):
+                s = slice(a, a + step)
+                near[s] &= (q[i[s]] * x[j[s]]).sum(axis=1) >= least
+            i, j = i[near], j[near]
+            # the other side counts the pair itself if it probes this query's list
+            own = queries["list"].to_numpy()[i]
+            alone = (own != at) & ~np.isin(j * lists + own, probing)
+            links = np.zeros(len(q) + len(x), dtype=np.int64)
+            np.add.at(links, i, n_x[j])
+            np.add.at(links, len(q) + j[alone], n_q[i[alone]])
+            ids = np.concatenate([ids_q, ids_x])
+            roots = np.concatenate(local_roots(i, j, len(q), len(x)))
+            out = np.column_stack([ids, links, ids[roots]])
+            linked = (links > 0) | (out[:, :2] != out[:, 3:]).any(axis=1)
+            return pd.DataFrame(out[linked].astype(np.int64), columns=names)
+
+        cuts = range(0, len(queries), PER_GROUP)
+        return pd.concat([none, *[block(queries[a : a + PER_GROUP]) for a in cuts]])
 
     found = stored(
         held.groupBy("at", "part", "turn")

@@ -93,6 +93,41 @@ def test_codes_bound_distances():
         assert (np.abs(rough - true) <= error[held][None] + 1e-9).all()
 
 
+def test_no_near_pair_is_dropped_by_half_the_codes():
+    rng = np.random.default_rng(5)
+    v = rng.standard_normal((1500, 64))
+    v[1000:] = v[:500] + 0.15 * rng.standard_normal((500, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    book = pq_dedup.Quantizer.fit(v[:1200], 3)
+    lists = ((v[:, None] - book.centres[None]) ** 2).sum(2).argmin(1)
+    codes, error = book.encode(v, lists)
+    for one in range(len(book.centres)):
+        held = np.flatnonzero(lists == one)
+        i, j = book.within(v, one, codes[held], 0.3 + error[held])
+        rough = np.sqrt(book.distances(v, one, codes[held]))
+        kept = np.zeros_like(rough, dtype=bool)
+        kept[i, j] = True
+        assert len(i) == kept.sum()  # each pair once
+        assert (kept >= (rough <= 0.3 + error[held])).all()
+        assert (kept <= (rough <= 0.3 + error[held] + 1e-3)).all()
+        assert kept[np.linalg.norm(v[:, None] - v[held][None], axis=2) <= 0.3].all()
+        assert kept.sum() < 0.02 * kept.size
+
+
+def test_lists_keep_their_size_when_rows_grow(spark, monkeypatch):
+    asked = []
+    fit = pq_dedup.Quantizer.fit
+    monkeypatch.setattr(pq_dedup, "PER_GROUP", 40)
+    monkeypatch.setattr(
+        pq_dedup.Quantizer, "fit", lambda sample, lists: asked.append(lists) or fit(sample, lists)
+    )
+    for n in (200, 1000):
+        rows = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(n).standard_normal((n, 8)))]
+        got = pq_dedup.near_duplicates(table(spark, rows), spread=99.0).collect()
+        assert sorted(map(tuple, got)) == plain_groups(rows)
+    assert asked[1] >= 4 * asked[0]  # lists hold as many as before, not more with more rows
+
+
 def plain_search(rows, every, k=5):
     ids, unit = good(rows)
     out = {}
