@@ -84,6 +84,24 @@ def row_bytes(df: DataFrame) -> int:
     return fixed + sum(v or 0 for v in longest)
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """A side of a join that Spark sorts and never broadcasts.
+
+    Spark takes a table to be as large as its files, which are compressed, and does not count the
+    rows that an explode adds. What it broadcasts by that passes through the driver.
+    """
+    return side.hint("merge")
+
+
+def sized(side: DataFrame, n_bytes: int | None = None) -> DataFrame:
+    """A side of a join that is ``shuffled``, unless its bytes are within ``BROADCAST_BYTES``.
+
+    Without ``n_bytes``, ``side`` is measured and must be stored.
+    """
+    measured = side.count() * row_bytes(side) if n_bytes is None else n_bytes
+    return side if measured <= BROADCAST_BYTES else shuffled(side)
+
+
 def unused(base: str, *sides: DataFrame) -> str:
     """A column name that none of the tables has, in any case."""
     taken = {c.lower() for side in sides for c in side.columns}
@@ -150,31 +168,35 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     left = first.count()
     tasks = left // LINKS_PER_TASK + 1
     live, roots = first, None
+
+    def side(ends: DataFrame) -> DataFrame:
+        return sized(ends, 2 * left * row_bytes(ends))
+
     while left:
         both = live.union(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("up"))
         up = stored(up.coalesce(tasks), label)
         moved = True
         while moved:
-            two = up.join(up.toDF("up", "two"), "up")
-            up = stored(two.join(up.toDF("two", "three"), "two").select("node", "two", "three")
-                        .coalesce(tasks), label)
+            two = up.join(side(up.toDF("up", "two")), "up")
+            up = stored(two.join(side(up.toDF("two", "three")), "two")
+                        .select("node", "two", "three").coalesce(tasks), label)
             moved = not up.where("two <> three").isEmpty()
             up = up.select("node", F.col("three").alias("up"))
         live = stored(
-            live.join(up.toDF("a", "ra"), "a")
-            .join(up.toDF("b", "rb"), "b")
+            live.join(side(up.toDF("a", "ra")), "a")
+            .join(side(up.toDF("b", "rb")), "b")
             .where("ra <> rb")
             .select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
             .distinct()
             .coalesce(tasks),
             label,
         )
+        further = side(up.toDF("root", "next"))
         left = live.count()
         if roots is None:
             roots = up.toDF("node", "root")
         else:
-            further = up.toDF("root", "next")
             roots = roots.join(further, "root", "left").select(
                 "node", F.coalesce("next", "root").alias("root")
             )

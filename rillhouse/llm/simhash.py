@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from rillhouse.llm.common import components, stored, tidy, unused
+from rillhouse.llm.common import components, shuffled, sized, stored, tidy, unused
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -54,7 +54,8 @@ def close_pairs(marks: DataFrame, max_bits: int = 2) -> DataFrame:
     positions; pairs that meet are tallied byte by byte, kept from the guaranteed number of shared
     bytes on, and verified bit by bit. Postings by single bytes would hold 1/256 of all rows each;
     these leave ``8 * max_bits`` bits free, so a posting is never larger than 2^16 fingerprints at
-    two bits, however many copies the corpus holds.
+    two bits, however many copies the corpus holds. They are many times the fingerprints that Spark
+    sees in the files, so they must not be broadcast by that size.
     """
     least = 8 - max_bits
     masks = [sum(0xFF << 8 * p for p in chosen) for chosen in combinations(range(8), least)]
@@ -69,7 +70,7 @@ def close_pairs(marks: DataFrame, max_bits: int = 2) -> DataFrame:
         for p in range(8)
     )
     met = left.join(
-        right,
+        shuffled(right),
         (left.pos == right.pos)
         & (left.col == right.col)
         & (F.col("a") < F.col("b"))
@@ -86,7 +87,7 @@ def groups(marked: DataFrame, max_bits: int) -> DataFrame:
         marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes"
     )
     linked = components(close_pairs(classes.select("fp"), max_bits), "simhash-links")
-    rooted = linked.join(classes, linked.node == classes.fp).select("fp", "root", "first")
+    rooted = sized(linked).join(classes, linked.node == classes.fp).select("fp", "root", "first")
     named = rooted.join(
         rooted.groupBy("root").agg(F.min("first").alias("smallest")), "root"
     ).select("fp", "root", "smallest")
@@ -104,7 +105,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     Null, empty and blank texts share fingerprint zero and link like any other.
     """
     marked = stored(fingerprints(docs, shingle), "simhash-marks")
-    return marked.join(groups(marked, max_bits), "fp").select("doc_id", "fp", "component_id")
+    named = groups(marked, max_bits)
+    return sized(marked).join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
@@ -118,7 +120,7 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFram
     hashed = F.xxhash64("text")
     marked = stored(fingerprints(docs.withColumn(text, hashed), shingle, text), "simhash-marks")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp", text)).alias("first")
-    rooted = marked.join(groups(marked.select("doc_id", "fp"), max_bits), "fp")
+    rooted = sized(marked).join(groups(marked.select("doc_id", "fp"), max_bits), "fp")
     kept = rooted.groupBy("root").agg(first).select(
         F.col("first.doc_id").alias("kept_id"), F.col(f"first.{text}").alias("kept_text")
     )
@@ -127,7 +129,7 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFram
     same = rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (
         rows[text] == kept["kept_text"]
     )
-    stay = rows.join(kept, same, "left_semi")
+    stay = rows.join(sized(kept), same, "left_semi")
     repeats = W.partitionBy("doc_id", text).orderBy(F.xxhash64(*docs.columns))
     one = stay.withColumn(order, F.row_number().over(repeats)).where(F.col(order) == 1)
     return one.select(*docs.columns)
