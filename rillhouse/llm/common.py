@@ -66,11 +66,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
-    """The rows written to the shared folder and read again: lineage ends here."""
+def stored(
+    df: DataFrame, label: str, codec: str | None = None, group_bytes: int | None = None
+) -> DataFrame:
+    """The rows written to the shared folder and read again: lineage ends here.
+
+    Name ``group_bytes`` where rows are large: a reader holds up to 4,096 rows of a row group at once
+    and a page of 100 rows at least, unless row groups end at so many bytes and each row is looked at.
+    """
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path, compression=codec)
+    options = {}
+    if group_bytes is not None:
+        options = {"parquet.block.size": group_bytes, "parquet.page.size.row.check.min": 1}
+    df.write.options(**options).parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import arrow_rows, stored, tidy
+from rillhouse.llm.common import arrow_rows, row_bytes, sized, stored, tidy
 
 #: About so many bytes of text make up one block, within which equal n-grams are counted first.
 BLOCK_BYTES = 1 << 19
 #: Blocks that are sent to a worker at once.
 BATCH_BLOCKS = 8
+#: Blocks are stored in row groups of about so many bytes, of which a task holds one.
+GROUP_BYTES = 8 << 20
 #: The filter of frequent n-grams that is sent to the workers has 2^26 bits, which are 8 MB.
 FILTER_BITS = 26
 #: Bits of one native bitmap (a fixed value of the aggregate that builds them).
@@ -321,9 +323,9 @@ def scored(counts: DataFrame, words: DataFrame, longest: int = 5) -> DataFrame:
         F.array_join(F.slice("w", F.lit(1), F.col("k")), " ").alias("left"),
         F.array_join(F.slice("w", F.col("k") + 1, F.col("n") - F.col("k")), " ").alias("right"),
     )
-    part = counts.select("lang", "phrase", "f")
-    joined = cut.join(part.toDF("lang", "left", "l"), ["lang", "left"]).join(
-        part.toDF("lang", "right", "r"), ["lang", "right"]
+    part, size = counts.select("lang", "phrase", "f"), counts.count() * row_bytes(counts)
+    joined = cut.join(sized(part.toDF("lang", "left", "l"), size), ["lang", "left"]).join(
+        sized(part.toDF("lang", "right", "r"), size), ["lang", "right"]
     )
     whole = joined.join(words, "lang")
     # floor(floor(x / l) / r) is floor(x / (l * r)), and no product passes 38 digits
@@ -346,7 +348,7 @@ def scored(counts: DataFrame, words: DataFrame, longest: int = 5) -> DataFrame:
         .groupBy("lang", "phrase")
         .agg(F.max("g").alias("g"))
     )
-    kept = best.join(inner, ["lang", "phrase"], "left").where("g is null or g < a")
+    kept = best.join(sized(inner, size), ["lang", "phrase"], "left").where("g is null or g < a")
     return kept.select(
         "lang", "phrase", "a", "best.l", "best.r", F.col("total").alias("n"), "best.score"
     )
@@ -376,7 +378,7 @@ def mine(
     """
     spark = docs.sparkSession
     known = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    rows = stored(blocks(docs, block_bytes), "phrase-blocks")
+    rows = stored(blocks(docs, block_bytes), "phrase-blocks", group_bytes=GROUP_BYTES)
     with arrow_rows(spark, BATCH_BLOCKS):
         for lengths in (range(1, min(2, longest) + 1), range(3, longest + 1)):
             if lengths:
