@@ -135,8 +135,9 @@ def lookup(
         return facts.join(F.broadcast(right), same, how).drop(its_key)
     salted = facts.withColumn(salt, F.pmod(F.xxhash64(*facts.columns), F.lit(salts)))
     right = right.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # the copies of its rows are not in what Spark takes for its size
     return salted.join(
-        right,
+        shuffled(right),
         salted[key].eqNullSafe(F.col(its_key)) & (F.col(salt) == F.col(other)),
         how,
     ).drop(its_key, salt, other)

@@ -28,6 +28,8 @@ WORDS = 1 << 18
 PRIOR, FLOOR = 20.0, 0.5
 #: Bytes of text of one block of documents, and for each shard of the counts (no effect on results).
 BLOCK, SHARD = 6 << 20, 4 << 20
+#: Counts are stored in row groups of about so many bytes, which are several times as many in memory.
+GROUP_BYTES = 2 << 20
 
 
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,7 +172,13 @@ def shared_counts(docs: DataFrame, shards: int) -> DataFrame:
         "block long, row long, shard int, target binary, background binary, words long, "
         "n_target long, n_background long",
     )
-    return stored(added, "lm-counts", "zstd")
+    return stored(added, "lm-counts", "zstd", GROUP_BYTES)
+
+
+def forget(docs: DataFrame) -> None:
+    """Files of shuffles that are over go once the driver has collected its garbage."""
+    gc.collect()
+    docs.sparkSession.sparkContext._jvm.System.gc()
 
 
 def log_probabilities(word, first, pair, total: int, words: int) -> np.ndarray:
@@ -193,15 +201,14 @@ def score(docs: DataFrame, targets: DataFrame, block: int = BLOCK, shard: int =
     marks = targets.where("doc_id is not null").select("doc_id").distinct()
     marks = stored(marks.withColumn("_target", F.lit(True)), "lm-targets")
     rows = blocked(lookup(plain, marks, "doc_id"), block)
+    forget(docs)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     counts = shared_counts(rows, size // shard + 1)
     words, *totals = (
         v or 0 for v in counts.agg(F.sum("words"), F.sum("n_target"), F.sum("n_background")).first()
     )
     words = max(words, WORDS)
-    # the first shuffle is over: its files go once the driver has collected its garbage
-    gc.collect()
-    docs.sparkSession.sparkContext._jvm.System.gc()
+    forget(docs)
     columns = plain.columns
 
     def run(own: pa.Table, shared: pa.Table) -> pa.Table:

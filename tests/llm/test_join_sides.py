@@ -31,6 +31,17 @@ def test_sides_beyond_the_limit_are_shuffled(spark, monkeypatch):
     assert "BroadcastHashJoin" in planned(facts.join(common.sized(rows, 100), "k"))
 
 
+def test_salted_rows_are_not_broadcast_by_the_size_of_the_table(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    facts = spark.createDataFrame([(k % 7, k) for k in range(60)] + [(None, 60)], "s long, i long")
+    small = common.stored(spark.createDataFrame([(k, 10 * k) for k in range(5)] + [(None, 99)], "s long, v long"), "small")
+    for how in ("left", "inner"):
+        found = common.lookup(facts, small, "s", how)
+        assert "Broadcast" not in planned(found)
+        want = {(k, None if k % 7 > 4 else 10 * (k % 7)) for k in range(60)} | {(60, 99)}
+        assert {(r.i, r.v) for r in found.collect()} == {x for x in want if how == "left" or x[1] is not None}
+
+
 @pytest.mark.parametrize("limit", [-1, 1 << 20])
 def test_groups_either_way(spark, documents, monkeypatch, limit):
     monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
