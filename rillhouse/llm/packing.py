@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import stored, tidy
+from rillhouse.llm.common import row_bytes, sized, stored, tidy
 from rillhouse.llm.tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length int, ids binary"
@@ -149,7 +149,7 @@ def place(cut: DataFrame, capacity: int = 1024) -> DataFrame:
     )
     order = W.partitionBy("length", "_salt").orderBy("doc_id", "piece", F.xxhash64(*sorted(kept)))
     ranked = salted.withColumn("_rank", F.row_number().over(order) - 1).join(
-        shifts, ["length", "_salt"]
+        sized(shifts, counts.count() * row_bytes(counts)), ["length", "_salt"]
     )
     runs = {k: np.array(v, dtype=np.int64) for k, v in plan(lengths, capacity).items()}
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from rillhouse.llm.common import stored, tidy
+from rillhouse.llm.common import row_bytes, sized, stored, tidy
 from rillhouse.llm.fm_index import FMIndex
 
 WINDOW, GRAM = 50, 8
@@ -125,7 +125,7 @@ def shared_windows(
         classes.join(rivals, "minimizer").select(*KEY, "first", "lowest", "parts"), "sub-rivals"
     )
     placed = stored(
-        table.join(chosen, KEY)
+        table.join(sized(chosen), KEY)
         .where("doc_id = first")
         .groupBy(*KEY, "first", "lowest", "parts")
         .agg(F.min(F.struct("text_hash", "start")).alias("at"))
@@ -135,6 +135,7 @@ def shared_windows(
     spans = placed.groupBy(F.col("first").alias("doc_id"), "text_hash").agg(
         F.collect_list(F.struct("start", *KEY, "lowest", "parts")).alias("spans")
     )
+    spans = sized(spans, placed.count() * row_bytes(placed))
 
     def cut(batches):
         for batch in batches:
@@ -233,7 +234,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     found = stored(shared_windows(table, classes.drop("n"), docs, window), "sub-found")
     part = (
-        table.join(found.join(classes.drop("n"), KEY), KEY)
+        table.join(sized(found).join(classes.drop("n"), KEY), KEY)
         .where("doc_id = first")
         .select(
             "doc_id",
@@ -259,6 +260,9 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     made = ["text_hash", "spans", "kept", "n_words", "n_removed", "kept_sha256"]
     plain = docs.drop(*made)
     spans = stored(repeated_spans(plain, window), "sub-spans")
+    # a span is held in 40 bytes, and stored in few
+    n_spans = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
+    spans = sized(spans, spans.count() * row_bytes(spans) + 40 * n_spans)
     marked = plain.withColumn("text_hash", F.xxhash64("text"))
     columns = plain.columns
     joined = with_spans(marked, spans, "left").select(*columns, "spans")

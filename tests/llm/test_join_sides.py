@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from rillhouse.llm import common, simhash
+from rillhouse.llm import common, packing, simhash, substring
 
 
 def planned(df):
@@ -54,3 +54,19 @@ def test_groups_either_way(spark, documents, monkeypatch, limit):
     assert sorted(r.doc_id for r in simhash.keep_first(docs).collect() if r.doc_id is not None) == sorted(
         {c for _, c in got if c is not None}
     )
+
+
+def test_spans_and_shifts_are_not_broadcast_beyond_the_limit(spark, documents, monkeypatch):
+    passage = " ".join(f"w{k}" for k in range(70))
+    docs = documents([(1, passage), (2, f"other {passage} end"), (3, "short")]).select("doc_id", "text")
+    cut = common.stored(spark.createDataFrame(
+        [(k, 0, 0, 10 + k % 3, b"") for k in range(12)], packing.PIECES), "pieces")
+    found = {}
+    for limit in (1 << 23, -1):
+        monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+        kept, placed = substring.dedup(docs), packing.place(cut, 64)
+        if limit < 0:
+            assert "Broadcast" not in planned(kept) + planned(placed)
+        found[limit] = [sorted(tuple(r) for r in x.collect()) for x in (kept.select("doc_id", "n_removed"), placed)]
+    assert found[-1] == found[1 << 23]
+    assert found[-1][0] == [(1, 0), (2, 70), (3, 0)]
